@@ -32,6 +32,7 @@ def build_session(master: str | None = None, cpus: int | None = None,
         SparkSession.builder.master(master)
         .appName("spanload")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
