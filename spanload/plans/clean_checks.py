@@ -33,7 +33,7 @@ _BODY = """'"_id":"' || _id || '","event_type":"' || event_type || '","user_id":
                   THEN '{"src":"' || event_type || '","_id":' || CAST(event_id AS STRING) || '}'
                   ELSE '"plain"' END"""
 
-_DOC = f"""CASE {_KIND}
+DOC_SQL = f"""CASE {_KIND}
   WHEN 'trunc' THEN '{{' || {_BODY}
   WHEN 'dupid' THEN '{{' || {_BODY} || ',"id":"x"}}'
   WHEN 'nan' THEN '{{' || {_BODY} || ',"score":NaN}}'
@@ -44,7 +44,7 @@ _DOC = f"""CASE {_KIND}
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 input: one raw JSON document per events row, with its event_id."""
     ev = events_with_key(spark, sf_dir, "_id")
-    return ev.select("event_id", F.expr(_DOC).alias("doc"))
+    return ev.select("event_id", F.expr(DOC_SQL).alias("doc"))
 
 
 def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

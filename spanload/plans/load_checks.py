@@ -1 +1,209 @@
 """Checked queries for schema conformance, export, publish and batch runs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanload.operators import clean, conform, export, splits
+from spanload.plans.clean_checks import (DOC_SQL, OUTCOME, STRING_FIELDS,
+                                         cleaned_documents)
+from spanload.plans.registry import register
+from spanload.plans.split_checks import assigned, sp_count, sp_time, with_src
+from spanload.session import scratch_path
+from spanload.sources.tables import events_with_key, read_table
+
+# The example table schema of the reference's configuration
+# (a user table with a repeated record).
+USERS_SCHEMA = [
+    {"name": "id", "type": "STRING", "description": "User ID"},
+    {"name": "username", "type": "STRING",
+     "description": "Username which used by login. This value is unique in system."},
+    {"name": "test_user", "type": "BOOLEAN", "description": "true if this user is test user"},
+    {"name": "account_details", "type": "RECORD", "mode": "REPEATED",
+     "description": "Account detail info",
+     "fields": [{"name": "name", "type": "STRING"},
+                {"name": "age", "type": "INTEGER"},
+                {"name": "score", "type": "FLOAT"}]},
+    {"name": "created_at", "type": "TIMESTAMP", "description": "Timestamp when this user created"},
+]
+
+# --------------------------------------------------------------------------
+# F1–F3 — nested schema: customers as user documents
+
+_USER_DOC = """'{"_id":"' || CAST(c_custkey AS STRING) || '","username":"' || c_name
+ || '","test_user":' || CASE WHEN c_mktsegment = 'BUILDING' THEN 'true' ELSE 'false' END
+ || ',"account_details":[{"name":"' || c_mktsegment || '","age":' || CAST(c_nationkey AS STRING)
+ || ',"score":' || CAST(c_acctbal AS STRING) || '},{"name":"' || c_name || '","age":'
+ || CAST(c_custkey % 90 AS STRING) || ',"score":null}],"created_at":"'
+ || date_format(timestamp_seconds(1700000000 + c_custkey * 37), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+ || '","extra":{"a":1}}'"""
+
+
+def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cu = read_table(spark, sf_dir, "customer")
+    return cu.select(F.expr(_USER_DOC).alias("doc"))
+
+
+@register("conform_nested", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS username, c_mktsegment = 'BUILDING' AS test_user,
+       CAST(2 AS INTEGER) AS n_details, CAST(c_nationkey + c_custkey % 90 AS BIGINT) AS age_sum,
+       c_acctbal AS first_score, true AS second_score_null,
+       CAST(1700000000 + c_custkey * 37 AS BIGINT) AS created_at_sec
+FROM customer""")
+def q_conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 — the nested example schema, REPEATED RECORD included, loads typed rows."""
+    schema = conform.schema_from_spec(USERS_SCHEMA)
+    cleaned = clean.clean_documents(user_documents(spark, sf_dir),
+                                    string_fields=conform.string_fields(schema))
+    typed = conform.conform_lines(cleaned.where("reject_reason IS NULL").drop("reject_reason"),
+                                  schema, on_bad="fail")
+    ad = F.col("account_details")
+    return typed.select(
+        "id", "username", "test_user", F.size(ad).alias("n_details"),
+        F.aggregate(ad, F.lit(0).cast("bigint"), lambda acc, x: acc + x["age"]).alias("age_sum"),
+        ad[0]["score"].alias("first_score"),
+        ad[1]["score"].isNull().alias("second_score_null"),
+        F.unix_seconds("created_at").alias("created_at_sec"))
+
+
+EVENTS_OK = f"SELECT *, {OUTCOME} AS outcome FROM events"
+HEX = "(format('{:08x}', epoch_us(ts) // 1000000) || format('{:016x}', event_id))"
+
+
+def _good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = clean.split_rejects(cleaned_documents(spark, sf_dir))
+    return good
+
+
+@register("conform_unknown", f"""
+SELECT {HEX} AS id, user_id, value FROM ({EVENTS_OK}) WHERE outcome = 'ok'""")
+def q_conform_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 — fields the schema does not name are dropped."""
+    schema = conform.schema_from_spec([
+        {"name": "id", "type": "STRING"}, {"name": "user_id", "type": "INTEGER"},
+        {"name": "value", "type": "FLOAT"}])
+    return conform.conform_lines(_good_lines(spark, sf_dir), schema, on_bad="fail").drop(
+        "reject_reason")
+
+
+@register("conform_missing", f"""
+SELECT event_id, {HEX} AS id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'n' || event_id END AS note,
+       CAST(CASE WHEN event_id % 5 = 4 THEN 1 ELSE 0 END AS INTEGER) AS n_tags,
+       CASE WHEN event_id % 5 = 4 THEN event_type ELSE '' END AS tags_joined,
+       CAST(NULL AS BIGINT) AS missing_int, CAST(0 AS INTEGER) AS n_missing
+FROM ({EVENTS_OK}) WHERE outcome = 'ok' AND event_id % 5 NOT IN (2, 3)""")
+def q_conform_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3/F6 — a missing field loads as NULL, a missing REPEATED field as []."""
+    schema = conform.schema_from_spec([
+        {"name": "id", "type": "STRING"}, {"name": "note", "type": "STRING"},
+        {"name": "tags", "type": "STRING", "mode": "REPEATED"},
+        {"name": "missing_int", "type": "INTEGER"},
+        {"name": "missing_list", "type": "INTEGER", "mode": "REPEATED"}])
+    typed = conform.conform_lines(_good_lines(spark, sf_dir), schema, keep=["event_id"])
+    return (typed.where("reject_reason IS NULL")
+            .select("event_id", "id", "note", F.size("tags").alias("n_tags"),
+                    F.array_join("tags", ",").alias("tags_joined"), "missing_int",
+                    F.size("missing_list").alias("n_missing")))
+
+
+@register("conform_bad_rows", f"""
+SELECT event_id, 'bad value' AS reject_reason FROM ({EVENTS_OK})
+WHERE outcome = 'ok' AND event_id % 3 <> 0""")
+def q_conform_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 — a value that does not fit its type makes the row bad (here: rejected)."""
+    schema = conform.schema_from_spec([
+        {"name": "id", "type": "STRING"}, {"name": "note", "type": "INTEGER"}])
+    typed = conform.conform_lines(_good_lines(spark, sf_dir), schema, keep=["event_id"])
+    return typed.where("reject_reason IS NOT NULL").select("event_id", "reject_reason")
+
+
+@register("conform_required", f"""
+SELECT CASE WHEN event_id % 3 = 0 THEN 'required field missing: note'
+            WHEN event_id % 5 IN (2, 3) THEN 'null in repeated field: tags'
+            ELSE 'ok' END AS outcome, CAST(count(*) AS BIGINT) AS docs
+FROM ({EVENTS_OK}) WHERE outcome = 'ok' GROUP BY 1""")
+def q_conform_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 — REQUIRED must be present; REPEATED must hold no NULL element."""
+    schema = conform.schema_from_spec([
+        {"name": "id", "type": "STRING", "mode": "REQUIRED"},
+        {"name": "note", "type": "STRING", "mode": "REQUIRED"},
+        {"name": "tags", "type": "STRING", "mode": "REPEATED"}])
+    typed = conform.conform_lines(_good_lines(spark, sf_dir), schema)
+    return clean.reject_counts(typed)
+
+
+# --------------------------------------------------------------------------
+# W2 — part assignment on raw line bytes (one chunk)
+
+CONV_LINE_SQL = "strlen(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text})::VARCHAR) + 1"
+
+
+@register("part_assign", f"""
+WITH l AS (SELECT conv_id * 1000 + turn AS key, {CONV_LINE_SQL} AS b FROM conversations),
+w AS (SELECT *, coalesce(sum(b) OVER (ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre FROM l)
+SELECT CAST(0 AS INTEGER) AS chunk, CAST(pre // 20000 AS INTEGER) AS part, CAST(count(*) AS BIGINT) AS rows,
+       CAST(sum(b) AS BIGINT) AS bytes, min(key) AS min_key, max(key) AS max_key
+FROM w GROUP BY 1, 2""")
+def q_part_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cv = read_table(spark, sf_dir, "conversations")
+    rows = cv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("key"),
+                     F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("line"),
+                     F.lit(0).alias("chunk"))
+    parted = export.assign_parts(rows, "key", "line", 20000)
+    return export.part_report(parted, "key")
+
+
+# --------------------------------------------------------------------------
+# W1/W3/A5 — chunked, size-bounded gzip parts written and read back
+
+DOC_LINE_SQL = ("strlen(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, "
+                "'source': source, 'n_chars': n_chars})::VARCHAR) + 1")
+
+
+@register("part_report", with_src(
+    f"SELECT doc_id AS key, {DOC_LINE_SQL} AS b FROM documents", sp_count(4), assigned(), """,
+w AS (SELECT *, coalesce(sum(b) OVER (PARTITION BY chunk ORDER BY key
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre FROM asg)
+SELECT chunk, CAST(pre // 1048576 AS INTEGER) AS part, CAST(count(*) AS BIGINT) AS rows,
+       CAST(sum(b) AS BIGINT) AS bytes, min(key) AS min_key, max(key) AS max_key
+FROM w GROUP BY 1, 2"""))
+def q_part_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    ranges = splits.split_count(docs, "doc_id", 4)
+    rows = splits.with_chunk(docs, ranges).select(
+        "doc_id", "chunk",
+        F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("line"))
+    parted = export.assign_parts(rows, "doc_id", "line", 1 << 20)
+    path = export.write_parts(parted, scratch_path(spark, "parts") + "/documents", "doc_id")
+    back = spark.read.text(path)
+    return (back.groupBy("chunk", "part")
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum(export.line_bytes("value")).alias("bytes"),
+                 F.min(F.get_json_object("value", "$.doc_id").cast("bigint")).alias("min_key"),
+                 F.max(F.get_json_object("value", "$.doc_id").cast("bigint")).alias("max_key")))
+
+
+# --------------------------------------------------------------------------
+# S5/W1 — cleaned documents through gzip JSON lines and back, typed
+
+
+@register("jsonl_roundtrip", with_src(
+    f"SELECT {HEX} AS key, epoch_us(ts) // 1000000 AS sec, * FROM ({EVENTS_OK})",
+    sp_time(4), assigned(), """
+SELECT key AS id, user_id, value, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'n' || event_id END AS note,
+       chunk
+FROM asg WHERE outcome = 'ok'"""))
+def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = events_with_key(spark, sf_dir, "_id")
+    ranges = splits.split_time(ev, "_id", 4)
+    raw = splits.with_chunk(ev, ranges).select("_id", "chunk", F.expr(DOC_SQL).alias("doc"))
+    good, _ = clean.split_rejects(clean.clean_documents(raw, string_fields=STRING_FIELDS))
+    parted = export.assign_parts(good, "_id", "line", 256 << 10)
+    path = export.write_parts(parted, scratch_path(spark, "jsonl") + "/events", "_id")
+    schema = conform.schema_from_spec([
+        {"name": "id", "type": "STRING"}, {"name": "user_id", "type": "INTEGER"},
+        {"name": "value", "type": "FLOAT"}, {"name": "note", "type": "STRING"}])
+    back = export.read_lines(spark, path, schema)
+    return back.select("id", "user_id", "value", "note", F.col("chunk").cast("int").alias("chunk"))
+
