@@ -45,11 +45,16 @@ def normalize_table_name(path: str) -> str:
     return name
 
 
-def normalize_table_name_col(path: str | Column) -> Column:
-    """W13 as a column expression, for many paths at once."""
+def source_name_col(path: str | Column) -> Column:
+    """W14 as a column expression: base name minus its last extension."""
     p = F.col(path) if isinstance(path, str) else path
     base = F.regexp_extract(F.regexp_replace(p, "/+$", ""), "([^/]*)$", 1)
-    stem = F.regexp_replace(base, r"\.[^.]*$", "")
+    return F.regexp_replace(base, r"\.[^.]*$", "")
+
+
+def normalize_table_name_col(path: str | Column) -> Column:
+    """W13 as a column expression, for many paths at once."""
+    stem = source_name_col(path)
     norm = F.lower(F.regexp_replace(stem, _INVALID_RUN, "_"))
     return (F.when(norm == "", F.lit(""))
             .when(norm.rlike("^[a-zA-Z_]"), norm)

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanload.operators import clean, conform, export, splits
+from spanload.functions.names import normalize_table_name_col, source_name_col
+from spanload.operators import clean, conform, export, publish, splits
+from spanload.plans import batch, load
 from spanload.plans.clean_checks import (DOC_SQL, OUTCOME, STRING_FIELDS,
                                          cleaned_documents)
 from spanload.plans.registry import register
 from spanload.plans.split_checks import assigned, sp_count, sp_time, with_src
 from spanload.session import scratch_path
-from spanload.sources.tables import events_with_key, read_table
+from spanload.sources.specs import TableSpec, spec_from_text
+from spanload.sources.tables import TABLES, events_with_key, read_table
 
 # The example table schema of the reference's configuration
 # (a user table with a repeated record).
@@ -207,3 +212,178 @@ def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = export.read_lines(spark, path, schema)
     return back.select("id", "user_id", "value", "note", F.col("chunk").cast("int").alias("chunk"))
 
+
+
+# --------------------------------------------------------------------------
+# W4–W12, A6 — publish into a run-private warehouse, return what was published
+
+EVENTS_SPEC = [
+    {"name": "id", "type": "STRING", "mode": "REQUIRED"},
+    {"name": "event_type", "type": "STRING"},
+    {"name": "user_id", "type": "INTEGER"},
+    {"name": "value", "type": "FLOAT"},
+    {"name": "note", "type": "STRING"},
+    {"name": "tags", "type": "STRING", "mode": "REPEATED"},
+    {"name": "meta", "type": "STRING"},
+]
+
+
+def fresh_warehouse(spark: SparkSession, tag: str) -> publish.Warehouse:
+    root = scratch_path(spark, f"warehouse-{tag}")
+    suffix = uuid.uuid4().hex[:10]
+    return publish.Warehouse(root, f"final_{suffix}", f"staging_{suffix}").ensure(spark)
+
+
+def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_with_key(spark, sf_dir, "_id").select("_id", F.expr(DOC_SQL).alias("doc"))
+
+
+def events_spec(spec: list[dict] | None = None, name: str = "events_docs.json") -> TableSpec:
+    import json
+    return spec_from_text(name, json.dumps(spec or EVENTS_SPEC))
+
+
+META_SQL = """CASE WHEN event_id % 4 = 0 THEN '{"_id":' || event_id || ',"src":"' || event_type || '"}'
+                  ELSE 'plain' END"""
+NOTE_SQL = "CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'n' || event_id END"
+LOADED = f"({EVENTS_OK}) WHERE outcome = 'ok' AND event_id % 5 NOT IN (2, 3)"
+
+
+@register("publish_create", f"""
+SELECT {HEX} AS id, user_id, value, {NOTE_SQL} AS note,
+       CAST(CASE WHEN event_id % 5 = 4 THEN 1 ELSE 0 END AS INTEGER) AS n_tags, {META_SQL} AS meta
+FROM {LOADED}""")
+def q_publish_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6 — final table created from the schema and loaded directly (no staging)."""
+    wh = fresh_warehouse(spark, "create")
+    spec = events_spec()
+    load.load_table(spark, event_docs(spark, sf_dir), spec, wh,
+                    load.LoadOptions(key="_id", chunks=4, method="count", use_staging=False))
+    t = spark.table(wh.name(spec.table))
+    return t.select("id", "user_id", "value", "note", F.size("tags").alias("n_tags"), "meta")
+
+
+OK_DOCS = f"({EVENTS_OK}) WHERE outcome = 'ok'"
+
+
+@register("publish_skip", f"""
+SELECT 1 AS run, 'ok' AS status, CAST(count(*) AS BIGINT) AS rows FROM {OK_DOCS}
+UNION ALL SELECT 2, 'skipped', NULL""")
+def q_publish_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4/W5 — a second run without overwrite finds the final table and skips."""
+    wh = fresh_warehouse(spark, "skip")
+    spec = events_spec([{"name": "id", "type": "STRING"}, {"name": "user_id", "type": "INTEGER"}])
+    opts = load.LoadOptions(key="_id", chunks=4, method="time")
+    runs = [load.load_table(spark, event_docs(spark, sf_dir), spec, wh, opts) for _ in range(2)]
+    return spark.createDataFrame([(i + 1, r.status, r.rows) for i, r in enumerate(runs)],
+                                 "run int, status string, rows bigint")
+
+
+@register("publish_overwrite", f"""
+SELECT {HEX} AS id, value, event_type FROM {OK_DOCS}""")
+def q_publish_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7/W8 — overwrite drops and re-creates: the new schema takes effect."""
+    wh = fresh_warehouse(spark, "overwrite")
+    first = events_spec([{"name": "id", "type": "STRING"}, {"name": "user_id", "type": "INTEGER"}])
+    second = events_spec([{"name": "id", "type": "STRING"}, {"name": "value", "type": "FLOAT"},
+                          {"name": "event_type", "type": "STRING"}])
+    load.load_table(spark, event_docs(spark, sf_dir), first, wh,
+                    load.LoadOptions(key="_id", chunks=3, method="sampling"))
+    load.load_table(spark, event_docs(spark, sf_dir), second, wh,
+                    load.LoadOptions(key="_id", chunks=3, method="sampling", overwrite=True))
+    return spark.table(wh.name(second.table))
+
+
+@register("publish_staged", f"""
+SELECT {HEX} AS id, user_id, {NOTE_SQL} AS note, true AS in_staging FROM {OK_DOCS}""")
+def q_publish_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W9–W12 — load into staging (with a gzip export), publish by truncate-copy."""
+    wh = fresh_warehouse(spark, "staged")
+    spec = events_spec([{"name": "id", "type": "STRING"}, {"name": "user_id", "type": "INTEGER"},
+                        {"name": "note", "type": "STRING"}])
+    export_root = scratch_path(spark, "stage-files")
+    load.load_table(spark, event_docs(spark, sf_dir), spec, wh,
+                    load.LoadOptions(key="_id", chunks=4, method="time", use_staging=True,
+                                     export_root=export_root, part_limit=128 << 10,
+                                     keep_export=False))
+    final = spark.table(wh.name(spec.table))
+    staging = spark.table(wh.name(spec.table, staging=True)).select("id").withColumn(
+        "in_staging", F.lit(True))
+    return final.join(staging, "id", "left").select(
+        "id", "user_id", "note", F.coalesce("in_staging", F.lit(False)).alias("in_staging"))
+
+
+@register("load_report", f"""
+SELECT 'events_docs' AS table_name, 'ok' AS status,
+       CAST(sum(CASE WHEN outcome = 'ok' AND event_id % 5 NOT IN (2, 3) THEN 1 ELSE 0 END) AS BIGINT) AS rows,
+       CAST(sum(CASE WHEN outcome <> 'ok' OR event_id % 5 IN (2, 3) THEN 1 ELSE 0 END) AS BIGINT) AS rejects,
+       CAST(CASE WHEN count(*) >= 1000 THEN 4 ELSE 1 END AS BIGINT) AS chunks
+FROM ({EVENTS_OK})""")
+def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6/C8 — rows loaded (observed on the write) and rejects of one run."""
+    wh = fresh_warehouse(spark, "report")
+    r = load.load_table(spark, event_docs(spark, sf_dir), events_spec(), wh,
+                        load.LoadOptions(key="_id", chunks=4, method="count",
+                                         export_root=scratch_path(spark, "report-files")))
+    return spark.createDataFrame([(r.table, r.status, r.rows, r.rejects, r.chunks)],
+                                 "table_name string, status string, rows bigint, "
+                                 "rejects bigint, chunks bigint")
+
+
+# --------------------------------------------------------------------------
+# B1/B2/A7 — every test table in one batch; one fails, one is skipped
+
+BATCH_FAIL = "labels"  # its spec declares quality BOOLEAN; the 0/1 values do not load
+BATCH_SKIP = "benchmark"  # its final table exists before the run
+
+
+def batch_jobs(spark: SparkSession, sf_dir: str) -> list[batch.TableJob]:
+    import json
+    jobs = []
+    for name in TABLES:
+        df = read_table(spark, sf_dir, name)
+        spec_list = load.typed_schema_spec(df.schema)
+        if name == BATCH_FAIL:
+            for f in spec_list:
+                if f["name"] == "quality":
+                    f["type"] = "BOOLEAN"
+        spec = spec_from_text(f"tables/{name}.json", json.dumps(spec_list))
+        key = df.columns[0]
+        jobs.append(batch.TableJob(
+            spec, lambda s, n=name: read_table(s, sf_dir, n),
+            load.LoadOptions(key=key, chunks=10, method="count", on_bad="fail",
+                             rename_id=False)))
+    return jobs
+
+
+@register("batch_summary", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, "
+    + ("'failed' AS status, CAST(NULL AS BIGINT) AS rows" if t == BATCH_FAIL else
+       "'skipped' AS status, CAST(NULL AS BIGINT) AS rows" if t == BATCH_SKIP else
+       "'ok' AS status, CAST(max(n) AS BIGINT) AS rows")
+    + f" FROM (SELECT count(*) AS n FROM {t})" for t in TABLES))
+def q_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = fresh_warehouse(spark, "batch")
+    jobs = batch_jobs(spark, sf_dir)
+    skip = next(j for j in jobs if j.spec.table == BATCH_SKIP)
+    publish.create_table(spark, wh.name(skip.spec.table), skip.spec.schema)
+    result = batch.run_batch(spark, jobs, wh, workers=3)
+    return result.report(spark).select("table_name", "status", "rows")
+
+
+# --------------------------------------------------------------------------
+# W13/W14 — table names from paths (every page URL treated as a schema path)
+
+
+@register("normalize_names", """
+WITH b AS (SELECT page_id, regexp_extract(regexp_replace(url, '/+$', ''), '([^/]*)$', 1) AS base FROM pages),
+s AS (SELECT page_id, regexp_replace(base, '\\.[^.]*$', '') AS stem FROM b),
+n AS (SELECT page_id, stem, lower(regexp_replace(stem, '[^a-zA-Z0-9_]+', '_', 'g')) AS norm FROM s)
+SELECT page_id, stem AS source_name,
+       CASE WHEN norm = '' THEN '' WHEN regexp_matches(norm, '^[a-zA-Z_]') THEN norm
+            ELSE 't_' || norm END AS table_name
+FROM n""")
+def q_normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", source_name_col("url").alias("source_name"),
+                        normalize_table_name_col("url").alias("table_name"))
