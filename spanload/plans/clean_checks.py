@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from spanload.operators import clean
 from spanload.plans.registry import register
+from spanload.session import spread
 from spanload.sources.tables import events_with_key, read_table
 
 # The schema of the document table says these fields are STRING.
@@ -43,7 +44,7 @@ DOC_SQL = f"""CASE {_KIND}
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 input: one raw JSON document per events row, with its event_id."""
-    ev = events_with_key(spark, sf_dir, "_id")
+    ev = spread(events_with_key(spark, sf_dir, "_id"), "event_id")
     return ev.select("event_id", F.expr(DOC_SQL).alias("doc"))
 
 

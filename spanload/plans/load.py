@@ -15,12 +15,12 @@ import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spanload.operators import clean, conform, export, publish, splits
-from spanload.session import ensure_checkpoint_dir
+from spanload.session import ensure_checkpoint_dir, spread
 from spanload.sources.specs import TableSpec
 
 log = logging.getLogger(__name__)
@@ -80,7 +80,7 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
     key = opts.key
     ranges = splits.split(source, key, opts.chunks, opts.method, ranges=opts.ranges)
     res.chunks = ranges.n_chunks
-    docs = splits.with_chunk(as_documents(source, key), ranges)
+    docs = splits.with_chunk(as_documents(spread(source, key), key), ranges)
     cleaned = clean.clean_documents(docs, "doc", conform.string_fields(spec.schema),
                                     rename_id=opts.rename_id)
     if "_pre_reason" in cleaned.columns:
@@ -106,19 +106,22 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
         parted = export.assign_parts(good, key, "line", opts.part_limit)
         export.write_parts(parted, path + "/parts", key)
         res.export_path = path
-        res.parts = spark.read.text(path + "/parts").select("chunk", "part").distinct().count()
+        res.parts = export.file_sizes(spark, path + "/parts").count()  # listing only
     typed = conform.conform_lines(good, spec.schema, on_bad=opts.on_bad)
-    loadable = typed.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    # Conformance rejects are counted on the load's own pass (no re-parse).
+    seen_bad = Observation(f"conform_{spec.table}")
+    loadable = (typed.observe(seen_bad, F.sum(F.when(F.col("reject_reason").isNotNull(), 1)
+                                             .otherwise(0)).alias("bad"))
+                .where(F.col("reject_reason").isNull()).drop("reject_reason"))
     out = publish.publish(spark, loadable, spec.schema, spec.table, wh,
                           overwrite=opts.overwrite, use_staging=opts.use_staging)
     res.status = out["status"]
     res.rows = out["rows"]
-    reasons = (staged.where(F.col("reject_reason").isNotNull()).groupBy("reject_reason").count()
-               .unionByName(typed.where(F.col("reject_reason").isNotNull())
-                            .groupBy("reject_reason").count()).collect())
-    res.reject_reasons = {}
-    for r in reasons:
-        res.reject_reasons[r[0]] = res.reject_reasons.get(r[0], 0) + r[1]
+    res.reject_reasons = {r[0]: r[1] for r in staged.where(F.col("reject_reason").isNotNull())
+                          .groupBy("reject_reason").count().collect()}
+    bad = int(seen_bad.get.get("bad") or 0)
+    if bad:
+        res.reject_reasons["schema"] = bad
     res.rejects = sum(res.reject_reasons.values())
     if res.export_path:
         if res.rejects:

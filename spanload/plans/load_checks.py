@@ -14,7 +14,7 @@ from spanload.plans.clean_checks import (DOC_SQL, OUTCOME, STRING_FIELDS,
                                          cleaned_documents)
 from spanload.plans.registry import register
 from spanload.plans.split_checks import assigned, sp_count, sp_time, with_src
-from spanload.session import scratch_path
+from spanload.session import scratch_path, spread
 from spanload.sources.specs import TableSpec, spec_from_text
 from spanload.sources.tables import TABLES, events_with_key, read_table
 
@@ -46,7 +46,7 @@ _USER_DOC = """'{"_id":"' || CAST(c_custkey AS STRING) || '","username":"' || c_
 
 
 def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cu = read_table(spark, sf_dir, "customer")
+    cu = spread(read_table(spark, sf_dir, "customer"), "c_custkey")
     return cu.select(F.expr(_USER_DOC).alias("doc"))
 
 
@@ -203,7 +203,10 @@ def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events_with_key(spark, sf_dir, "_id")
     ranges = splits.split_time(ev, "_id", 4)
     raw = splits.with_chunk(ev, ranges).select("_id", "chunk", F.expr(DOC_SQL).alias("doc"))
-    good, _ = clean.split_rejects(clean.clean_documents(raw, string_fields=STRING_FIELDS))
+    good, _ = clean.split_rejects(clean.clean_documents(spread(raw, "_id"),
+                                                        string_fields=STRING_FIELDS))
+    # assign_parts reads its input several times: materialise the cleaned lines once.
+    good = good.checkpoint(eager=True)
     parted = export.assign_parts(good, "_id", "line", 256 << 10)
     path = export.write_parts(parted, scratch_path(spark, "jsonl") + "/events", "_id")
     schema = conform.schema_from_spec([
@@ -235,7 +238,9 @@ def fresh_warehouse(spark: SparkSession, tag: str) -> publish.Warehouse:
 
 
 def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_with_key(spark, sf_dir, "_id").select("_id", F.expr(DOC_SQL).alias("doc"))
+    ev = events_with_key(spark, sf_dir, "_id").select("_id", "event_id", "ts", "user_id",
+                                                      "event_type", "value", "props")
+    return ev.select("_id", F.expr(DOC_SQL).alias("doc"))
 
 
 def events_spec(spec: list[dict] | None = None, name: str = "events_docs.json") -> TableSpec:

@@ -70,3 +70,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/spanload-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, key: str | None = None):
+    """Give CPU-heavy per-row work (JSON parsing) every core on small inputs.
+
+    A small file with one row group is a single input split, so parsing it
+    runs on one core.  Below the cluster's default parallelism the frame is
+    hash-repartitioned by ``key`` (deterministic under retries); at scale the
+    input already has far more splits than cores and nothing changes.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
