@@ -84,8 +84,8 @@ def guard_empty_chunks(report: DataFrame, on_empty: str = "error") -> DataFrame:
         raise ValueError("on_empty must be 'error' or 'allow'")
     check = F.assert_true(F.col("rows") > 0, F.concat(F.lit("no documents found in chunk "),
                                                       F.col("chunk").cast("string")))
-    # Folded into ``rows`` so column pruning cannot remove the check.
-    return report.withColumn("rows", F.coalesce(check.cast("bigint"), F.col("rows")))
+    # A filter, so column pruning cannot remove the check.
+    return report.where(check.isNull())
 
 
 def chunk_balance(frames: dict[str, tuple[DataFrame, KeyRanges]]) -> DataFrame:

@@ -217,12 +217,13 @@ def conform_lines(df: DataFrame, schema: StructType, line: str = "line",
     for f in schema.fields:
         for cond, text in _violations(F.col(f.name), f, ""):
             why = why.when(F.coalesce(cond, F.lit(False)), F.lit(text))
+    out = typed.withColumn(reason, why).drop("_bad", "_line")
     if on_bad == "fail":
-        # The assertion is folded into the reason column itself so that
-        # column pruning cannot drop it: any read of the column raises.
-        why = F.coalesce(F.assert_true(why.isNull(), F.concat(F.lit("load failed: "), why))
-                         .cast("string"), why)
-    return typed.withColumn(reason, why).drop("_bad", "_line")
+        # A filter, not a column: column pruning cannot remove it, so the
+        # first bad row fails whatever action reads this frame.
+        out = out.where(F.assert_true(F.col(reason).isNull(), F.concat(
+            F.lit("load failed: "), F.col(reason))).isNull())
+    return out
 
 
 def check_columns(target: StructType, incoming: StructType) -> None:
