@@ -98,7 +98,7 @@ def assign_parts(df: DataFrame, key: str, line: str, limit_bytes: int,
     sub = F.lit(0)
     if hot:
         sub = F.when(k.isin([typed_lit(v, dtype) for v in hot]),
-                     F.shiftrightunsigned(F.col("_h"), 64 - HOT_SUB_BITS)).otherwise(F.lit(0))
+                     F.shiftright(F.col("_h"), 64 - HOT_SUB_BITS)).otherwise(F.lit(0))
     grouped = rows.withColumn("_b", b).withColumn("_s", sub.cast("int"))
     sizes = (grouped.groupBy(chunk, "_b", "_s").agg(F.sum("bytes").alias("_gb")))
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_gb").over(
