@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The bulk-load tool this package re-expresses has no streams, watermarks,
+event windows or state: every run is a bounded batch over whole tables.  A
+saved range table (``sources.ranges``) plays the role of incremental reuse —
+new keys fall into the open last range.  Nothing is built here on purpose.
+"""
