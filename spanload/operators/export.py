@@ -35,6 +35,7 @@ from spanload.operators.order_stats import rank_tree, typed_lit
 # numpy searchsorted instead of a CASE tree in generated code.
 TREE_MAX_EDGES = 1023
 HOT_SUB_BITS = 8
+MAX_SAMPLE = 500_000
 
 
 def line_bytes(line: str | Column) -> Column:
@@ -85,9 +86,12 @@ def assign_parts(df: DataFrame, key: str, line: str, limit_bytes: int,
     edges: list = []
     hot: list = []
     if n_buckets > 1 and n_rows:
-        frac = min(1.0, 2.0 * sample_rows / n_rows)
+        # Enough sampled keys to place every edge; bounded by MAX_SAMPLE no
+        # matter how large the table is (edges only steer the work).
+        want = min(MAX_SAMPLE, max(sample_rows, 8 * n_buckets))
+        frac = min(1.0, 2.0 * want / n_rows)
         sample = [r[0] for r in rows.select(key).sample(False, frac, seed)
-                  .limit(4 * sample_rows).collect()]
+                  .limit(2 * want).collect()]
         sample.sort()
         if sample:
             edges = sorted({sample[(i * len(sample)) // n_buckets] for i in range(1, n_buckets)})
