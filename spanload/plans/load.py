@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spanload.operators import clean, conform, export, publish, splits
-from spanload.session import ensure_checkpoint_dir, spread
+from spanload.session import scratch_path, spread
 from spanload.sources.specs import TableSpec
 
 log = logging.getLogger(__name__)
@@ -86,28 +86,49 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
     if "_pre_reason" in cleaned.columns:
         cleaned = cleaned.withColumn(
             "reject_reason", F.coalesce("_pre_reason", "reject_reason")).drop("_pre_reason")
-    ensure_checkpoint_dir(spark)
-    staged = cleaned.select(key, "chunk", "line", "reject_reason",
-                            F.when(F.col("reject_reason").isNotNull(), F.col("doc")).alias("doc")
-                            ).checkpoint(eager=True)
-    # X3 — empty chunks and C8 reject counts from one small aggregation.
+    # Materialise the cleaned documents once, as parquet in the shared
+    # checkpoint folder: later passes read only the columns they need
+    # (chunk, bytes, key ...) and a lost executor costs a re-read.
+    stage_path = scratch_path(spark, f"stage-{spec.table}")
+    (cleaned.select(key, "chunk", "line", "reject_reason",
+                    F.when(F.col("reject_reason").isNotNull(), F.col("doc")).alias("doc"),
+                    export.line_bytes("line").alias("bytes"),
+                    export.line_hash("line").alias("line_hash"))
+     .write.mode("overwrite").parquet(stage_path))
+    staged = spark.read.parquet(stage_path)
+    try:
+        return _load_staged(spark, staged, spec, wh, opts, ranges, res, t0)
+    finally:
+        publish.delete_path(spark, stage_path)
+
+
+def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
+                 wh: publish.Warehouse, opts: LoadOptions, ranges: splits.KeyRanges,
+                 res: LoadResult, t0: float) -> LoadResult:
+    key = opts.key
+    is_bad = F.col("reject_reason").isNotNull()
+    # X3 — empty chunks, C8 reject counts and export totals: one narrow pass.
     per_chunk = (staged.groupBy("chunk").agg(
         F.count(F.lit(1)).alias("docs"),
-        F.sum(F.when(F.col("reject_reason").isNotNull(), 1).otherwise(0)).alias("rejects"))
+        F.sum(F.when(is_bad, 1).otherwise(0)).alias("rejects"),
+        F.sum(F.when(~is_bad, F.col("bytes")).otherwise(0)).alias("good_bytes"))
         .collect())
     seen = {r["chunk"] for r in per_chunk}
     empty = [c for c in range(ranges.n_chunks) if c not in seen]
     if empty and opts.on_empty == "error":
         raise RuntimeError(f"no documents found in chunks {empty} for table {spec.table}")
-    good = staged.where(F.col("reject_reason").isNull()).select(key, "chunk", "line")
+    good_rows = sum(r["docs"] - r["rejects"] for r in per_chunk)
+    good_bytes = sum(r["good_bytes"] or 0 for r in per_chunk)
+    good = staged.where(~is_bad).select(key, "chunk", "line", "bytes", "line_hash")
     if opts.export_root:
         stamp = publish.run_stamp()
         path = publish.staged_folder(opts.export_root, spec.table, stamp)
-        parted = export.assign_parts(good, key, "line", opts.part_limit)
+        parted = export.assign_parts(good, key, "line", opts.part_limit,
+                                     n_rows=good_rows, total_bytes=good_bytes)
         export.write_parts(parted, path + "/parts", key)
         res.export_path = path
         res.parts = export.file_sizes(spark, path + "/parts").count()  # listing only
-    typed = conform.conform_lines(good, spec.schema, on_bad=opts.on_bad)
+    typed = conform.conform_lines(good.select("line"), spec.schema, on_bad=opts.on_bad)
     # Conformance rejects are counted on the load's own pass (no re-parse).
     seen_bad = Observation(f"conform_{spec.table}")
     loadable = (typed.observe(seen_bad, F.sum(F.when(F.col("reject_reason").isNotNull(), 1)
@@ -117,7 +138,7 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
                           overwrite=opts.overwrite, use_staging=opts.use_staging)
     res.status = out["status"]
     res.rows = out["rows"]
-    res.reject_reasons = {r[0]: r[1] for r in staged.where(F.col("reject_reason").isNotNull())
+    res.reject_reasons = {r[0]: r[1] for r in staged.where(is_bad)
                           .groupBy("reject_reason").count().collect()}
     bad = int(seen_bad.get.get("bad") or 0)
     if bad:
@@ -125,7 +146,7 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
     res.rejects = sum(res.reject_reasons.values())
     if res.export_path:
         if res.rejects:
-            staged.where(F.col("reject_reason").isNotNull()).select(
+            staged.where(is_bad).select(
                 key, "chunk", "doc", "reject_reason").write.mode("overwrite").json(
                 res.export_path + "/rejects")
         if not opts.keep_export:
