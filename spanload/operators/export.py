@@ -72,54 +72,9 @@ def line_hash(line: str | Column) -> Column:
     return F.xxhash64(F.col(line) if isinstance(line, str) else line)
 
 
-def _bounds_udf(bounds: list[tuple]):
-    """Arrow-batched rank of (chunk, key, hash) among many part starts."""
-    bdf = pd.DataFrame(bounds, columns=["c", "k", "h"])
-    bdf["is_row"] = 0
-
-    @F.pandas_udf("long")
-    def rank(c: pd.Series, k: pd.Series, h: pd.Series) -> pd.Series:
-        rows = pd.DataFrame({"c": c.values, "k": k.values, "h": h.values, "is_row": 1})
-        rows["pos"] = np.arange(len(rows))
-        both = pd.concat([bdf.assign(pos=-1), rows], ignore_index=True)
-        both = both.sort_values(["c", "k", "h", "is_row"], kind="mergesort")
-        seen = (both["is_row"] == 0).cumsum().to_numpy()
-        mask = both["is_row"].to_numpy() == 1
-        out = np.empty(len(rows), dtype=np.int64)
-        out[both["pos"].to_numpy()[mask]] = seen[mask]
-        return pd.Series(out)
-
-    return rank
-
-
-def _lex_ge(c: Column, k: Column, h: Column, b: tuple, dtype) -> Column:
-    bc, bk, bh = b
-    kl = typed_lit(bk, dtype)
-    return ((c > F.lit(bc)) | ((c == F.lit(bc)) & ((k > kl) | ((k == kl) & (h >= F.lit(bh))))))
-
-
-def _rank_among(c: Column, k: Column, h: Column, bounds: list[tuple], dtype) -> Column:
-    """Number of bounds <= (c, k, h) in lexicographic order."""
-    if not bounds:
-        return F.lit(0).cast("long")
-    if len(bounds) > TREE_MAX_EDGES:
-        return _bounds_udf(bounds)(c, k, h)
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo).cast("long")
-        mid = (lo + hi + 1) // 2
-        return F.when(_lex_ge(c, k, h, bounds[mid - 1], dtype), build(mid, hi)).otherwise(
-            build(lo, mid - 1))
-
-    return build(0, len(bounds))
-
-
-def _narrow_parts(rows: DataFrame, key: str, chunk: str, limit_bytes: int, dtype,
-                  n_rows: int, total_bytes: int, bucket_bytes: int, sample_rows: int,
-                  seed: int) -> DataFrame:
-    """(chunk, key, _h, bytes, part) from narrow columns only (no lines moved)."""
-    narrow = rows.select(chunk, key, "_h", "bytes")
+def _bucketed(rows: DataFrame, key: str, dtype, n_rows: int, total_bytes: int,
+              bucket_bytes: int, sample_rows: int, seed: int) -> tuple[DataFrame, int]:
+    """Add bucket ``_b`` and hot-key sub-bucket ``_s``; returns (frame, bucket count)."""
     n_buckets = max(1, min(1 << 20, -(-total_bytes // bucket_bytes)))
     edges: list = []
     hot: list = []
@@ -128,7 +83,7 @@ def _narrow_parts(rows: DataFrame, key: str, chunk: str, limit_bytes: int, dtype
         # matter how large the table is (edges only steer the work).
         want = min(MAX_SAMPLE, max(sample_rows, 8 * n_buckets))
         frac = min(1.0, 2.0 * want / n_rows)
-        sample = [r[0] for r in narrow.select(key).sample(False, frac, seed)
+        sample = [r[0] for r in rows.select(key).sample(False, frac, seed)
                   .limit(2 * want).collect()]
         sample.sort()
         if sample:
@@ -136,40 +91,34 @@ def _narrow_parts(rows: DataFrame, key: str, chunk: str, limit_bytes: int, dtype
             per_bucket = max(1.0, len(sample) / n_buckets)
             hot = sorted(v for v, c in Counter(sample).items() if c > 2 * per_bucket)
     k = F.col(key)
-    b = bucket_of(k, edges, dtype, point=True)
     sub = F.lit(0)
     if hot:
         sub = F.when(k.isin([typed_lit(v, dtype) for v in hot]),
                      F.shiftright(F.col("_h"), 64 - HOT_SUB_BITS)).otherwise(F.lit(0))
-    grouped = narrow.withColumn("_b", b).withColumn("_s", sub.cast("int"))
-    sizes = grouped.groupBy(chunk, "_b", "_s").agg(F.sum("bytes").alias("_gb"))
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_gb").over(
-        Window.partitionBy(chunk).orderBy("_b", "_s")
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_gb")
-    inner = (Window.partitionBy(chunk, "_b", "_s").orderBy(key, "_h")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    withpre = grouped.withColumn("_pre", F.coalesce(F.sum("bytes").over(inner), F.lit(0)))
-    out = withpre.join(offsets, [chunk, "_b", "_s"], "inner")
-    part = F.floor((F.col("_off") + F.col("_pre")) / F.lit(limit_bytes)).cast("int")
-    return out.select(chunk, key, "_h", "bytes", part.alias("part"))
+    out = rows.withColumn("_b", bucket_of(k, edges, dtype, point=True)).withColumn(
+        "_s", sub.cast("int"))
+    return out, (2 * len(edges) + 1) * (1 + (len(hot) << HOT_SUB_BITS))
 
 
 def assign_parts(df: DataFrame, key: str, line: str, limit_bytes: int,
                  chunk: str = "chunk", bucket_bytes: int = 128 << 20,
                  sample_rows: int = 20000, seed: int = 5,
-                 n_rows: int | None = None, total_bytes: int | None = None) -> DataFrame:
+                 n_rows: int | None = None, total_bytes: int | None = None,
+                 broadcast_limit: int = 256 << 20) -> DataFrame:
     """W2 — add ``bytes`` and ``part`` (int) to rows that carry a chunk column.
 
-    Part numbers are worked out on narrow columns (chunk, key, line hash,
-    bytes): the running sums shuffle ~30 bytes per row, never the lines.
-    Each part's first row (its start in ``(chunk, key, hash)`` order) then
-    comes back to the driver — one row per part, bounded by bytes / limit —
-    and the lines get their part by a narrow lookup among those starts.  The
-    only shuffle of whole lines is the one that writes each part as a file.
-
-    The input is read several times, so it should be materialised.  ``bytes``
-    and ``line_hash`` columns already on the input are reused, and known
-    totals skip the totals pass.
+    The running sums are worked out on narrow columns only (chunk, key, line
+    hash, bytes, bucket): that shuffle moves a few dozen bytes per row,
+    never the lines.  Its result is one row per bucket — the bucket's byte
+    offset inside its chunk and the (few) part starts that fall inside it.
+    The lines then get their part from that bucket row by an equi-join on
+    the bucket: broadcast when the bucket table is provably small (its row
+    count is known before the join), a shuffle join otherwise.  The only
+    shuffle of whole lines left is the one that writes each part as a file.
+
+    The input is read more than once, so it should be materialised; ``bytes``
+    and ``line_hash`` columns already on it are reused and known totals skip
+    the totals pass.
     """
     if limit_bytes <= 0:
         raise ValueError("limit_bytes must be positive")
@@ -180,33 +129,41 @@ def assign_parts(df: DataFrame, key: str, line: str, limit_bytes: int,
     if n_rows is None or total_bytes is None:
         st = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
         n_rows, total_bytes = st["n"], st["b"] or 0
-    narrow = _narrow_parts(rows, key, chunk, limit_bytes, dtype, n_rows, total_bytes,
-                           bucket_bytes, sample_rows, seed)
-    starts = (narrow.where(F.col("part") > 0)
-              .groupBy(chunk, "part").agg(F.min(F.struct(key, "_h")).alias("s"))
-              .select(F.col(chunk).alias("c"), "part", "s").collect())
-    bounds = sorted((r["c"], r["s"][0], r["s"][1]) for r in starts)
-    c, k, h = F.col(chunk).cast("long"), F.col(key), F.col("_h")
-    chunk_vals = sorted({b[0] for b in bounds})
-    per_chunk: dict = {}
-    for b in bounds:
-        per_chunk[b[0]] = per_chunk.get(b[0], 0) + 1
-    rank = _rank_among(c, k, h, bounds, dtype)
-    part = (rank - _base_case(c, chunk_vals, per_chunk)).cast("int")
-    return rows.withColumn("part", part).drop("_h", "line_hash")
-
-
-def _base_case(c: Column, chunk_vals: list, per_chunk: dict) -> Column:
-    """Number of part starts that belong to chunks before ``c``."""
-    out = None
-    acc = 0
-    for cv in chunk_vals:
-        cond = c <= F.lit(cv)
-        out = F.when(cond, F.lit(acc)) if out is None else out.when(cond, F.lit(acc))
-        acc += per_chunk[cv]
-    if out is None:
-        return F.lit(0).cast("long")
-    return out.otherwise(F.lit(acc)).cast("long")
+    rows, max_buckets = _bucketed(rows, key, dtype, n_rows, total_bytes, bucket_bytes,
+                                  sample_rows, seed)
+    grp = [chunk, "_b", "_s"]
+    narrow = rows.select(chunk, "_b", "_s", key, "_h", "bytes")
+    sizes = narrow.groupBy(*grp).agg(F.sum("bytes").alias("_gb"))
+    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_gb").over(
+        Window.partitionBy(chunk).orderBy("_b", "_s")
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inner = (Window.partitionBy(*grp).orderBy(key, "_h")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    pre = narrow.withColumn("_pre", F.coalesce(F.sum("bytes").over(inner), F.lit(0)))
+    lim = F.lit(limit_bytes)
+    with_part = (pre.join(offsets.select(*grp, "_off"), grp)
+                 .withColumn("part", F.floor((F.col("_off") + F.col("_pre")) / lim)))
+    # First row of every part: (chunk, part) -> smallest (key, hash) and its bucket.
+    starts = (with_part.groupBy(chunk, "part")
+              .agg(F.min(F.struct(key, "_h", "_b", "_s")).alias("s"))
+              .select(F.col(chunk), F.col("s._b").alias("_b"), F.col("s._s").alias("_s"),
+                      F.struct(F.col("s." + key).alias("k"), F.col("s._h").alias("h"),
+                               F.col("part").alias("p")).alias("st")))
+    table = (offsets.join(starts.groupBy(*grp).agg(F.collect_list("st").alias("_st")),
+                          grp, "left")
+             .select(*grp, F.floor(F.col("_off") / lim).alias("_p0"), "_st"))
+    # One row per bucket, each ~48 bytes plus its part starts.
+    est = max_buckets * 64 + (total_bytes // limit_bytes + max_buckets) * 48
+    if est <= broadcast_limit:
+        table = F.broadcast(table)
+    k, h = F.col(key), F.col("_h")
+    later = F.filter(F.coalesce(F.col("_st"), F.array().cast("array<struct<k:%s,h:bigint,p:bigint>>"
+                                                           % dtype.simpleString())),
+                     lambda s: (s["k"] < k) | ((s["k"] == k) & (s["h"] <= h)))
+    part = F.greatest(F.col("_p0"), F.coalesce(F.array_max(F.transform(later, lambda s: s["p"])),
+                                               F.col("_p0")))
+    out = rows.join(table, grp).withColumn("part", part.cast("int"))
+    return out.drop("_b", "_s", "_h", "_p0", "_st", "line_hash")
 
 
 def part_report(parted: DataFrame, key: str, chunk: str = "chunk") -> DataFrame:

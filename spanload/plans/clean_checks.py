@@ -34,18 +34,24 @@ _BODY = """'"_id":"' || _id || '","event_type":"' || event_type || '","user_id":
                   THEN '{"src":"' || event_type || '","_id":' || CAST(event_id AS STRING) || '}'
                   ELSE '"plain"' END"""
 
-DOC_SQL = f"""CASE {_KIND}
-  WHEN 'trunc' THEN '{{' || {_BODY}
-  WHEN 'dupid' THEN '{{' || {_BODY} || ',"id":"x"}}'
-  WHEN 'nan' THEN '{{' || {_BODY} || ',"score":NaN}}'
-  WHEN 'dupkey' THEN '{{' || {_BODY} || ',"user_id":0}}'
-  ELSE '{{' || {_BODY} || '}}' END"""
+_DOC = """CASE _kind
+  WHEN 'trunc' THEN '{' || _body
+  WHEN 'dupid' THEN '{' || _body || ',"id":"x"}'
+  WHEN 'nan' THEN '{' || _body || ',"score":NaN}'
+  WHEN 'dupkey' THEN '{' || _body || ',"user_id":0}'
+  ELSE '{' || _body || '}' END"""
+
+
+def with_raw_doc(ev: DataFrame, *keep: str) -> DataFrame:
+    """One raw JSON document per events row (the body is built once per row)."""
+    staged = ev.withColumn("_body", F.expr(_BODY)).withColumn("_kind", F.expr(_KIND))
+    return staged.select(*keep, F.expr(_DOC).alias("doc"))
 
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 input: one raw JSON document per events row, with its event_id."""
     ev = spread(events_with_key(spark, sf_dir, "_id"), "event_id")
-    return ev.select("event_id", F.expr(DOC_SQL).alias("doc"))
+    return with_raw_doc(ev, "event_id")
 
 
 def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

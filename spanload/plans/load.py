@@ -128,12 +128,14 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
         export.write_parts(parted, path + "/parts", key)
         res.export_path = path
         res.parts = export.file_sizes(spark, path + "/parts").count()  # listing only
-    typed = conform.conform_lines(good.select("line"), spec.schema, on_bad=opts.on_bad)
+    typed = conform.conform_lines(good.select(key, "line"), spec.schema, on_bad=opts.on_bad,
+                                  keep=[key, "line"] if key not in spec.schema.names else ["line"])
     # Conformance rejects are counted on the load's own pass (no re-parse).
     seen_bad = Observation(f"conform_{spec.table}")
+    extra = [c for c in (key, "line") if c not in spec.schema.names]
     loadable = (typed.observe(seen_bad, F.sum(F.when(F.col("reject_reason").isNotNull(), 1)
                                              .otherwise(0)).alias("bad"))
-                .where(F.col("reject_reason").isNull()).drop("reject_reason"))
+                .where(F.col("reject_reason").isNull()).drop("reject_reason", *extra))
     out = publish.publish(spark, loadable, spec.schema, spec.table, wh,
                           overwrite=opts.overwrite, use_staging=opts.use_staging)
     res.status = out["status"]
@@ -145,10 +147,15 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
         res.reject_reasons["schema"] = bad
     res.rejects = sum(res.reject_reasons.values())
     if res.export_path:
-        if res.rejects:
+        # C8 — rejected documents are kept, with their reason.
+        if len(res.reject_reasons) > (1 if bad else 0):
             staged.where(is_bad).select(
                 key, "chunk", "doc", "reject_reason").write.mode("overwrite").json(
-                res.export_path + "/rejects")
+                res.export_path + "/rejects/clean")
+        if bad:  # only then is the schema pass repeated, for the rejected lines
+            typed.where(F.col("reject_reason").isNotNull()).select(
+                key, F.col("line").alias("doc"), "reject_reason").write.mode("overwrite").json(
+                res.export_path + "/rejects/schema")
         if not opts.keep_export:
             publish.delete_path(spark, res.export_path + "/parts")  # W11
     res.seconds = time.time() - t0

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from spanload.functions.names import normalize_table_name_col, source_name_col
 from spanload.operators import clean, conform, export, publish, splits
 from spanload.plans import batch, load
-from spanload.plans.clean_checks import (DOC_SQL, OUTCOME, STRING_FIELDS,
+from spanload.plans.clean_checks import (OUTCOME, STRING_FIELDS, with_raw_doc,
                                          cleaned_documents)
 from spanload.plans.registry import register
 from spanload.plans.split_checks import assigned, sp_count, sp_time, with_src
 from spanload.session import scratch_path, spread
-from spanload.sources.specs import TableSpec, spec_from_text
+from spanload.sources.specs import TableSpec, discover_specs, spec_from_text
 from spanload.sources.tables import TABLES, events_with_key, read_table
 
 # The example table schema of the reference's configuration
@@ -202,7 +202,7 @@ FROM asg WHERE outcome = 'ok'"""))
 def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events_with_key(spark, sf_dir, "_id")
     ranges = splits.split_time(ev, "_id", 4)
-    raw = splits.with_chunk(ev, ranges).select("_id", "chunk", F.expr(DOC_SQL).alias("doc"))
+    raw = with_raw_doc(splits.with_chunk(ev, ranges), "_id", "chunk")
     good, _ = clean.split_rejects(clean.clean_documents(spread(raw, "_id"),
                                                         string_fields=STRING_FIELDS))
     # assign_parts reads its input several times: materialise the cleaned lines once.
@@ -240,7 +240,7 @@ def fresh_warehouse(spark: SparkSession, tag: str) -> publish.Warehouse:
 def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events_with_key(spark, sf_dir, "_id").select("_id", "event_id", "ts", "user_id",
                                                       "event_type", "value", "props")
-    return ev.select("_id", F.expr(DOC_SQL).alias("doc"))
+    return with_raw_doc(ev, "_id")
 
 
 def events_spec(spec: list[dict] | None = None, name: str = "events_docs.json") -> TableSpec:
@@ -342,18 +342,41 @@ BATCH_FAIL = "labels"  # its spec declares quality BOOLEAN; the 0/1 values do no
 BATCH_SKIP = "benchmark"  # its final table exists before the run
 
 
-def batch_jobs(spark: SparkSession, sf_dir: str) -> list[batch.TableJob]:
+def write_batch_specs(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """One ``<table>.json`` schema file per test table, written through Spark."""
     import json
-    jobs = []
+    rows = []
     for name in TABLES:
-        df = read_table(spark, sf_dir, name)
-        spec_list = load.typed_schema_spec(df.schema)
+        spec_list = load.typed_schema_spec(read_table(spark, sf_dir, name).schema)
         if name == BATCH_FAIL:
             for f in spec_list:
                 if f["name"] == "quality":
                     f["type"] = "BOOLEAN"
-        spec = spec_from_text(f"tables/{name}.json", json.dumps(spec_list))
-        key = df.columns[0]
+        rows.append((name, json.dumps(spec_list, indent=2)))
+    # partitionBy gives one folder per table; each holds one text file that
+    # is then exposed under the plain ``<table>.json`` name by a rename.
+    spark.createDataFrame(rows, "t string, value string").repartition(1).write.mode(
+        "overwrite").partitionBy("t").text(folder + "/_by_table")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = base.getFileSystem(conf)
+    for name in TABLES:
+        src_dir = jvm.org.apache.hadoop.fs.Path(f"{folder}/_by_table/t={name}")
+        part = [st.getPath() for st in fs.listStatus(src_dir)
+                if st.getPath().getName().startswith("part-")][0]
+        fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.json"))
+    fs.delete(jvm.org.apache.hadoop.fs.Path(folder + "/_by_table"), True)
+    return folder
+
+
+def batch_jobs(spark: SparkSession, sf_dir: str) -> list[batch.TableJob]:
+    """S8 — discover the schema files of a folder, one load job per file."""
+    folder = write_batch_specs(spark, sf_dir, scratch_path(spark, "specs"))
+    jobs = []
+    for spec in discover_specs(spark, folder):
+        name = spec.source
+        key = read_table(spark, sf_dir, name).columns[0]
         jobs.append(batch.TableJob(
             spec, lambda s, n=name: read_table(s, sf_dir, n),
             load.LoadOptions(key=key, chunks=10, method="count", on_bad="fail",

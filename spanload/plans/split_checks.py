@@ -106,6 +106,21 @@ def _events_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EVENTS_ID = "SELECT event_id AS key, * FROM events"
 
+# --------------------------------------------------------------------------
+# S1 — full scan: one open range, every row and column read
+
+
+@register("scan_full", """
+SELECT CAST(0 AS INTEGER) AS chunk, event_id, epoch_us(ts) AS ts_us, user_id, event_type, value,
+       props FROM events""")
+def q_scan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    single = splits.split(ev, "event_id", 1, "count")
+    return chunks.chunk_scan(splits.with_chunk(ev, single), single, 0).select(
+        "chunk", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
+        "user_id", "event_type", "value", "props")
+
+
 # --------------------------------------------------------------------------
 # R1 — exact split by count
 

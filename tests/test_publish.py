@@ -110,3 +110,17 @@ def test_discover_specs(spark):
     with pytest.raises(SchemaError):
         discover_specs(spark, folder + "/missing")
     assert os.path.exists(base)
+
+
+def test_rejects_are_kept_with_reasons(spark):
+    from spanload.plans.load_checks import events_spec
+    wh = fresh_warehouse(spark, "t-rejects")
+    r = load.load_table(spark, event_docs(spark, SF001), events_spec(), wh, load.LoadOptions(
+        key="_id", chunks=4, method="count", export_root=scratch_path(spark, "t-rej")))
+    clean_rej = spark.read.json(r.export_path + "/rejects/clean")
+    schema_rej = spark.read.json(r.export_path + "/rejects/schema")
+    assert clean_rej.count() + schema_rej.count() == r.rejects
+    assert r.rows + r.rejects == 1000
+    assert {x[0] for x in schema_rej.select("reject_reason").distinct().collect()} == {
+        "null in repeated field: tags"}
+    assert clean_rej.where("doc IS NULL").count() == 0
