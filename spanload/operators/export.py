@@ -174,15 +174,21 @@ def part_report(parted: DataFrame, key: str, chunk: str = "chunk") -> DataFrame:
 
 
 def write_parts(parted: DataFrame, path: str, key: str, line: str = "line",
-                chunk: str = "chunk", compression: str = "gzip") -> str:
+                chunk: str = "chunk", compression: str = "gzip",
+                expected_parts: int | None = None) -> str:
     """W1/W3 — one gzip JSON-lines file per (chunk, part), rows in key order.
 
-    ``repartition(chunk, part)`` sends each part to exactly one task (a part
-    is bounded by the byte limit, so no task grows with the table), and
-    ``partitionBy`` lays files out as ``chunk=c/part=p/``.  The output
-    committer makes the write all-or-nothing under task retries.
+    Hash-repartitioning by ``(chunk, part)`` sends each part to exactly one
+    task; with ``expected_parts`` (≈ bytes / limit + chunks) there are about
+    as many write tasks as parts, so a task holds about one part — bounded by
+    the byte limit — however large the table.  ``partitionBy`` lays files out
+    as ``chunk=c/part=p/``; the output committer makes the write
+    all-or-nothing under task retries.
     """
-    (parted.repartition(chunk, "part")
+    cols = [F.col(chunk), F.col("part")]
+    shuffled = (parted.repartition(max(1, expected_parts), *cols) if expected_parts
+                else parted.repartition(*cols))
+    (shuffled
      .sortWithinPartitions(chunk, "part", key, line)
      .select(chunk, "part", line)
      .write.mode("overwrite").option("compression", compression)

@@ -125,7 +125,8 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
         path = publish.staged_folder(opts.export_root, spec.table, stamp)
         parted = export.assign_parts(good, key, "line", opts.part_limit,
                                      n_rows=good_rows, total_bytes=good_bytes)
-        export.write_parts(parted, path + "/parts", key)
+        export.write_parts(parted, path + "/parts", key, expected_parts=(
+            good_bytes // opts.part_limit + ranges.n_chunks))
         res.export_path = path
         res.parts = export.file_sizes(spark, path + "/parts").count()  # listing only
     typed = conform.conform_lines(good.select(key, "line"), spec.schema, on_bad=opts.on_bad,
