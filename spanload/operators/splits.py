@@ -127,7 +127,10 @@ def split_count(df: DataFrame, key: str, n: int | None = None, *,
     if total < small_rows:
         return _single(key, dtype)
     per = max(1, total // n)
-    ordinals = [i * per for i in range(1, n)]
+    # a split point exists only for ordinals the scan reaches
+    ordinals = [i * per for i in range(1, n) if i * per <= total]
+    if not ordinals:
+        return _single(key, dtype)
     found = order_statistics(df.select(key), key, ordinals, total=total, **stats_opts)
     return KeyRanges(key, dtype, _dedupe([found[o] for o in ordinals]), "count")
 
@@ -213,13 +216,14 @@ def split(df: DataFrame, key: str, n: int | None = None, method: str | None = No
     n = chunk_policy(n, cap)
     if n == 1:
         return _single(key, df.schema[key].dataType)
+    small_rows = opts.pop("small_rows", SMALL_TABLE_ROWS)
     if method == "time":
-        return split_time(df, key, n, cap=cap, **opts)
+        return split_time(df, key, n, cap=cap, small_rows=small_rows, **opts)
     if method == "count":
-        return split_count(df, key, n, cap=cap, **opts)
+        return split_count(df, key, n, cap=cap, small_rows=small_rows, **opts)
     if method != "sampling":
         log.warning("unknown split method %r, using sampling", method)
-    return split_sample(df, key, n, cap=cap, **opts)
+    return split_sample(df, key, n, cap=cap, **opts)  # R7: no small-table gate here
 
 
 def with_chunk(df: DataFrame, ranges: KeyRanges, name: str = "chunk") -> DataFrame:
