@@ -141,15 +141,19 @@ def nonfinite(c: Column, dtype: DataType) -> Column | None:
 
 
 def rows_to_documents(df: DataFrame, doc: str = "doc", keep: Iterable[str] = (),
-                      reason: str = "reject_reason") -> DataFrame:
+                      reason: str = "reject_reason",
+                      cols: list[str] | None = None) -> DataFrame:
     """C7 — typed rows to raw JSON documents; NaN/±Inf rows become rejects.
 
     JSON has no NaN or Infinity (Spark would write them as text), so such a
     row never becomes a document.  Nested nulls are written out, so the
     cleaning rules see the same document a document store would hold.
     """
-    cond = nonfinite(F.struct(*[F.col(c) for c in df.columns]), StructType(df.schema.fields))
-    text = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+    cols = cols or df.columns
+    fields = StructType([df.schema[c] for c in cols])
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    cond = nonfinite(row, fields)
+    text = F.to_json(row, {"ignoreNullFields": "false"})
     bad = cond if cond is not None else F.lit(False)
     return df.select(*[F.col(k) for k in keep],
                      F.when(~bad, text).alias(doc),

@@ -234,3 +234,121 @@ def check_columns(target: StructType, incoming: StructType) -> None:
     extra = [c for c in have if c not in want]
     if missing or extra:
         raise SchemaError(f"column sets differ: missing {missing}, unexpected {extra}")
+
+
+# ---------------------------------------------------------------------------
+# Typed sources: the same load rules without a JSON round trip
+
+
+def _compatible(src: DataType, dst: DataType) -> bool:
+    """True when a JSON round trip of ``src`` values would load into ``dst`` unchanged."""
+    from pyspark.sql.types import ByteType, IntegerType, MapType, ShortType
+    integral = (ByteType, ShortType, IntegerType, LongType)
+    if isinstance(dst, LongType):
+        return isinstance(src, integral)
+    if isinstance(dst, DoubleType):
+        # FLOAT32 is left to the JSON path: its text form rounds differently
+        # from a binary widening.
+        return isinstance(src, integral + (DoubleType,))
+    if isinstance(dst, (StringType, BooleanType, DateType, BinaryType, TimestampNTZType)):
+        return type(src) is type(dst)
+    if isinstance(dst, TimestampType):
+        return isinstance(src, (TimestampType, TimestampNTZType))
+    if isinstance(dst, ArrayType):
+        return isinstance(src, ArrayType) and _compatible(src.elementType, dst.elementType)
+    if isinstance(dst, StructType):
+        if not isinstance(src, StructType):
+            return False
+        names = {f.name: f.dataType for f in src.fields}
+        return all(_compatible(names[f.name], f.dataType) for f in dst.fields if f.name in names)
+    del MapType
+    return False
+
+
+def _renamed(name: str, rename_id: bool) -> str:
+    return "id" if rename_id and name == "_id" else name
+
+
+def typed_compatible(source: StructType, schema: StructType, rename_id: bool = True) -> bool:
+    """Whether :func:`conform_typed` applies (else load through JSON documents)."""
+    names = {_renamed(f.name, rename_id): f.dataType for f in source.fields}
+    if rename_id and "_id" in source.names and "id" in source.names:
+        return False
+    for f in schema.fields:
+        if f.name in names and not _compatible(names[f.name], f.dataType):
+            return False
+        if f.name in names and isinstance(f.dataType, StructType) and rename_id:
+            if _nested_id(names[f.name]):
+                return False
+    return True
+
+
+def _nested_id(dt: DataType) -> bool:
+    """A nested ``_id`` field would be renamed in text; keep those on the JSON path."""
+    if isinstance(dt, StructType):
+        return any(f.name == "_id" or _nested_id(f.dataType) for f in dt.fields)
+    if isinstance(dt, ArrayType):
+        return _nested_id(dt.elementType)
+    return False
+
+
+def _typed_value(c: Column, src: DataType, field: StructField) -> Column:
+    dst = field.dataType
+    if isinstance(dst, StructType):
+        names = {f.name: f.dataType for f in src.fields}
+        subs = [(_typed_value(c[f.name], names[f.name], f) if f.name in names
+                 else F.lit(None).cast(parse_schema(StructType([f]))[0].dataType)).alias(f.name)
+                for f in dst.fields]
+        return F.when(c.isNull(), F.lit(None).cast(parse_schema(dst))).otherwise(F.struct(*subs))
+    if isinstance(dst, ArrayType):
+        inner = StructField("x", dst.elementType, True, {"type": field.metadata.get("type", "")})
+        return F.transform(c, lambda x: _typed_value(x, src.elementType, inner))
+    return c.cast(dst)
+
+
+def conform_typed(df: DataFrame, schema: StructType, on_bad: str = "reject",
+                  reason: str = "reject_reason", keep: list[str] | None = None,
+                  rename_id: bool = True) -> DataFrame:
+    """F2–F5 (plus C1, C2, C5, C7) for a typed source whose types are compatible.
+
+    Same outcome as writing each row as a JSON document, cleaning it and
+    loading it into ``schema``: unknown columns are ignored, missing ones are
+    NULL (REPEATED: ``[]``), a top-level ``[null]`` array counts as missing,
+    ``_id`` becomes ``id``, NaN/±Infinity anywhere rejects the row, and the
+    REQUIRED / REPEATED / TIME rules apply — but no text is produced or
+    parsed.  Check :func:`typed_compatible` first.
+    """
+    from spanload.operators.clean import NON_FINITE, nonfinite
+    if on_bad not in ("reject", "fail"):
+        raise ValueError("on_bad must be 'reject' or 'fail'")
+    src = {_renamed(f.name, rename_id): f for f in df.schema.fields}
+    cols = []
+    for f in schema.fields:
+        if f.name in src:
+            s = src[f.name]
+            c = F.col(f"`{s.name}`")
+            if isinstance(s.dataType, ArrayType):
+                only_null = (F.size(c) == 1) & c[0].isNull()
+                c = F.when(only_null, F.lit(None)).otherwise(c)  # C2
+            v = _typed_value(c, s.dataType, f)
+        else:
+            v = F.lit(None).cast(parse_schema(StructType([f]))[0].dataType)
+        cols.append(_fill_repeated(v, f).alias(f.name))
+    bad = nonfinite(F.struct(*[F.col(f"`{c}`") for c in df.columns]),
+                    StructType(df.schema.fields))
+    typed = df.select(*[F.col(k) for k in (keep or [])], *cols,
+                      (bad if bad is not None else F.lit(False)).alias("_nf"))
+    why = None
+    for f in schema.fields:
+        for cond, text in _violations(F.col(f.name), f, ""):
+            c = F.coalesce(cond, F.lit(False))
+            why = F.when(c, F.lit(text)) if why is None else why.when(c, F.lit(text))
+    schema_why = why if why is not None else F.lit(None).cast("string")
+    # A non-finite row is a cleaning reject (it never reaches the load), so
+    # it never fails the load; schema problems follow ``on_bad``.
+    out = typed.withColumn("_sw", schema_why).withColumn(
+        reason, F.when(F.col("_nf"), F.lit(NON_FINITE)).otherwise(F.col("_sw")))
+    if on_bad == "fail":
+        out = out.where(F.assert_true(F.col("_nf") | F.col("_sw").isNull(), F.concat(
+            F.lit("load failed: "), F.col("_sw"))).isNull())
+    return out.drop("_nf", "_sw")

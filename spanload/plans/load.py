@@ -42,6 +42,7 @@ class LoadOptions:
     on_bad: str = "reject"  # F4
     on_empty: str = "error"  # X3
     rename_id: bool = True  # C5
+    typed_fast_path: bool = True  # typed sources with compatible types skip JSON
 
 
 @dataclass
@@ -58,14 +59,6 @@ class LoadResult:
     reject_reasons: dict = field(default_factory=dict)
 
 
-def as_documents(source: DataFrame, key: str) -> DataFrame:
-    """A raw ``doc`` column from a document source, or built from typed rows."""
-    if "doc" in source.columns:
-        return source.select(key, "doc")
-    return clean.rows_to_documents(source, keep=[key]).withColumnRenamed(
-        "reject_reason", "_pre_reason")
-
-
 def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
                wh: publish.Warehouse, opts: LoadOptions | None = None) -> LoadResult:
     opts = opts or LoadOptions()
@@ -80,70 +73,110 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
     key = opts.key
     ranges = splits.split(source, key, opts.chunks, opts.method, ranges=opts.ranges)
     res.chunks = ranges.n_chunks
-    docs = splits.with_chunk(as_documents(spread(source, key), key), ranges)
-    cleaned = clean.clean_documents(docs, "doc", conform.string_fields(spec.schema),
-                                    rename_id=opts.rename_id)
-    if "_pre_reason" in cleaned.columns:
-        cleaned = cleaned.withColumn(
-            "reject_reason", F.coalesce("_pre_reason", "reject_reason")).drop("_pre_reason")
-    # Materialise the cleaned documents once, as parquet in the shared
-    # checkpoint folder: later passes read only the columns they need
-    # (chunk, bytes, key ...) and a lost executor costs a re-read.
+    typed_mode = (opts.typed_fast_path and "doc" not in source.columns
+                  and conform.typed_compatible(source.schema, spec.schema, opts.rename_id))
+    rows = splits.with_chunk(spread(source, key), ranges, name="_chunk").withColumn(
+        "_key", F.col(key))
+    # Materialise the cleaned rows once, as parquet in the shared checkpoint
+    # folder: later passes read only the columns they need (chunk, bytes,
+    # key ...) and a lost executor costs a re-read, not a re-parse.
     stage_path = scratch_path(spark, f"stage-{spec.table}")
-    (cleaned.select(key, "chunk", "line", "reject_reason",
-                    F.when(F.col("reject_reason").isNotNull(), F.col("doc")).alias("doc"),
-                    export.line_bytes("line").alias("bytes"),
-                    export.line_hash("line").alias("line_hash"))
-     .write.mode("overwrite").parquet(stage_path))
+    stage = _stage_typed(rows, spec, opts) if typed_mode else _stage_documents(rows, spec, opts)
+    stage.write.mode("overwrite").parquet(stage_path)
     staged = spark.read.parquet(stage_path)
     try:
-        return _load_staged(spark, staged, spec, wh, opts, ranges, res, t0)
+        return _load_staged(spark, staged, spec, wh, opts, ranges, res, t0, typed_mode)
     finally:
         publish.delete_path(spark, stage_path)
 
 
+def _stage_documents(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> DataFrame:
+    """Document path: raw JSON → cleaned JSON line."""
+    if "doc" in rows.columns:
+        docs = rows.select("_key", "_chunk", "doc")
+    else:  # typed rows whose types need the JSON load rules
+        src_cols = [c for c in rows.columns if c not in ("_key", "_chunk")]
+        docs = clean.rows_to_documents(rows, keep=["_key", "_chunk"], cols=src_cols)
+        docs = docs.withColumnRenamed("reject_reason", "_pre_reason")
+    cleaned = clean.clean_documents(docs, "doc", conform.string_fields(spec.schema),
+                                    rename_id=opts.rename_id)
+    if "_pre_reason" in cleaned.columns:
+        cleaned = cleaned.withColumn(
+            "reject_reason", F.coalesce("_pre_reason", "reject_reason")).drop("_pre_reason")
+    is_bad = F.col("reject_reason").isNotNull()
+    out = cleaned.select("_key", "_chunk", "reject_reason", "line",
+                         F.when(is_bad, F.col("doc")).alias("doc"))
+    return (out.withColumn("bytes", export.line_bytes("line"))
+            .withColumn("line_hash", export.line_hash("line")))
+
+
+def _stage_typed(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> DataFrame:
+    """Typed path: compatible columns conformed directly (no JSON round trip)."""
+    src_cols = [c for c in rows.columns if c not in ("_key", "_chunk")]
+    packed = rows.withColumn("_src", F.struct(*[F.col(f"`{c}`") for c in src_cols]))
+    typed = conform.conform_typed(packed, spec.schema, on_bad=opts.on_bad,
+                                  keep=["_key", "_chunk", "_src"], rename_id=opts.rename_id)
+    is_bad = F.col("reject_reason").isNotNull()
+    # a rejected row keeps its source row as a document
+    out = typed.withColumn("doc", F.when(is_bad, F.to_json("_src"))).drop("_src")
+    if opts.export_root:
+        line = F.when(~is_bad, F.to_json(F.struct(*[F.col(f.name) for f in spec.schema.fields])))
+        return (out.withColumn("line", line)
+                .withColumn("bytes", export.line_bytes("line"))
+                .withColumn("line_hash", export.line_hash("line")))
+    return (out.withColumn("line", F.lit(None).cast("string"))
+            .withColumn("bytes", F.lit(0).cast("bigint"))
+            .withColumn("line_hash", F.lit(0).cast("bigint")))
+
+
 def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
                  wh: publish.Warehouse, opts: LoadOptions, ranges: splits.KeyRanges,
-                 res: LoadResult, t0: float) -> LoadResult:
-    key = opts.key
+                 res: LoadResult, t0: float, typed_mode: bool) -> LoadResult:
     is_bad = F.col("reject_reason").isNotNull()
     # X3 — empty chunks, C8 reject counts and export totals: one narrow pass.
-    per_chunk = (staged.groupBy("chunk").agg(
+    per_chunk = (staged.groupBy("_chunk").agg(
         F.count(F.lit(1)).alias("docs"),
         F.sum(F.when(is_bad, 1).otherwise(0)).alias("rejects"),
         F.sum(F.when(~is_bad, F.col("bytes")).otherwise(0)).alias("good_bytes"))
         .collect())
-    seen = {r["chunk"] for r in per_chunk}
+    seen = {r["_chunk"] for r in per_chunk}
     empty = [c for c in range(ranges.n_chunks) if c not in seen]
     if empty and opts.on_empty == "error":
         raise RuntimeError(f"no documents found in chunks {empty} for table {spec.table}")
     good_rows = sum(r["docs"] - r["rejects"] for r in per_chunk)
     good_bytes = sum(r["good_bytes"] or 0 for r in per_chunk)
-    good = staged.where(~is_bad).select(key, "chunk", "line", "bytes", "line_hash")
+    good = staged.where(~is_bad)
     if opts.export_root:
         stamp = publish.run_stamp()
         path = publish.staged_folder(opts.export_root, spec.table, stamp)
-        parted = export.assign_parts(good, key, "line", opts.part_limit,
+        lines = good.select("_key", F.col("_chunk").alias("chunk"), "line", "bytes",
+                            "line_hash")
+        parted = export.assign_parts(lines, "_key", "line", opts.part_limit,
                                      n_rows=good_rows, total_bytes=good_bytes)
-        export.write_parts(parted, path + "/parts", key, expected_parts=(
+        export.write_parts(parted, path + "/parts", "_key", expected_parts=(
             good_bytes // opts.part_limit + ranges.n_chunks))
         res.export_path = path
         res.parts = export.file_sizes(spark, path + "/parts").count()  # listing only
-    typed = conform.conform_lines(good.select(key, "line"), spec.schema, on_bad=opts.on_bad,
-                                  keep=[key, "line"] if key not in spec.schema.names else ["line"])
-    # Conformance rejects are counted on the load's own pass (no re-parse).
     seen_bad = Observation(f"conform_{spec.table}")
-    extra = [c for c in (key, "line") if c not in spec.schema.names]
-    loadable = (typed.observe(seen_bad, F.sum(F.when(F.col("reject_reason").isNotNull(), 1)
-                                             .otherwise(0)).alias("bad"))
-                .where(F.col("reject_reason").isNull()).drop("reject_reason", *extra))
+    if typed_mode:
+        # schema rules already applied while staging; nothing is parsed again
+        loadable = good.select(*[F.col(f.name) for f in spec.schema.fields])
+        typed = None
+    else:
+        typed = conform.conform_lines(good.select("_key", "line"), spec.schema,
+                                      on_bad=opts.on_bad, keep=["_key", "line"])
+        # Conformance rejects are counted on the load's own pass (no re-parse).
+        loadable = (typed.observe(seen_bad, F.sum(F.when(F.col("reject_reason").isNotNull(), 1)
+                                                 .otherwise(0)).alias("bad"))
+                    .where(F.col("reject_reason").isNull())
+                    .drop("reject_reason", "_key", "line"))
     out = publish.publish(spark, loadable, spec.schema, spec.table, wh,
                           overwrite=opts.overwrite, use_staging=opts.use_staging)
     res.status = out["status"]
     res.rows = out["rows"]
     res.reject_reasons = {r[0]: r[1] for r in staged.where(is_bad)
                           .groupBy("reject_reason").count().collect()}
-    bad = int(seen_bad.get.get("bad") or 0)
+    bad = 0 if typed is None else int(seen_bad.get.get("bad") or 0)
     if bad:
         res.reject_reasons["schema"] = bad
     res.rejects = sum(res.reject_reasons.values())
@@ -151,12 +184,12 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
         # C8 — rejected documents are kept, with their reason.
         if len(res.reject_reasons) > (1 if bad else 0):
             staged.where(is_bad).select(
-                key, "chunk", "doc", "reject_reason").write.mode("overwrite").json(
-                res.export_path + "/rejects/clean")
+                F.col("_key").alias("key"), F.col("_chunk").alias("chunk"), "doc",
+                "reject_reason").write.mode("overwrite").json(res.export_path + "/rejects/clean")
         if bad:  # only then is the schema pass repeated, for the rejected lines
             typed.where(F.col("reject_reason").isNotNull()).select(
-                key, F.col("line").alias("doc"), "reject_reason").write.mode("overwrite").json(
-                res.export_path + "/rejects/schema")
+                F.col("_key").alias("key"), F.col("line").alias("doc"), "reject_reason"
+            ).write.mode("overwrite").json(res.export_path + "/rejects/schema")
         if not opts.keep_export:
             publish.delete_path(spark, res.export_path + "/parts")  # W11
     res.seconds = time.time() - t0
