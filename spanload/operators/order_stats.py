@@ -170,7 +170,10 @@ def _narrow(keys: DataFrame, k: Column, dtype: DataType,
     per_iv: dict[int, list[Any]] = {j: [] for j in range(len(ivs))}
     for r in sampled:
         per_iv[r["iv"]].append(r["k"])
-    edges = {j: _pick_edges(v, fanout) for j, v in per_iv.items()}
+    # One edge budget per level, shared by the intervals, keeps the bucket
+    # expression small enough for generated code however many targets remain.
+    share = max(4, fanout // max(1, len(ivs)))
+    edges = {j: _pick_edges(v, share) for j, v in per_iv.items()}
     # 2. one aggregation: rows, min, max per (interval, bucket).
     bucket = None
     for j in range(len(ivs)):

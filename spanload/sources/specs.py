@@ -54,9 +54,14 @@ def discover_specs(spark: SparkSession, folder: str) -> list[TableSpec]:
     they would overwrite each other.
     """
     try:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
-                 .load(folder).select("path", F.col("content").cast("string").alias("text"))
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
+        too_big = listed.where(F.col("length") > MAX_SPEC_BYTES).select("path").limit(1).collect()
+        if too_big:
+            raise SchemaError(f"schema file {too_big[0][0]} is too large")
+        files = (listed.select("path", F.col("content").cast("string").alias("text"))
                  .orderBy("path").collect())
+    except SchemaError:
+        raise
     except Exception as e:  # noqa: BLE001
         raise SchemaError(f"target folder does not exist: {folder}: {e}") from e
     if not files:
