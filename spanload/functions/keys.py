@@ -56,12 +56,24 @@ def is_hex_text(s: object) -> bool:
     return isinstance(s, str) and bool(_HEX_KEY_RE.match(s))
 
 
+def epoch_seconds(ts: str | Column) -> Column:
+    """Whole seconds since 1970 of a TIMESTAMP_NTZ value, independent of the session zone."""
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                            _col(ts))
+
+
+def epoch_micros(ts: str | Column) -> Column:
+    """Microseconds since 1970 of a TIMESTAMP_NTZ value, independent of the session zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                            _col(ts))
+
+
 def synthetic_hex_key(ts: str | Column, seq: str | Column) -> Column:
-    """An object-id-shaped key made from a time column and a unique number.
+    """An object-id-shaped key made from a TIMESTAMP_NTZ column and a unique number.
 
     ``hex8(epoch seconds of ts) || 16 hex digits of seq`` — the layout used
     to give the TPC-style test tables time-ordered document keys.
     """
-    sec = F.unix_seconds(_col(ts).cast("timestamp"))
+    sec = epoch_seconds(ts)
     return F.concat(F.lpad(F.lower(F.hex(sec)), 8, "0"),
                     F.lpad(F.lower(F.hex(_col(seq).cast("bigint"))), 16, "0"))

@@ -107,9 +107,19 @@ def chunk_balance(frames: dict[str, tuple[DataFrame, KeyRanges]]) -> DataFrame:
         "imbalance", F.round(F.col("max_rows") * F.col("chunks") / F.col("total_rows"), 6))
 
 
+# Period lengths of the key-time profile, in seconds.
+PROFILE_UNITS = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
 def key_time_profile(df: DataFrame, key: str, unit: str = "day") -> DataFrame:
-    """X5 — rows per creation-time unit of object-id keys (skew check for ``time``)."""
-    t = F.date_trunc(unit, F.timestamp_seconds(key_seconds(key)))
-    return (df.select(t.alias("t"))
-            .groupBy("t").agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("period"), "rows"))
+    """X5 — rows per creation-time period of object-id keys (skew check for ``time``).
+
+    Periods are whole UTC units counted from 1970 (``period_start`` in epoch
+    seconds), so the result does not depend on the session time zone.
+    """
+    if unit not in PROFILE_UNITS:
+        raise ValueError(f"unit must be one of {sorted(PROFILE_UNITS)}")
+    size = PROFILE_UNITS[unit]
+    start = (F.floor(key_seconds(key) / size) * size).cast("bigint")
+    return (df.select(start.alias("period_start"))
+            .groupBy("period_start").agg(F.count(F.lit(1)).alias("rows")))

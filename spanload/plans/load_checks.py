@@ -40,9 +40,8 @@ _USER_DOC = """'{"_id":"' || CAST(c_custkey AS STRING) || '","username":"' || c_
  || '","test_user":' || CASE WHEN c_mktsegment = 'BUILDING' THEN 'true' ELSE 'false' END
  || ',"account_details":[{"name":"' || c_mktsegment || '","age":' || CAST(c_nationkey AS STRING)
  || ',"score":' || CAST(c_acctbal AS STRING) || '},{"name":"' || c_name || '","age":'
- || CAST(c_custkey % 90 AS STRING) || ',"score":null}],"created_at":"'
- || date_format(timestamp_seconds(1700000000 + c_custkey * 37), "yyyy-MM-dd'T'HH:mm:ss'Z'")
- || '","extra":{"a":1}}'"""
+ || CAST(c_custkey % 90 AS STRING) || ',"score":null}],"created_at":'
+ || CAST(1700000000 + c_custkey * 37 AS STRING) || ',"extra":{"a":1}}'"""
 
 
 def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanload.functions.keys import key_seconds, synthetic_hex_key
+from spanload.functions.keys import epoch_micros, epoch_seconds, key_seconds
 from spanload.operators import chunks, splits
 from spanload.plans.registry import register
 from spanload.sources import ranges as range_files
@@ -117,7 +117,7 @@ def q_scan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     single = splits.split(ev, "event_id", 1, "count")
     return chunks.chunk_scan(splits.with_chunk(ev, single), single, 0).select(
-        "chunk", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
+        "chunk", "event_id", epoch_micros("ts").alias("ts_us"),
         "user_id", "event_type", "value", "props")
 
 
@@ -283,10 +283,11 @@ GAP_SHIFT = 400 * 86400  # errors are stamped 400 days later: a hole in time
 
 
 def _gapped_key_spark(df: DataFrame) -> DataFrame:
-    shifted = F.col("ts").cast("timestamp") + F.when(
-        F.col("event_type") == "error", F.expr(f"INTERVAL {GAP_SHIFT} SECONDS")
-    ).otherwise(F.expr("INTERVAL 0 SECONDS"))
-    return df.withColumn("key", synthetic_hex_key(shifted, "event_id"))
+    sec = epoch_seconds("ts") + F.when(F.col("event_type") == "error", F.lit(GAP_SHIFT)) \
+        .otherwise(F.lit(0))
+    key = F.concat(F.lpad(F.lower(F.hex(sec)), 8, "0"),
+                   F.lpad(F.lower(F.hex("event_id")), 16, "0"))
+    return df.withColumn("key", key)
 
 
 GAPPED_SRC = f"""
@@ -337,8 +338,7 @@ def q_chunk_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("key_time_profile", f"""
 WITH src AS ({EVENTS_HEX})
-SELECT strftime(date_trunc('day', make_timestamp(sec * 1000000)), '%Y-%m-%d %H:%M:%S') AS period,
-       CAST(count(*) AS BIGINT) AS rows
+SELECT CAST(sec // 86400 * 86400 AS BIGINT) AS period_start, CAST(count(*) AS BIGINT) AS rows
 FROM src GROUP BY 1""")
 def q_key_time_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = events_with_key(spark, sf_dir, "key")
