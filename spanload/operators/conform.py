@@ -242,7 +242,7 @@ def check_columns(target: StructType, incoming: StructType) -> None:
 
 def _compatible(src: DataType, dst: DataType) -> bool:
     """True when a JSON round trip of ``src`` values would load into ``dst`` unchanged."""
-    from pyspark.sql.types import ByteType, IntegerType, MapType, ShortType
+    from pyspark.sql.types import ByteType, IntegerType, ShortType
     integral = (ByteType, ShortType, IntegerType, LongType)
     if isinstance(dst, LongType):
         return isinstance(src, integral)
@@ -261,7 +261,6 @@ def _compatible(src: DataType, dst: DataType) -> bool:
             return False
         names = {f.name: f.dataType for f in src.fields}
         return all(_compatible(names[f.name], f.dataType) for f in dst.fields if f.name in names)
-    del MapType
     return False
 
 

@@ -21,6 +21,9 @@ from spanload.operators.splits import KeyRanges
 # A range file is metadata: refuse anything that is not small.
 MAX_RANGES = 100_000
 
+# Method numbers of the offline range tool.
+METHOD_CODES = {1: "sampling", 2: "time", 3: "count"}
+
 
 def write_ranges(spark: SparkSession, ranges: KeyRanges, path: str) -> str:
     """R6 — save a range table as one JSON array (open ends left out)."""
@@ -67,3 +70,18 @@ def read_ranges(spark: SparkSession, path: str, key: str = "_id",
         if not ends[i - 1] < ends[i]:
             raise ValueError(f"ranges are not in ascending key order at index {i}")
     return KeyRanges(key, StringType(), ends, "file")
+
+
+def make_range_file(spark: SparkSession, df, key: str, path: str, chunks: int = 10,
+                    method: int = 1) -> KeyRanges:
+    """R6 — compute ranges offline (1 sampling, 2 time, 3 count) and save them.
+
+    The chunk number is taken as given (no cap), like the offline tool; a
+    later load that finds this file uses it instead of splitting again (R5).
+    """
+    from spanload.operators import splits
+    if method not in METHOD_CODES:
+        raise ValueError(f"method must be one of {sorted(METHOD_CODES)}")
+    ranges = splits.split(df, key, chunks, METHOD_CODES[method], cap=max(chunks, 1))
+    write_ranges(spark, ranges, path)
+    return ranges

@@ -39,3 +39,22 @@ def test_bad_files(spark):
     with pytest.raises(ValueError, match="starts at"):
         ranges.read_ranges(spark, _write_text(
             spark, f'[{{"end_id":"{a}"}},{{"start_id":"65b000000000000000000000"}}]'))
+
+
+def test_make_range_file_and_source_types(spark):
+    from spanload.sources.formats import SOURCE_TYPES, open_source, raw_json_documents
+    ev = events_with_key(spark, SF01, "_id")
+    path = scratch_path(spark, "t-ranges") + "/events.json"
+    made = ranges.make_range_file(spark, ev, "_id", path, chunks=12, method=3)
+    assert made.n_chunks == 12 and ranges.read_ranges(spark, path).points == made.points
+    with pytest.raises(ValueError):
+        ranges.make_range_file(spark, ev, "_id", path, method=7)
+    assert "parquet" in SOURCE_TYPES
+    df = open_source(spark, "parquet", f"{SF01}/region.parquet")
+    assert df.count() == 5
+    with pytest.raises(ValueError, match="unsupported source type"):
+        open_source(spark, "mongo", "x")
+    txt = scratch_path(spark, "t-raw") + "/docs"
+    spark.createDataFrame([('{"a":1}',), ('{"b":2}',)], "value string").write.text(txt)
+    assert sorted(r["doc"] for r in raw_json_documents(spark, txt).collect()) == [
+        '{"a":1}', '{"b":2}']
