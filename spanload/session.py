@@ -77,10 +77,17 @@ def spread(df, key: str | None = None):
 
     A small file with one row group is a single input split, so parsing it
     runs on one core.  Below the cluster's default parallelism the frame is
-    hash-repartitioned by ``key`` (deterministic under retries); at scale the
-    input already has far more splits than cores and nothing changes.
+    spread round-robin (not by key: a key holding a third of the rows would
+    land in one task; Spark sorts before a round-robin repartition, so a
+    retried task gets the same rows).  At scale the input already has far
+    more splits than cores and nothing changes.  ``key`` is accepted for
+    call-site readability only.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    del key
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 — no RDD view (e.g. a remote session): leave as is
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(target)
