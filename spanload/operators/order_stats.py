@@ -59,10 +59,14 @@ class _Interval:
     hi: Any  # inclusive upper bound, None = unbounded
     base: int  # rows strictly below the interval
     count: int  # rows inside the interval
+    edges: list | None = None  # quantile edges found while counting the parent level
 
     def ident(self) -> tuple:
         return (self.lo, self.hi)
 
+    def __hash__(self) -> int:  # edges are a list; identity is the bounds
+        return hash(self.ident())
+
     def predicate(self, k: Column, dtype: DataType) -> Column:
         cond = F.lit(True)
         if self.lo is not None:
@@ -146,6 +150,24 @@ def _resolve_by_window(keys: DataFrame, k: Column, dtype: DataType,
     return out
 
 
+# Relative accuracy of the quantile sketches that pick the next level's edges.
+SKETCH_ACCURACY = 2000
+
+
+def _fractions(share: int) -> list[float]:
+    return [i / (share + 1) for i in range(1, share + 1)]
+
+
+def _sketched_edges(keys: DataFrame, k: Column, ivs: list[_Interval], cond: Column,
+                    idx: Column, share: int) -> dict[int, list]:
+    """First-level edges for sketchable keys: one quantile pass per level."""
+    rows = (keys.where(cond).select(idx.alias("iv"), k).groupBy("iv")
+            .agg(F.percentile_approx("k", _fractions(share), SKETCH_ACCURACY).alias("q"))
+            .collect())
+    got = {r["iv"]: sorted(set(r["q"] or [])) for r in rows}
+    return {j: got.get(j, []) for j in range(len(ivs))}
+
+
 def _pick_edges(sample: list[Any], fanout: int) -> list[Any]:
     distinct = sorted(set(sample))
     if len(distinct) <= fanout:
@@ -153,12 +175,19 @@ def _pick_edges(sample: list[Any], fanout: int) -> list[Any]:
     return sorted({distinct[(i * len(distinct)) // fanout] for i in range(fanout)})
 
 
-def _narrow(keys: DataFrame, k: Column, dtype: DataType,
-            groups: list[tuple[_Interval, list[int]]], fanout: int,
-            sample_rows: int, seed: int) -> dict[int, Any]:
-    ivs = [g[0] for g in groups]
-    cond, idx = _iv_case(k, dtype, ivs)
-    # 1. bounded sample of keys per interval (Bernoulli, then a hard cap).
+def _sketchable(dtype: DataType) -> bool:
+    """Key types ``percentile_approx`` accepts (numbers, dates, timestamps)."""
+    from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType,
+                                   FloatType, IntegerType, LongType, ShortType,
+                                   TimestampNTZType, TimestampType)
+    return isinstance(dtype, (ByteType, ShortType, IntegerType, LongType, FloatType,
+                              DoubleType, DecimalType, DateType, TimestampType,
+                              TimestampNTZType))
+
+
+def _sampled_edges(keys: DataFrame, k: Column, ivs: list[_Interval], cond: Column,
+                   idx: Column, share: int, sample_rows: int, seed: int) -> dict[int, list]:
+    """Bounded Bernoulli sample of keys per interval, then a hard cap."""
     frac = None
     for j, iv in enumerate(ivs):
         f = min(1.0, 2.0 * sample_rows / max(iv.count, 1))
@@ -170,20 +199,38 @@ def _narrow(keys: DataFrame, k: Column, dtype: DataType,
     per_iv: dict[int, list[Any]] = {j: [] for j in range(len(ivs))}
     for r in sampled:
         per_iv[r["iv"]].append(r["k"])
+    return {j: _pick_edges(v, share) for j, v in per_iv.items()}
+
+
+def _narrow(keys: DataFrame, k: Column, dtype: DataType,
+            groups: list[tuple[_Interval, list[int]]], fanout: int,
+            sample_rows: int, seed: int) -> dict[int, Any]:
+    ivs = [g[0] for g in groups]
+    cond, idx = _iv_case(k, dtype, ivs)
     # One edge budget per level, shared by the intervals, keeps the bucket
     # expression small enough for generated code however many targets remain.
     share = max(4, fanout // max(1, len(ivs)))
-    edges = {j: _pick_edges(v, share) for j, v in per_iv.items()}
-    # 2. one aggregation: rows, min, max per (interval, bucket).
+    sketch = _sketchable(dtype)
+    # 1. edges: quantiles sketched while counting the parent level, or (first
+    #    level, other key types) a bounded sample.
+    if all(iv.edges is not None for iv in ivs):
+        edges = {j: iv.edges for j, iv in enumerate(ivs)}
+    elif sketch:
+        edges = _sketched_edges(keys, k, ivs, cond, idx, share)
+    else:
+        edges = _sampled_edges(keys, k, ivs, cond, idx, share, sample_rows, seed)
+    # 2. one aggregation: rows, min, max per (interval, bucket) — and, for
+    #    sketchable keys, the quantiles the next level will use as its edges.
     bucket = None
     for j in range(len(ivs)):
         e = edges[j]
         tree = rank_tree(k, [typed_lit(x, dtype) for x in e], point=True) if e else F.lit(0)
         bucket = F.when(idx == j, tree) if bucket is None else bucket.when(idx == j, tree)
+    aggs = [F.count(F.lit(1)).alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")]
+    if sketch:
+        aggs.append(F.percentile_approx("k", _fractions(share), SKETCH_ACCURACY).alias("q"))
     stats = (keys.where(cond).select(idx.alias("iv"), bucket.alias("b"), k)
-             .groupBy("iv", "b")
-             .agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi"))
-             .collect())
+             .groupBy("iv", "b").agg(*aggs).collect())
     by_iv: dict[int, list] = {}
     for r in stats:
         by_iv.setdefault(r["iv"], []).append(r)
@@ -198,7 +245,8 @@ def _narrow(keys: DataFrame, k: Column, dtype: DataType,
                     if r["lo"] == r["hi"]:
                         out[t] = (r["lo"],)
                     else:
-                        out[t] = _Interval(r["lo"], r["hi"], iv.base + seen, r["n"])
+                        nxt = sorted(set(r["q"])) if sketch and r["q"] else None
+                        out[t] = _Interval(r["lo"], r["hi"], iv.base + seen, r["n"], nxt)
                     break
                 seen += r["n"]
             else:  # counts changed under us: the input is not stable
