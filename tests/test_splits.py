@@ -122,3 +122,11 @@ def test_empty_chunk_guard(spark):
     assert [x["rows"] for x in report.orderBy("chunk").collect()] == [100, 9900, 0, 0]
     with pytest.raises(Exception, match="no documents found in chunk"):
         chunks.guard_empty_chunks(report, "error").collect()
+
+
+def test_empty_input_by_sampling_is_one_open_range(spark):
+    ev = read_table(spark, SF01, "events").where("event_id < 0")
+    r = splits.split_sample(ev, "event_id", 4)
+    assert r.points == [] and r.n_chunks == 1
+    with pytest.raises(ValueError, match="oldest"):
+        splits.split_time(events_with_key(spark, SF01, "_id").where("event_id < 0"), "_id", 4)
