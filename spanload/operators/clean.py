@@ -73,9 +73,12 @@ def clean_map(m: Column, string_fields: Iterable[str] = ()) -> Column:
 def encode(m: Column, rename_id: bool = True) -> Column:
     """C4 + C5 — one compact JSON line; ``"_id":`` → ``"id":`` at every depth."""
     line = F.to_json(m)
-    if rename_id:
-        line = F.replace(line, F.lit('"_id":'), F.lit('"id":'))
-    return line
+    return rename_ids(line) if rename_id else line
+
+
+def rename_ids(line: Column) -> Column:
+    """C5 on encoded text: quotes inside string values are escaped, so only keys match."""
+    return F.replace(line, F.lit('"_id":'), F.lit('"id":'))
 
 
 def clean_documents(df: DataFrame, doc: str = "doc", string_fields: Iterable[str] = (),
@@ -90,10 +93,20 @@ def clean_documents(df: DataFrame, doc: str = "doc", string_fields: Iterable[str
     staged = (df.withColumn("_v", F.try_parse_json(d))
               .withColumn("_m", F.try_variant_get("_v", "$", "map<string,variant>")))
     why = reject_reason(d, F.col("_v"), F.col("_m"), rename_id)
-    good = encode(clean_map(F.col("_m"), string_fields), rename_id)
-    return (staged.withColumn(reason, why)
-            .withColumn(line, F.when(F.col(reason).isNull(), good))
-            .drop("_v", "_m"))
+    encoded = staged.withColumn(reason, why).withColumn(
+        "_enc", F.when(F.col(reason).isNull(), encode(clean_map(F.col("_m"), string_fields),
+                                                      rename_id=False)))
+    out = encoded.withColumn(line, rename_ids(F.col("_enc")) if rename_id else F.col("_enc"))
+    if rename_id:
+        # A nested record holding both "_id" and "id" would carry two "id" keys
+        # after the rename.  Only lines holding both texts are parsed again.
+        enc, ln = F.col("_enc"), F.col(line)
+        nested_dup = (F.instr(enc, '"_id":') > 0) & (F.instr(enc, '"id":') > 0) & \
+            F.try_parse_json(ln).isNull()
+        out = (out.withColumn(reason, F.when(F.col(reason).isNull() & nested_dup,
+                                             F.lit(DUPLICATE_ID)).otherwise(F.col(reason)))
+               .withColumn(line, F.when(F.col(reason).isNull(), F.col(line))))
+    return out.drop("_v", "_m", "_enc")
 
 
 def split_rejects(cleaned: DataFrame, reason: str = "reject_reason",

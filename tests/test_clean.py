@@ -58,3 +58,12 @@ def test_typed_rows_nonfinite(spark):
     assert out[2]["reject_reason"] == "non-finite number" and out[2]["doc"] is None
     assert out[3]["reject_reason"] == "non-finite number"
     assert json.loads(out[4]["doc"]) == {"k": 4, "v": None, "a": None}
+
+
+def test_nested_duplicate_id_is_rejected(spark):
+    docs = ['{"_id":"1","a":{"_id":2,"id":3}}', '{"_id":"1","a":{"id":3},"b":{"_id":4}}']
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, doc string")
+    out = {r["i"]: r for r in clean.clean_documents(df).collect()}
+    assert out[0]["reject_reason"] == "duplicate id" and out[0]["line"] is None
+    assert out[1]["reject_reason"] is None
+    assert json.loads(out[1]["line"]) == {"id": "1", "a": {"id": 3}, "b": {"id": 4}}
