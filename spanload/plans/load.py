@@ -15,7 +15,7 @@ import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -85,111 +85,113 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
     stage.write.mode("overwrite").parquet(stage_path)
     staged = spark.read.parquet(stage_path)
     try:
-        return _load_staged(spark, staged, spec, wh, opts, ranges, res, t0, typed_mode)
+        return _load_staged(spark, staged, spec, wh, opts, ranges, res, t0)
     finally:
         publish.delete_path(spark, stage_path)
 
 
+# Every stage, whichever path made it, holds these columns plus the schema's.
+STAGE_COLS = ["_key", "_chunk", "_reason", "_line", "_bytes", "_line_hash", "_doc"]
+
+
+def _with_line_stats(df: DataFrame) -> DataFrame:
+    return (df.withColumn("_bytes", F.coalesce(export.line_bytes("_line"), F.lit(0)))
+            .withColumn("_line_hash", export.line_hash("_line")))
+
+
 def _stage_documents(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> DataFrame:
-    """Document path: raw JSON → cleaned JSON line."""
+    """Document path: raw JSON → cleaned line (C1–C8) → typed columns.
+
+    Conformance runs here, on the way to the stage, so the typed columns and
+    every reject (cleaning or schema) are materialised in the same pass and
+    the publish never parses JSON again.
+    """
     if "doc" in rows.columns:
-        docs = rows.select("_key", "_chunk", "doc")
+        docs = rows.select("_key", "_chunk", F.col("doc").alias("_raw"))
     else:  # typed rows whose types need the JSON load rules
         src_cols = [c for c in rows.columns if c not in ("_key", "_chunk")]
-        docs = clean.rows_to_documents(rows, keep=["_key", "_chunk"], cols=src_cols)
-        docs = docs.withColumnRenamed("reject_reason", "_pre_reason")
-    cleaned = clean.clean_documents(docs, "doc", conform.string_fields(spec.schema),
-                                    rename_id=opts.rename_id)
-    if "_pre_reason" in cleaned.columns:
-        cleaned = cleaned.withColumn(
-            "reject_reason", F.coalesce("_pre_reason", "reject_reason")).drop("_pre_reason")
-    is_bad = F.col("reject_reason").isNotNull()
-    out = cleaned.select("_key", "_chunk", "reject_reason", "line",
-                         F.when(is_bad, F.col("doc")).alias("doc"))
-    return (out.withColumn("bytes", export.line_bytes("line"))
-            .withColumn("line_hash", export.line_hash("line")))
+        docs = clean.rows_to_documents(rows, doc="_raw", keep=["_key", "_chunk"],
+                                       cols=src_cols, reason="_pre")
+    cleaned = clean.clean_documents(docs, "_raw", conform.string_fields(spec.schema),
+                                    rename_id=opts.rename_id, line="_ln", reason="_cr0")
+    cr = F.coalesce(F.col("_pre"), F.col("_cr0")) if "_pre" in docs.columns else F.col("_cr0")
+    cleaned = cleaned.withColumn("_cr", cr)
+    typed = conform.conform_lines(cleaned, spec.schema, line="_ln", on_bad="reject",
+                                  reason="_sr", keep=["_key", "_chunk", "_raw", "_ln", "_cr"])
+    if opts.on_bad == "fail":  # schema problems of documents that passed cleaning
+        typed = typed.where(F.assert_true(F.col("_cr").isNotNull() | F.col("_sr").isNull(),
+                                          F.concat(F.lit("load failed: "), F.col("_sr")))
+                            .isNull())
+    out = typed.select(
+        "_key", "_chunk", F.coalesce("_cr", "_sr").alias("_reason"),
+        F.col("_ln").alias("_line"),
+        F.when(F.col("_cr").isNotNull(), F.col("_raw"))
+        .when(F.col("_sr").isNotNull(), F.col("_ln")).alias("_doc"),
+        *[F.col(f.name) for f in spec.schema.fields])
+    return _with_line_stats(out)
 
 
 def _stage_typed(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> DataFrame:
     """Typed path: compatible columns conformed directly (no JSON round trip)."""
     src_cols = [c for c in rows.columns if c not in ("_key", "_chunk")]
     packed = rows.withColumn("_src", F.struct(*[F.col(f"`{c}`") for c in src_cols]))
-    typed = conform.conform_typed(packed, spec.schema, on_bad=opts.on_bad,
+    typed = conform.conform_typed(packed, spec.schema, on_bad=opts.on_bad, reason="_reason",
                                   keep=["_key", "_chunk", "_src"], rename_id=opts.rename_id)
-    is_bad = F.col("reject_reason").isNotNull()
-    # a rejected row keeps its source row as a document
-    out = typed.withColumn("doc", F.when(is_bad, F.to_json("_src"))).drop("_src")
-    if opts.export_root:
-        line = F.when(~is_bad, F.to_json(F.struct(*[F.col(f.name) for f in spec.schema.fields])))
-        return (out.withColumn("line", line)
-                .withColumn("bytes", export.line_bytes("line"))
-                .withColumn("line_hash", export.line_hash("line")))
-    return (out.withColumn("line", F.lit(None).cast("string"))
-            .withColumn("bytes", F.lit(0).cast("bigint"))
-            .withColumn("line_hash", F.lit(0).cast("bigint")))
+    is_bad = F.col("_reason").isNotNull()
+    line = (F.when(~is_bad, F.to_json(F.struct(*[F.col(f.name) for f in spec.schema.fields])))
+            if opts.export_root else F.lit(None).cast("string"))
+    out = typed.select(
+        "_key", "_chunk", "_reason", line.alias("_line"),
+        F.when(is_bad, F.to_json("_src")).alias("_doc"),  # a reject keeps its source row
+        *[F.col(f.name) for f in spec.schema.fields])
+    return _with_line_stats(out)
 
 
 def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
                  wh: publish.Warehouse, opts: LoadOptions, ranges: splits.KeyRanges,
-                 res: LoadResult, t0: float, typed_mode: bool) -> LoadResult:
-    is_bad = F.col("reject_reason").isNotNull()
+                 res: LoadResult, t0: float) -> LoadResult:
+    is_bad = F.col("_reason").isNotNull()
+    exported = F.col("_line").isNotNull()
     # X3 — empty chunks, C8 reject counts and export totals: one narrow pass.
     per_chunk = (staged.groupBy("_chunk").agg(
         F.count(F.lit(1)).alias("docs"),
         F.sum(F.when(is_bad, 1).otherwise(0)).alias("rejects"),
-        F.sum(F.when(~is_bad, F.col("bytes")).otherwise(0)).alias("good_bytes"))
+        F.sum(F.when(exported, 1).otherwise(0)).alias("lines"),
+        F.sum(F.when(exported, F.col("_bytes")).otherwise(0)).alias("line_bytes"))
         .collect())
     seen = {r["_chunk"] for r in per_chunk}
     empty = [c for c in range(ranges.n_chunks) if c not in seen]
     if empty and opts.on_empty == "error":
         raise RuntimeError(f"no documents found in chunks {empty} for table {spec.table}")
-    good_rows = sum(r["docs"] - r["rejects"] for r in per_chunk)
-    good_bytes = sum(r["good_bytes"] or 0 for r in per_chunk)
-    good = staged.where(~is_bad)
     if opts.export_root:
         stamp = publish.run_stamp()
         path = publish.staged_folder(opts.export_root, spec.table, stamp)
-        lines = good.select("_key", F.col("_chunk").alias("chunk"), "line", "bytes",
-                            "line_hash")
+        n_lines = sum(r["lines"] for r in per_chunk)
+        n_bytes = sum(r["line_bytes"] or 0 for r in per_chunk)
+        lines = staged.where(exported).select(
+            "_key", F.col("_chunk").alias("chunk"), F.col("_line").alias("line"),
+            F.col("_bytes").alias("bytes"), F.col("_line_hash").alias("line_hash"))
         parted = export.assign_parts(lines, "_key", "line", opts.part_limit,
-                                     n_rows=good_rows, total_bytes=good_bytes)
-        export.write_parts(parted, path + "/parts", "_key", expected_parts=(
-            good_bytes // opts.part_limit + ranges.n_chunks))
+                                     n_rows=n_lines, total_bytes=n_bytes)
+        export.write_parts(parted, path + "/parts", "_key",
+                           expected_parts=n_bytes // opts.part_limit + ranges.n_chunks)
         res.export_path = path
         res.parts = export.file_sizes(spark, path + "/parts").count()  # listing only
-    seen_bad = Observation(f"conform_{spec.table}")
-    if typed_mode:
-        # schema rules already applied while staging; nothing is parsed again
-        loadable = good.select(*[F.col(f.name) for f in spec.schema.fields])
-        typed = None
-    else:
-        typed = conform.conform_lines(good.select("_key", "line"), spec.schema,
-                                      on_bad=opts.on_bad, keep=["_key", "line"])
-        # Conformance rejects are counted on the load's own pass (no re-parse).
-        loadable = (typed.observe(seen_bad, F.sum(F.when(F.col("reject_reason").isNotNull(), 1)
-                                                 .otherwise(0)).alias("bad"))
-                    .where(F.col("reject_reason").isNull())
-                    .drop("reject_reason", "_key", "line"))
+    # typed columns are already in the stage: the load parses nothing
+    loadable = staged.where(~is_bad).select(*[F.col(f.name) for f in spec.schema.fields])
     out = publish.publish(spark, loadable, spec.schema, spec.table, wh,
                           overwrite=opts.overwrite, use_staging=opts.use_staging)
     res.status = out["status"]
     res.rows = out["rows"]
     res.reject_reasons = {r[0]: r[1] for r in staged.where(is_bad)
-                          .groupBy("reject_reason").count().collect()}
-    bad = 0 if typed is None else int(seen_bad.get.get("bad") or 0)
-    if bad:
-        res.reject_reasons["schema"] = bad
+                          .groupBy("_reason").count().collect()}
     res.rejects = sum(res.reject_reasons.values())
     if res.export_path:
-        # C8 — rejected documents are kept, with their reason.
-        if len(res.reject_reasons) > (1 if bad else 0):
+        if res.rejects:  # C8 — rejected documents are kept, with their reason
             staged.where(is_bad).select(
-                F.col("_key").alias("key"), F.col("_chunk").alias("chunk"), "doc",
-                "reject_reason").write.mode("overwrite").json(res.export_path + "/rejects/clean")
-        if bad:  # only then is the schema pass repeated, for the rejected lines
-            typed.where(F.col("reject_reason").isNotNull()).select(
-                F.col("_key").alias("key"), F.col("line").alias("doc"), "reject_reason"
-            ).write.mode("overwrite").json(res.export_path + "/rejects/schema")
+                F.col("_key").alias("key"), F.col("_chunk").alias("chunk"),
+                F.col("_doc").alias("doc"), F.col("_reason").alias("reject_reason")
+            ).write.mode("overwrite").json(res.export_path + "/rejects")
         if not opts.keep_export:
             publish.delete_path(spark, res.export_path + "/parts")  # W11
     res.seconds = time.time() - t0
