@@ -1,12 +1,13 @@
 """One table, end to end (the single-table run).
 
-``source → split (tiny range table) → chunk column → clean → checkpoint →
-[size-bounded gzip JSON-lines export] → conform (typed) → publish``.
-
-The cleaned frame is checkpointed once into the shared checkpoint folder:
-the part assignment, the reject output, the chunk guard and the typed load
-all read that materialised copy instead of parsing every document again,
-and the lineage is cut so a lost executor costs a re-read, not a re-parse.
+``source → split (tiny range table) → chunk column → clean + conform →
+stage (parquet, once) → [size-bounded gzip JSON-lines export] → publish``.
+
+Cleaning and conformance run on the way to one parquet stage in the shared
+checkpoint folder.  The chunk guard, reject counts and output, part
+assignment and the typed load all read that materialised copy (mostly only
+narrow columns) instead of parsing documents again, and the lineage is cut
+so a lost executor costs a re-read, not a re-parse.
 """
 
 from __future__ import annotations
@@ -82,9 +83,9 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
     # key ...) and a lost executor costs a re-read, not a re-parse.
     stage_path = scratch_path(spark, f"stage-{spec.table}")
     stage = _stage_typed(rows, spec, opts) if typed_mode else _stage_documents(rows, spec, opts)
-    stage.write.mode("overwrite").parquet(stage_path)
-    staged = spark.read.parquet(stage_path)
     try:
+        stage.write.mode("overwrite").parquet(stage_path)
+        staged = spark.read.parquet(stage_path)
         return _load_staged(spark, staged, spec, wh, opts, ranges, res, t0)
     finally:
         publish.delete_path(spark, stage_path)
