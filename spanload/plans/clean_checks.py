@@ -55,8 +55,11 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned once and materialised (reliable checkpoint): the queries filter and
+    aggregate it, and a filter on ``reject_reason`` over the parsing projections
+    would otherwise be pushed down and parse every document again."""
     return clean.clean_documents(raw_documents(spark, sf_dir), "doc",
-                                 string_fields=STRING_FIELDS)
+                                 string_fields=STRING_FIELDS).checkpoint(eager=True)
 
 
 def _outcome() -> F.Column:

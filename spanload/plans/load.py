@@ -92,7 +92,8 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
 
 
 # Every stage, whichever path made it, holds these columns plus the schema's.
-STAGE_COLS = ["_key", "_chunk", "_reason", "_line", "_bytes", "_line_hash", "_doc"]
+STAGE_COLS = ["_key", "_chunk", "_reason", "_schema_bad", "_line", "_bytes", "_line_hash",
+              "_doc"]
 
 
 def _with_line_stats(df: DataFrame) -> DataFrame:
@@ -117,14 +118,14 @@ def _stage_documents(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> Dat
                                     rename_id=opts.rename_id, line="_ln", reason="_cr0")
     cr = F.coalesce(F.col("_pre"), F.col("_cr0")) if "_pre" in docs.columns else F.col("_cr0")
     cleaned = cleaned.withColumn("_cr", cr)
+    # Always staged in "reject" mode: a filter here would be pushed down into
+    # the parsing projections and run them twice.  ``on_bad="fail"`` is
+    # enforced on the stage (``_schema_bad``) before anything is published.
     typed = conform.conform_lines(cleaned, spec.schema, line="_ln", on_bad="reject",
                                   reason="_sr", keep=["_key", "_chunk", "_raw", "_ln", "_cr"])
-    if opts.on_bad == "fail":  # schema problems of documents that passed cleaning
-        typed = typed.where(F.assert_true(F.col("_cr").isNotNull() | F.col("_sr").isNull(),
-                                          F.concat(F.lit("load failed: "), F.col("_sr")))
-                            .isNull())
     out = typed.select(
         "_key", "_chunk", F.coalesce("_cr", "_sr").alias("_reason"),
+        (F.col("_cr").isNull() & F.col("_sr").isNotNull()).alias("_schema_bad"),
         F.col("_ln").alias("_line"),
         F.when(F.col("_cr").isNotNull(), F.col("_raw"))
         .when(F.col("_sr").isNotNull(), F.col("_ln")).alias("_doc"),
@@ -136,13 +137,15 @@ def _stage_typed(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> DataFra
     """Typed path: compatible columns conformed directly (no JSON round trip)."""
     src_cols = [c for c in rows.columns if c not in ("_key", "_chunk")]
     packed = rows.withColumn("_src", F.struct(*[F.col(f"`{c}`") for c in src_cols]))
-    typed = conform.conform_typed(packed, spec.schema, on_bad=opts.on_bad, reason="_reason",
+    typed = conform.conform_typed(packed, spec.schema, on_bad="reject", reason="_reason",
                                   keep=["_key", "_chunk", "_src"], rename_id=opts.rename_id)
     is_bad = F.col("_reason").isNotNull()
     line = (F.when(~is_bad, F.to_json(F.struct(*[F.col(f.name) for f in spec.schema.fields])))
             if opts.export_root else F.lit(None).cast("string"))
     out = typed.select(
-        "_key", "_chunk", "_reason", line.alias("_line"),
+        "_key", "_chunk", "_reason",
+        (is_bad & (F.col("_reason") != F.lit(clean.NON_FINITE))).alias("_schema_bad"),
+        line.alias("_line"),
         F.when(is_bad, F.to_json("_src")).alias("_doc"),  # a reject keeps its source row
         *[F.col(f.name) for f in spec.schema.fields])
     return _with_line_stats(out)
@@ -158,8 +161,14 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
         F.count(F.lit(1)).alias("docs"),
         F.sum(F.when(is_bad, 1).otherwise(0)).alias("rejects"),
         F.sum(F.when(exported, 1).otherwise(0)).alias("lines"),
-        F.sum(F.when(exported, F.col("_bytes")).otherwise(0)).alias("line_bytes"))
+        F.sum(F.when(exported, F.col("_bytes")).otherwise(0)).alias("line_bytes"),
+        F.sum(F.when(F.col("_schema_bad"), 1).otherwise(0)).alias("schema_bad"),
+        F.min(F.when(F.col("_schema_bad"), F.col("_reason"))).alias("first_bad"))
         .collect())
+    if opts.on_bad == "fail" and any(r["schema_bad"] for r in per_chunk):  # F4
+        first = min(r["first_bad"] for r in per_chunk if r["first_bad"])
+        n_bad = sum(r["schema_bad"] for r in per_chunk)
+        raise RuntimeError(f"load failed: {n_bad} rows do not fit the schema ({first})")
     seen = {r["_chunk"] for r in per_chunk}
     empty = [c for c in range(ranges.n_chunks) if c not in seen]
     if empty and opts.on_empty == "error":

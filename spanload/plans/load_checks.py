@@ -59,7 +59,7 @@ def q_conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 — the nested example schema, REPEATED RECORD included, loads typed rows."""
     schema = conform.schema_from_spec(USERS_SCHEMA)
     cleaned = clean.clean_documents(user_documents(spark, sf_dir),
-                                    string_fields=conform.string_fields(schema))
+                                    string_fields=conform.string_fields(schema)).checkpoint()
     typed = conform.conform_lines(cleaned.where("reject_reason IS NULL").drop("reject_reason"),
                                   schema, on_bad="fail")
     ad = F.col("account_details")
@@ -202,10 +202,9 @@ def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events_with_key(spark, sf_dir, "_id")
     ranges = splits.split_time(ev, "_id", 4)
     raw = with_raw_doc(splits.with_chunk(ev, ranges), "_id", "chunk")
-    good, _ = clean.split_rejects(clean.clean_documents(spread(raw, "_id"),
-                                                        string_fields=STRING_FIELDS))
-    # assign_parts reads its input several times: materialise the cleaned lines once.
-    good = good.checkpoint(eager=True)
+    # materialise the cleaned lines once: assign_parts reads them several times
+    cleaned = clean.clean_documents(spread(raw, "_id"), string_fields=STRING_FIELDS).checkpoint()
+    good, _ = clean.split_rejects(cleaned)
     parted = export.assign_parts(good, "_id", "line", 256 << 10)
     path = export.write_parts(parted, scratch_path(spark, "jsonl") + "/events", "_id")
     schema = conform.schema_from_spec([
