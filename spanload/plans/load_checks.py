@@ -14,7 +14,7 @@ from spanload.plans.clean_checks import (OUTCOME, STRING_FIELDS, with_raw_doc,
                                          cleaned_documents)
 from spanload.plans.registry import register
 from spanload.plans.split_checks import assigned, sp_count, sp_time, with_src
-from spanload.session import scratch_path, spread
+from spanload.session import materialize, scratch_path, spread
 from spanload.sources.specs import TableSpec, discover_specs, spec_from_text
 from spanload.sources.tables import TABLES, events_with_key, read_table
 
@@ -58,8 +58,8 @@ FROM customer""")
 def q_conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 — the nested example schema, REPEATED RECORD included, loads typed rows."""
     schema = conform.schema_from_spec(USERS_SCHEMA)
-    cleaned = clean.clean_documents(user_documents(spark, sf_dir),
-                                    string_fields=conform.string_fields(schema)).checkpoint()
+    cleaned = materialize(clean.clean_documents(user_documents(spark, sf_dir),
+                                                string_fields=conform.string_fields(schema)))
     typed = conform.conform_lines(cleaned.where("reject_reason IS NULL").drop("reject_reason"),
                                   schema, on_bad="fail")
     ad = F.col("account_details")
@@ -203,7 +203,7 @@ def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranges = splits.split_time(ev, "_id", 4)
     raw = with_raw_doc(splits.with_chunk(ev, ranges), "_id", "chunk")
     # materialise the cleaned lines once: assign_parts reads them several times
-    cleaned = clean.clean_documents(spread(raw, "_id"), string_fields=STRING_FIELDS).checkpoint()
+    cleaned = materialize(clean.clean_documents(spread(raw, "_id"), string_fields=STRING_FIELDS))
     good, _ = clean.split_rejects(cleaned)
     parted = export.assign_parts(good, "_id", "line", 256 << 10)
     path = export.write_parts(parted, scratch_path(spark, "jsonl") + "/events", "_id")

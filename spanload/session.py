@@ -91,3 +91,13 @@ def spread(df, key: str | None = None):
     except Exception:  # noqa: BLE001 — no RDD view (e.g. a remote session): leave as is
         return df
     return df.repartition(target)
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared checkpoint folder (never a local one).
+
+    Cuts the lineage and stops later filters from being pushed into the
+    projections that produced ``df``.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
