@@ -83,3 +83,8 @@ def test_small_limit_many_files(spark):
 def test_limit_must_be_positive(spark):
     with pytest.raises(ValueError):
         export.assign_parts(conv_lines(spark), "key", "line", 0)
+
+
+def test_shuffle_join_fallback_matches(spark):
+    # bucket table never broadcast: the shuffle-join path gives the same parts
+    _check(conv_lines(spark), 5000, bucket_bytes=2000, sample_rows=200, broadcast_limit=0)

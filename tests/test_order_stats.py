@@ -33,3 +33,10 @@ def test_string_keys(spark):
     ords = [1, 2, 5000, 9999, 10000]
     got = order_statistics(ev, "k", ords, window_rows=100, fanout=5, sample_rows=50)
     assert got == brute(ev, "k", ords)
+
+
+def test_timestamp_keys_with_sketched_edges(spark):
+    od = read_table(spark, SF01, "orders")
+    ords = [1, 777, 7500, 14999, 15000]
+    got = order_statistics(od, "o_orderdate", ords, window_rows=400, fanout=6)
+    assert got == brute(od, "o_orderdate", ords)
