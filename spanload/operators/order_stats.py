@@ -76,14 +76,25 @@ class _Interval:
         return cond
 
 
+def first_edges_agg(key: str, fanout: int = 127) -> Column | None:
+    """An aggregate the caller can add to its counting pass to seed level 0.
+
+    For sketchable key types it returns quantiles of the key; pass the result
+    as ``first_edges`` and the first level needs no pass of its own.
+    """
+    return F.percentile_approx(key, _fractions(fanout), SKETCH_ACCURACY)
+
+
 def order_statistics(keys_df: DataFrame, key: str, ordinals: list[int], *,
                      total: int | None = None, window_rows: int = 2_000_000,
                      fanout: int = 127, sample_rows: int = 4096, seed: int = 11,
-                     max_levels: int = 16) -> dict[int, Any]:
+                     max_levels: int = 16, first_edges: list | None = None) -> dict[int, Any]:
     """Exact key value at each 1-based ordinal of the ascending key order.
 
     Ties count separately (the k-th row, not the k-th distinct value).
-    Null keys must be rejected by the caller.
+    Null keys must be rejected by the caller.  ``first_edges`` (e.g. from
+    :func:`first_edges_agg` in the caller's counting pass) saves the first
+    level's edge pass.
     """
     dtype = keys_df.schema[key].dataType
     keys = keys_df.select(F.col(key).alias("k"))
@@ -95,7 +106,9 @@ def order_statistics(keys_df: DataFrame, key: str, ordinals: list[int], *,
         if t < 1 or t > total:
             raise ValueError(f"ordinal {t} outside 1..{total}")
     results: dict[int, Any] = {}
-    pending: dict[int, _Interval] = {t: _Interval(None, None, 0, total) for t in targets}
+    seed_edges = sorted(set(first_edges)) if first_edges else None
+    pending: dict[int, _Interval] = {t: _Interval(None, None, 0, total, seed_edges)
+                                     for t in targets}
     level = 0
     while pending:
         groups: dict[tuple, tuple[_Interval, list[int]]] = {}
@@ -175,7 +188,7 @@ def _pick_edges(sample: list[Any], fanout: int) -> list[Any]:
     return sorted({distinct[(i * len(distinct)) // fanout] for i in range(fanout)})
 
 
-def _sketchable(dtype: DataType) -> bool:
+def sketchable(dtype: DataType) -> bool:
     """Key types ``percentile_approx`` accepts (numbers, dates, timestamps)."""
     from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType,
                                    FloatType, IntegerType, LongType, ShortType,
@@ -210,7 +223,7 @@ def _narrow(keys: DataFrame, k: Column, dtype: DataType,
     # One edge budget per level, shared by the intervals, keeps the bucket
     # expression small enough for generated code however many targets remain.
     share = max(4, fanout // max(1, len(ivs)))
-    sketch = _sketchable(dtype)
+    sketch = sketchable(dtype)
     # 1. edges: quantiles sketched while counting the parent level, or (first
     #    level, other key types) a bounded sample.
     if all(iv.edges is not None for iv in ivs):

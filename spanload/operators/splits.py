@@ -26,7 +26,8 @@ from pyspark.sql.types import (DataType, IntegerType, StringType, StructField,
                                StructType)
 
 from spanload.functions.keys import boundary_key, is_hex_key
-from spanload.operators.order_stats import order_statistics, rank_tree, typed_lit
+from spanload.operators.order_stats import (first_edges_agg, order_statistics, rank_tree,
+                                           sketchable, typed_lit)
 
 log = logging.getLogger(__name__)
 
@@ -121,11 +122,18 @@ def split_count(df: DataFrame, key: str, n: int | None = None, *,
     n = chunk_policy(n, cap)
     if n == 1:
         return _single(key, dtype)
-    total = _count_and_nulls(df, key)["rows"]
+    # The counting pass also sketches quantiles of sketchable keys, which
+    # seed the first narrowing level (one scan fewer).
+    sketch = sketchable(dtype)
+    extra = [first_edges_agg(key).alias("q")] if sketch else []
+    row = _count_and_nulls(df, key, extra)
+    total = row["rows"]
     if total < 1:
         raise ValueError("collection has no documents")
     if total < small_rows:
         return _single(key, dtype)
+    if sketch and row["q"]:
+        stats_opts.setdefault("first_edges", list(row["q"]))
     per = max(1, total // n)
     # a split point exists only for ordinals the scan reaches
     ordinals = [i * per for i in range(1, n) if i * per <= total]

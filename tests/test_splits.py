@@ -130,3 +130,15 @@ def test_empty_input_by_sampling_is_one_open_range(spark):
     assert r.points == [] and r.n_chunks == 1
     with pytest.raises(ValueError, match="oldest"):
         splits.split_time(events_with_key(spark, SF01, "_id").where("event_id < 0"), "_id", 4)
+
+
+def test_count_split_narrowing_seeded_by_counting_pass(spark):
+    li = read_table(spark, SF01, "lineitem")
+    r = splits.split_count(li, "l_orderkey", 10, window_rows=500, fanout=8)
+    ks = sorted(x[0] for x in li.select("l_orderkey").collect())
+    per = len(ks) // 10
+    want = []
+    for i in range(1, 10):
+        if not want or ks[i * per - 1] != want[-1]:
+            want.append(ks[i * per - 1])
+    assert r.points == want
