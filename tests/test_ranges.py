@@ -53,7 +53,7 @@ def test_make_range_file_and_source_types(spark):
     df = open_source(spark, "parquet", f"{SF01}/region.parquet")
     assert df.count() == 5
     with pytest.raises(ValueError, match="unsupported source type"):
-        open_source(spark, "mongo", "x")
+        open_source(spark, "no-such-format", "x")
     txt = scratch_path(spark, "t-raw") + "/docs"
     spark.createDataFrame([('{"a":1}',), ('{"b":2}',)], "value string").write.text(txt)
     assert sorted(r["doc"] for r in raw_json_documents(spark, txt).collect()) == [
