@@ -123,10 +123,12 @@ def _stage_documents(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> Dat
     # enforced on the stage (``_schema_bad``) before anything is published.
     typed = conform.conform_lines(cleaned, spec.schema, line="_ln", on_bad="reject",
                                   reason="_sr", keep=["_key", "_chunk", "_raw", "_ln", "_cr"])
+    # lines are staged only when they are exported (rejects keep theirs in _doc)
+    line = F.col("_ln") if opts.export_root else F.lit(None).cast("string")
     out = typed.select(
         "_key", "_chunk", F.coalesce("_cr", "_sr").alias("_reason"),
         (F.col("_cr").isNull() & F.col("_sr").isNotNull()).alias("_schema_bad"),
-        F.col("_ln").alias("_line"),
+        line.alias("_line"),
         F.when(F.col("_cr").isNotNull(), F.col("_raw"))
         .when(F.col("_sr").isNotNull(), F.col("_ln")).alias("_doc"),
         *[F.col(f.name) for f in spec.schema.fields])
