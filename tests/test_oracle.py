@@ -6,12 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from spanload.plans import registry
 from spanload.sources.tables import TABLES
 from tests.conftest import SF001
 
 # Sampling is only deterministic when every row is in the sample, and the
 # gates of the count/time splits need 1,000 rows: these hold at sf0.001 too.
-NAMES = sorted(E.oracle_sql())
+registry.load_all()
+NAMES = sorted(registry.ORACLE_SQL)
 
 
 def _norm(v):
@@ -36,7 +38,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE_SQL)
+    assert set(registry.QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
