@@ -2,11 +2,58 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from spanload.llm import bpe, minhash, mixing, quality
 from spanload.llm.common import read_table, stage
+from spanload.llm.q_corpus import domains
+from spanload.llm.q_text import VOCABULARY
+from spanload.llm.text_model import row_key
 
-STAGES: list = []
+
+#: Junk is gone by then and left free; toxic texts are thinned out.
+TARGETS = {"good": 0.95, "toxic": 0.05}
+
+
+def _matching(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with decisions by ``row_key``, which are distinct by it."""
+    key = row_key(F.col("doc_id"), F.col("text"))
+    return docs.withColumn("row_key", key).join(decisions, "row_key", how).drop("row_key")
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    judged = quality.classify(docs, read_table(spark, sf_dir, "labels"))
+    return _matching(docs, judged.where("kept").select("row_key"), "left_semi")
+
+
+def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    groups = minhash.near_duplicates(docs, words=5, percent=80)
+    gone = groups.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its fitted rate says."""
+    rates = mixing.mix(docs, domains(spark, sf_dir), TARGETS)
+    copies = rates.select("row_key", "copies").distinct()
+    taken = _matching(docs, copies, "inner").where("copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies", "_copy")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, for which decoding gave the text back."""
+    ids = bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN)
+    both = bpe.decode(ids, VOCABULARY, public_tokenizers.PATTERN)
+    exact = F.coalesce("text", F.lit("")).cast("binary") == F.col("decoded")
+    return both.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                       exact.alias("exact"))
+
+
+STAGES = [("quality", good), ("near_dedup", unique), ("mixing", mixed), ("tokens", tokens)]
 ORACLE_SQL = None
 
 

@@ -9,7 +9,7 @@ from spanload.plans.registry import QueryFn
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-MODULES = ("q_web", "q_text")
+MODULES = ("q_web", "q_text", "q_dedup", "q_corpus")
 
 
 def register(name: str, sql: str | None = None):
