@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from spanload.llm import mixing, quality
+from spanload.llm import lm, mixing, quality
 from spanload.llm.common import read_table
+from spanload.llm.q_text import VOCABULARY
 from spanload.llm.queries import register
 
 #: Shares of tokens that op5 and the pipeline mix to.
@@ -31,3 +33,9 @@ def op5(spark, sf_dir):
 def op7(spark, sf_dir):
     """Every document's probability of being good; a source is the host, a language its path."""
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("row_key")
+
+
+@register("op9_lm")
+def op9(spark, sf_dir):
+    """Every document's log10 probability, by the attention model and by the unigram base."""
+    return lm.score_documents(read_table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
