@@ -9,9 +9,11 @@ tables take.  A pair of similarity s is missed with a chance of about
 
 Copies with equal sets are put together first (by a 128-bit digest of the set).  The
 others meet in buckets by key.  In each bucket every document is compared with the least
-one; the links make components.  Then all pairs of a bucket that are still in different
-components are compared.  So a bucket of n near copies takes about n comparisons, not
-n * n, and no link that joins two components is lost.
+one; the links make components.  Twice more they are compared with another one, drawn by
+a hash, if that is in another component.  Then all pairs of a bucket are compared that are
+still in different components and may be linked by their bitmaps of shingles, a bound that
+rules out no link.  So a bucket of n near copies takes about n comparisons, not n * n, and
+no link that joins two components is lost.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from spanload.llm.components import components
 REMEMBERED = 1 << 18
 #: Shingles hashed together; small enough for the processor's cache.
 TOGETHER = 1 << 15
+#: Longs of a document's bitmap of shingles.
+BITMAP = 32
 
 
 class _WordHashes(dict):
@@ -91,6 +95,93 @@ def minhashes(sets: list[np.ndarray], count: int) -> np.ndarray:
     return out
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each shingle, at a place that its hash gives."""
+    out = np.zeros(64 * BITMAP, np.uint8)
+    out[(_mix(shingles) >> np.uint64(20)).astype(np.int64) % (64 * BITMAP)] = 1
+    return np.packbits(out).view(np.int64)
+
+
+def may_link(doc: np.ndarray, component: np.ndarray, n: np.ndarray, bits: np.ndarray, own: np.ndarray,
+             percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components (and, with two tiles, of different tiles) whose bitmaps
+    leave a link possible: a bit that the other lacks is a shingle that it lacks, which
+    bounds the intersection from above.  Pairs inside the largest component aren't formed."""
+    kinds, counts = np.unique(component, return_counts=True)
+    if len(kinds) < 2:
+        return doc[:0], doc[:0]
+    out = np.flatnonzero(component != kinds[counts.argmax()])
+    ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    spare = n - ones
+    two = own.min() != own.max()
+    a, b = [], []
+    for k in range(0, len(out), 32):
+        x = out[k: k + 32]
+        common = np.bitwise_count(bits[x, None, :] & bits[None, :, :]).sum(axis=2, dtype=np.int64)
+        most = common + np.minimum(spare[x, None], spare)
+        ok = ((100 + percent) * most >= percent * (n[x, None] + n)) & (component[x, None] != component)
+        if two:
+            ok &= own[x, None] != own
+        i, j = np.nonzero(ok)
+        a.append(doc[x[i]])
+        b.append(doc[j])
+    a, b = np.concatenate(a), np.concatenate(b)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+TILE = 2048  # documents of a bucket that a task compares at once with as many
+
+
+def possible_pairs(open_: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """All pairs ``a, b`` of a bucket that are apart and may be linked, tile by tile."""
+    tiles = open_.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    own = F.pmod(F.xxhash64("doc", F.lit("tile")), F.col("tiles")).cast("int")
+    rows = (open_.join(tiles, "key").join(sizes, "doc").withColumn("own", own)
+            .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+            .select("key", F.least("own", "t").alias("i"), F.greatest("own", "t").alias("j"), "own", "doc",
+                    "component", "n", "bits"))
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def groups(table: pa.Table):
+        doc, component, n, own_ = (table.column(c).to_numpy() for c in ("doc", "component", "n", "own"))
+        bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITMAP)
+        ids = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+        edges = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1), len(ids)]
+        a, b = [], []
+        for x, y in zip(edges, edges[1:], strict=False):
+            if y - x > 1:
+                u, v = may_link(doc[x:y], component[x:y], n[x:y], bits[x:y], own_[x:y], percent)
+                if len(u):
+                    a.append(u)
+                    b.append(v)
+        if a:
+            both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # whole tiles, and the one that isn't over yet
+
+        def last_key(batch):
+            return tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in range(3))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(x.num_rows for x in held) > 4 * TILE:
+                table = pa.Table.from_batches(held)
+                ids = [table.column(c).to_numpy() for c in range(3)]
+                same = np.logical_and.reduce([c == v for c, v in zip(ids, last_key(batch), strict=True)])
+                begin = int(same.argmax())
+                if begin:
+                    yield from groups(table.slice(0, begin))
+                    held = table.slice(begin).combine_chunks().to_batches()
+        if held:
+            yield from groups(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def _combine(values: np.ndarray, salt: int) -> np.ndarray:
     """One hash of each row of minhash values."""
     out = np.full(len(values), salt, np.uint64)
@@ -101,7 +192,7 @@ def _combine(values: np.ndarray, salt: int) -> np.ndarray:
 
 SIGNATURE = T.StructType([
     T.StructField("doc", T.LongType()), T.StructField("n", T.LongType()),
-    T.StructField("digest", T.BinaryType()),
+    T.StructField("digest", T.BinaryType()), T.StructField("bits", T.ArrayType(T.LongType())),
     T.StructField("left", T.ArrayType(T.LongType())), T.StructField("right", T.ArrayType(T.LongType()))])
 SETS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
@@ -140,6 +231,7 @@ def signatures(docs: DataFrame, words: int, side: int, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                 pa.array([bitmap(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                  *(pa.array(x, pa.list_(pa.int64())) for x in both)], names=[f.name for f in SIGNATURE])
 
     return docs.mapInArrow(run, SIGNATURE)
@@ -181,8 +273,18 @@ def candidate_keys(classes: DataFrame) -> DataFrame:
         "left", lambda x: F.transform("right", lambda y: F.xxhash64(x, y))))).alias("key"))
 
 
+def _apart(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of buckets whose documents are in several components."""
+    now = (met.where("members > 2").join(labels.withColumnRenamed("id", "doc"), "doc", "left")
+           .select("key", "doc", F.coalesce("component", "doc").alias("component")))
+    several = now.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where(
+        "_x <> _y").select("key")
+    return now.join(several, "key")
+
+
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc: str = "doc_id",
-                    text: str = "text", side: int = 8, width: int = 3) -> DataFrame:
+                    text: str = "text", side: int = 8, width: int = 3,
+                    random_leads: int = 2) -> DataFrame:
     """Rows ``doc_id, n_shingles, component_id, kept``, one for each row.
 
     ``component_id``: the least document id reachable over links (100 * intersection >=
@@ -197,9 +299,9 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc: str =
     signed = stage(signatures(docs, words, side, width), "signatures")
     # equal sets: the least document stands for all
     classes = stage(signed.where("n > 0 and doc is not null").groupBy("digest").agg(
-        F.min("doc").alias("doc"), F.first("n").alias("n"),
+        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("bits").alias("bits"),
         F.first("left").alias("left"), F.first("right").alias("right")), "classes")
-    sizes = classes.select("doc", "n")
+    sizes = classes.select("doc", "n", "bits")
     keys = candidate_keys(classes)
     leads = (keys.groupBy("key").agg(F.min("doc").alias("lead"), F.max("doc").alias("last"),
                                      F.count("*").alias("members"))
@@ -212,25 +314,31 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc: str =
                            .agg(F.first("text").alias("text")).select("doc", "text"), words), "sets")
 
     def close(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs whose sizes allow a link, and which are linked."""
-        sized = (pairs.distinct().join(sizes.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a")
+        """Distinct pairs whose sizes allow a link, and that are linked by their sets."""
+        sized = (pairs.distinct()
+                 .join(sizes.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a")
                  .join(sizes.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b")
                  .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"))
         return stage(confirm(sized, sets, percent), "links")
 
     links = close(met.where("doc <> lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")))
     labels = components(links)
-    # Documents of one bucket that are still apart; with two members their pair was compared above.
-    now = (met.where("members > 2").join(labels.withColumnRenamed("id", "doc"), "doc", "left")
-           .withColumn("component", F.coalesce("component", "doc")))
-    apart = now.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where(
-        "_x <> _y").select("key")
-    open_ = stage(now.join(apart, "key"), "open")
-    other = open_.select("key", F.col("doc").alias("b"), F.col("component").alias("cb"))
-    rest = open_.join(other, "key").where("doc < b and component <> cb and doc <> lead and b <> lead")
-    more = close(rest.select(F.col("doc").alias("a"), "b"))
-    if not more.isEmpty():
-        labels = components(links.unionAll(more))
+    for turn in range(random_leads + 1):
+        open_ = stage(_apart(met, labels), "open")  # with two members their pair was compared above
+        if open_.isEmpty():
+            break
+        if turn < random_leads:
+            # every bucket's documents with another one of it, drawn by a hash
+            drawn = open_.groupBy("key").agg(F.min(F.struct(
+                F.xxhash64("doc", "key", F.lit(turn)).alias("h"), "doc", "component")).alias("d"))
+            pairs = open_.join(drawn, "key").where("component <> d.component").select(
+                F.col("d.doc").alias("a"), F.col("doc").alias("b"))
+        else:  # all pairs that are still apart and may be linked
+            pairs = possible_pairs(open_, sizes, percent)
+        more = close(pairs)
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            labels = components(links)
 
     of_class = (classes.select("digest", "doc").join(labels.withColumnRenamed("id", "doc"), "doc", "left")
                 .select("digest", F.coalesce("component", "doc").alias("_c")))
