@@ -24,15 +24,14 @@ from __future__ import annotations
 
 from collections import Counter
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanload.operators.order_stats import rank_tree, typed_lit
+from spanload.operators.order_stats import bucket_search, rank_tree, typed_lit
+from spanload.session import materialize
 
-# Above this many edges the bucket search runs as an Arrow-batched
-# numpy searchsorted instead of a CASE tree in generated code.
+# Above this many edges the bucket search is a binary search over a literal array
+# instead of a CASE tree, whose generated code would grow too large.
 TREE_MAX_EDGES = 1023
 HOT_SUB_BITS = 8
 MAX_SAMPLE = 500_000
@@ -44,32 +43,19 @@ def line_bytes(line: str | Column) -> Column:
     return (F.octet_length(c) + 1).cast("bigint")
 
 
-def _searchsorted_udf(edges: list, point: bool):
-    arr = np.array(edges)
-
-    @F.pandas_udf("int")
-    def bucket(keys: pd.Series) -> pd.Series:
-        vals = keys.to_numpy()
-        i = np.searchsorted(arr, vals, side="right")
-        if not point:
-            return pd.Series(i.astype("int32"))
-        eq = (i > 0) & (arr[np.maximum(i - 1, 0)] == vals)
-        return pd.Series(np.where(eq, 2 * i - 1, 2 * i).astype("int32"))
-
-    return bucket
-
-
 def bucket_of(k: Column, edges: list, dtype, point: bool = True) -> Column:
     if not edges:
         return F.lit(0)
     if len(edges) <= TREE_MAX_EDGES:
         return rank_tree(k, [typed_lit(e, dtype) for e in edges], point=point)
-    return _searchsorted_udf(edges, point)(k)
+    return bucket_search(k, edges, dtype, point)
 
 
-def line_hash(line: str | Column) -> Column:
-    """Tie-break of the part order: a 64-bit hash of the line."""
-    return F.xxhash64(F.col(line) if isinstance(line, str) else line)
+def row_hash(line: str | Column) -> Column:
+    """Tie-break of the part order: a 64-bit hash of the line, then the row's place, so that
+    equal rows differ.  Only to be used where the result is written before it is read."""
+    return F.struct(F.xxhash64(F.col(line) if isinstance(line, str) else line).alias("h"),
+                    F.monotonically_increasing_id().alias("u"))
 
 
 def _bucketed(rows: DataFrame, key: str, dtype, n_rows: int, total_bytes: int,
@@ -94,7 +80,7 @@ def _bucketed(rows: DataFrame, key: str, dtype, n_rows: int, total_bytes: int,
     sub = F.lit(0)
     if hot:
         sub = F.when(k.isin([typed_lit(v, dtype) for v in hot]),
-                     F.shiftright(F.col("_h"), 64 - HOT_SUB_BITS)).otherwise(F.lit(0))
+                     F.shiftright(F.col("_h.h"), 64 - HOT_SUB_BITS)).otherwise(F.lit(0))
     out = rows.withColumn("_b", bucket_of(k, edges, dtype, point=True)).withColumn(
         "_s", sub.cast("int"))
     return out, (2 * len(edges) + 1) * (1 + (len(hot) << HOT_SUB_BITS))
@@ -116,16 +102,17 @@ def assign_parts(df: DataFrame, key: str, line: str, limit_bytes: int,
     count is known before the join), a shuffle join otherwise.  The only
     shuffle of whole lines left is the one that writes each part as a file.
 
-    The input is read more than once, so it should be materialised; ``bytes``
-    and ``line_hash`` columns already on it are reused and known totals skip
-    the totals pass.
+    The input is read more than once: unless it comes with a written ``line_hash``
+    (see :func:`row_hash`) it is materialised here.  ``bytes`` and known totals are
+    reused.  Equal rows differ in it, so any number of them is cut into parts.
     """
     if limit_bytes <= 0:
         raise ValueError("limit_bytes must be positive")
     dtype = df.schema[key].dataType
     rows = df if "bytes" in df.columns else df.withColumn("bytes", line_bytes(line))
-    rows = rows.withColumn("_h", F.col("line_hash") if "line_hash" in df.columns
-                           else line_hash(line))
+    if "line_hash" not in df.columns:
+        rows = materialize(rows.withColumn("line_hash", row_hash(line)))
+    rows = rows.withColumn("_h", F.col("line_hash"))
     if n_rows is None or total_bytes is None:
         st = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
         n_rows, total_bytes = st["n"], st["b"] or 0
@@ -157,7 +144,7 @@ def assign_parts(df: DataFrame, key: str, line: str, limit_bytes: int,
     if est <= broadcast_limit:
         table = F.broadcast(table)
     k, h = F.col(key), F.col("_h")
-    later = F.filter(F.coalesce(F.col("_st"), F.array().cast("array<struct<k:%s,h:bigint,p:bigint>>"
+    later = F.filter(F.coalesce(F.col("_st"), F.array().cast("array<struct<k:%s,h:struct<h:bigint,u:bigint>,p:bigint>>"
                                                            % dtype.simpleString())),
                      lambda s: (s["k"] < k) | ((s["k"] == k) & (s["h"] <= h)))
     part = F.greatest(F.col("_p0"), F.coalesce(F.array_max(F.transform(later, lambda s: s["p"])),

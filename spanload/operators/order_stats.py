@@ -85,10 +85,25 @@ def first_edges_agg(key: str, fanout: int = 127) -> Column | None:
     return F.percentile_approx(key, _fractions(fanout), SKETCH_ACCURACY)
 
 
+def bucket_search(k: Column, edges: list, dtype, point: bool = True) -> Column:
+    """The bucket that :func:`rank_tree` gives, by a binary search over a literal array.
+
+    Steps and generated code grow with the logarithm of the number of edges.
+    """
+    n = len(edges)
+    values = F.array(*[typed_lit(e, dtype) for e in edges])
+    powers = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    below = F.aggregate(powers, F.lit(0), lambda at, p: F.when(
+        (at + p <= n) & (F.get(values, at + p - 1) <= k), at + p).otherwise(at))
+    if not point:
+        return below
+    return F.when((below > 0) & (F.get(values, below - 1) == k), 2 * below - 1).otherwise(2 * below)
+
+
 def order_statistics(keys_df: DataFrame, key: str, ordinals: list[int], *,
-                     total: int | None = None, window_rows: int = 2_000_000,
+                     total: int | None = None, window_rows: int = 65_536,
                      fanout: int = 127, sample_rows: int = 4096, seed: int = 11,
-                     max_levels: int = 16, first_edges: list | None = None) -> dict[int, Any]:
+                     max_levels: int = 64, first_edges: list | None = None) -> dict[int, Any]:
     """Exact key value at each 1-based ordinal of the ascending key order.
 
     Ties count separately (the k-th row, not the k-th distinct value).
@@ -115,9 +130,11 @@ def order_statistics(keys_df: DataFrame, key: str, ordinals: list[int], *,
         for t, iv in pending.items():
             groups.setdefault(iv.ident(), (iv, []))[1].append(t)
         final = [g for g in groups.values()
-                 if g[0].count <= window_rows or level >= max_levels]
+                 if g[0].count <= window_rows]
         narrow = [g for g in groups.values()
-                  if not (g[0].count <= window_rows or level >= max_levels)]
+                  if g[0].count > window_rows]
+        if narrow and level >= max_levels:
+            raise RuntimeError(f"order statistics not found in {max_levels} levels")
         if final:
             results.update(_resolve_by_window(keys, k, dtype, final))
             for _, ts in final:

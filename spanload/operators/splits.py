@@ -26,15 +26,15 @@ from pyspark.sql.types import (DataType, IntegerType, StringType, StructField,
                                StructType)
 
 from spanload.functions.keys import boundary_key, is_hex_key
-from spanload.operators.order_stats import (first_edges_agg, order_statistics, rank_tree,
+from spanload.operators.order_stats import (bucket_search, first_edges_agg, order_statistics, rank_tree,
                                            sketchable, typed_lit)
 
 log = logging.getLogger(__name__)
 
 # Chunk-number policy, the small-table gate and the sample size.
 DEFAULT_CHUNKS = 10
-MAX_CHUNKS = 10
-SMALL_TABLE_ROWS = 1000
+SMALL_TABLE_ROWS = 1000  # a gate that callers may name; off by default
+TREE_POINTS = 500  # more points than this are searched in an array: generated code stays small
 SAMPLE_SIZE = 10000
 METHODS = ("time", "sampling", "count")
 
@@ -62,6 +62,8 @@ class KeyRanges:
         k = F.col(key or self.key) if not isinstance(key, Column) else key
         if not self.points:
             return F.lit(0)
+        if len(self.points) > TREE_POINTS:
+            return bucket_search(k, self.points, self.dtype, point=False)
         return rank_tree(k, [typed_lit(p, self.dtype) for p in self.points])
 
     def predicate(self, chunk: int, key: str | Column | None = None) -> Column:
@@ -84,13 +86,12 @@ class KeyRanges:
         return spark.createDataFrame(rows, schema)
 
 
-def chunk_policy(n: int | None, cap: int = MAX_CHUNKS) -> int:
-    """R8 — <= 0 or absent → default; above the cap → the default cap."""
+def chunk_policy(n: int | None, cap: int | None = None) -> int:
+    """R8 — <= 0 or absent → default; above a cap that the caller names → an error."""
     if n is None or n <= 0:
-        return min(DEFAULT_CHUNKS, cap)
-    if n > cap:
-        log.info("limiting chunk count to %d (was %d)", cap, n)
-        return min(DEFAULT_CHUNKS, cap)
+        return DEFAULT_CHUNKS if cap is None else min(DEFAULT_CHUNKS, cap)
+    if cap is not None and n > cap:
+        raise ValueError(f"{n} chunks asked for, the limit is {cap}")
     return n
 
 
@@ -115,7 +116,7 @@ def _count_and_nulls(df: DataFrame, key: str, extra: list[Column] | None = None)
 
 
 def split_count(df: DataFrame, key: str, n: int | None = None, *,
-                cap: int = MAX_CHUNKS, small_rows: int = SMALL_TABLE_ROWS,
+                cap: int | None = None, small_rows: int = 0,
                 **stats_opts) -> KeyRanges:
     """R1 — exact split by row count."""
     dtype = df.schema[key].dataType
@@ -129,7 +130,7 @@ def split_count(df: DataFrame, key: str, n: int | None = None, *,
     row = _count_and_nulls(df, key, extra)
     total = row["rows"]
     if total < 1:
-        raise ValueError("collection has no documents")
+        raise ValueError(f"no rows to split by {key!r}")
     if total < small_rows:
         return _single(key, dtype)
     if sketch and row["q"]:
@@ -151,7 +152,7 @@ def time_boundaries(oldest: int, newest: int, n: int) -> list[int]:
 
 
 def split_time(df: DataFrame, key: str, n: int | None = None, *,
-               cap: int = MAX_CHUNKS, small_rows: int = SMALL_TABLE_ROWS) -> KeyRanges:
+               cap: int | None = None, small_rows: int = 0) -> KeyRanges:
     """R2 — split by the creation-time span of object-id keys (one pass)."""
     dtype = df.schema[key].dataType
     n = chunk_policy(n, cap)
@@ -163,7 +164,7 @@ def split_time(df: DataFrame, key: str, n: int | None = None, *,
         F.min(key).alias("lo"), F.max(key).alias("hi"),
         F.sum(F.when(~is_hex_key(key), 1).otherwise(0)).alias("bad")])
     if row["rows"] < 1:
-        raise ValueError("failed to find oldest document: collection has no documents")
+        raise ValueError("no oldest row, collection has no documents")
     if row["bad"]:
         raise ValueError(f"{row['bad']} keys of {key!r} are not object ids")
     if row["rows"] < small_rows:
@@ -195,7 +196,7 @@ def sample_keys(df: DataFrame, key: str, size: int = SAMPLE_SIZE, seed: int = 42
 
 
 def split_sample(df: DataFrame, key: str, n: int | None = None, *,
-                 cap: int = MAX_CHUNKS, size: int = SAMPLE_SIZE,
+                 cap: int | None = None, size: int = SAMPLE_SIZE,
                  seed: int = 42) -> KeyRanges:
     """R3/R4 — split points from a sorted, de-duplicated random sample."""
     dtype = df.schema[key].dataType
@@ -216,7 +217,7 @@ def split_sample(df: DataFrame, key: str, n: int | None = None, *,
 
 
 def split(df: DataFrame, key: str, n: int | None = None, method: str | None = None, *,
-          ranges: KeyRanges | None = None, cap: int = MAX_CHUNKS, **opts) -> KeyRanges:
+          ranges: KeyRanges | None = None, cap: int | None = None, **opts) -> KeyRanges:
     """R5/R9/R10 — method dispatch; a given range table overrides everything."""
     if ranges is not None:
         return ranges
@@ -224,7 +225,7 @@ def split(df: DataFrame, key: str, n: int | None = None, method: str | None = No
     n = chunk_policy(n, cap)
     if n == 1:
         return _single(key, df.schema[key].dataType)
-    small_rows = opts.pop("small_rows", SMALL_TABLE_ROWS)
+    small_rows = opts.pop("small_rows", 0)
     if method == "time":
         return split_time(df, key, n, cap=cap, small_rows=small_rows, **opts)
     if method == "count":

@@ -14,7 +14,7 @@ from __future__ import annotations
 import logging
 import traceback
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,8 +84,16 @@ def _run_one(spark: SparkSession, job: TableJob, wh: Warehouse, pool: str) -> Lo
 
 
 def run_batch(spark: SparkSession, jobs: list[TableJob], wh: Warehouse,
-              workers: int = DEFAULT_WORKERS) -> BatchResult:
-    """B1 — load every table, ``workers`` at a time."""
+              workers: int = DEFAULT_WORKERS,
+              bad_specs: dict[str, str] | None = None) -> BatchResult:
+    """B1 — load every table, ``workers`` at a time.
+
+    ``bad_specs`` (path → reason, from ``discover_specs``) become failed rows of the report.
+    """
+    refused = [LoadResult(path, "failed", error=f"SchemaError: {why}"[:2000])
+               for path, why in sorted((bad_specs or {}).items())]
+    if not jobs and refused:
+        return BatchResult(refused)
     if not jobs:
         raise ValueError("no tables to load")
     names = [j.spec.table for j in jobs]
@@ -98,8 +106,4 @@ def run_batch(spark: SparkSession, jobs: list[TableJob], wh: Warehouse,
         futures = [ex.submit(_run_one, spark, j, wh, f"table-{i % n}")
                    for i, j in enumerate(jobs)]
         results = [f.result() for f in futures]
-    return BatchResult(results)
-
-
-def result_dict(r: LoadResult) -> dict:
-    return asdict(r)
+    return BatchResult(results + refused)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,13 +35,15 @@ class LoadOptions:
     key: str = "_id"
     chunks: int = 10
     method: str | None = None  # None → time
+    small_rows: int = splits.SMALL_TABLE_ROWS  # R7: a source with fewer rows is one chunk
     ranges: splits.KeyRanges | None = None  # R5: a saved range table wins
     overwrite: bool = False
     use_staging: bool = True
     part_limit: int = GIB  # W2: raw bytes per part
     export_root: str | None = None  # None → no JSON-lines side output
     keep_export: bool = True
-    on_bad: str = "reject"  # F4
+    on_bad: str = "fail"  # F4; "reject" needs a place for the rejects
+    reject_root: str | None = None  # C8; else under export_root
     on_empty: str = "error"  # X3
     rename_id: bool = True  # C5
     typed_fast_path: bool = True  # typed sources with compatible types skip JSON
@@ -57,12 +60,15 @@ class LoadResult:
     seconds: float = 0.0
     error: str | None = None
     export_path: str | None = None
+    reject_path: str | None = None
     reject_reasons: dict = field(default_factory=dict)
 
 
 def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
                wh: publish.Warehouse, opts: LoadOptions | None = None) -> LoadResult:
     opts = opts or LoadOptions()
+    if opts.on_bad == "reject" and not (opts.reject_root or opts.export_root):
+        raise ValueError("on_bad='reject' needs reject_root or export_root to keep the rejects in")
     t0 = time.time()
     res = LoadResult(spec.table, "ok")
     final = wh.name(spec.table)
@@ -72,7 +78,8 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
         res.seconds = time.time() - t0
         return res
     key = opts.key
-    ranges = splits.split(source, key, opts.chunks, opts.method, ranges=opts.ranges)
+    ranges = splits.split(source, key, opts.chunks, opts.method, ranges=opts.ranges,
+                          small_rows=opts.small_rows)
     res.chunks = ranges.n_chunks
     typed_mode = (opts.typed_fast_path and "doc" not in source.columns
                   and conform.typed_compatible(source.schema, spec.schema, opts.rename_id))
@@ -98,7 +105,7 @@ STAGE_COLS = ["_key", "_chunk", "_reason", "_schema_bad", "_line", "_bytes", "_l
 
 def _with_line_stats(df: DataFrame) -> DataFrame:
     return (df.withColumn("_bytes", F.coalesce(export.line_bytes("_line"), F.lit(0)))
-            .withColumn("_line_hash", export.line_hash("_line")))
+            .withColumn("_line_hash", export.row_hash("_line")))
 
 
 def _stage_documents(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> DataFrame:
@@ -112,7 +119,9 @@ def _stage_documents(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> Dat
         docs = rows.select("_key", "_chunk", F.col("doc").alias("_raw"))
     else:  # typed rows whose types need the JSON load rules
         src_cols = [c for c in rows.columns if c not in ("_key", "_chunk")]
-        docs = clean.rows_to_documents(rows, doc="_raw", keep=["_key", "_chunk"],
+        # a row that can't become a document is kept as Spark writes it
+        rows = rows.withColumn("_row", F.to_json(F.struct(*[F.col(f"`{c}`") for c in src_cols])))
+        docs = clean.rows_to_documents(rows, doc="_raw", keep=["_key", "_chunk", "_row"],
                                        cols=src_cols, reason="_pre")
     cleaned = clean.clean_documents(docs, "_raw", conform.string_fields(spec.schema),
                                     rename_id=opts.rename_id, line="_ln", reason="_cr0")
@@ -122,14 +131,16 @@ def _stage_documents(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> Dat
     # the parsing projections and run them twice.  ``on_bad="fail"`` is
     # enforced on the stage (``_schema_bad``) before anything is published.
     typed = conform.conform_lines(cleaned, spec.schema, line="_ln", on_bad="reject",
-                                  reason="_sr", keep=["_key", "_chunk", "_raw", "_ln", "_cr"])
+                                  reason="_sr", keep=["_key", "_chunk", "_raw", "_ln", "_cr"]
+                                  + [c for c in ("_row",) if c in cleaned.columns])
+    raw = F.coalesce("_raw", "_row") if "_row" in cleaned.columns else F.col("_raw")
     # lines are staged only when they are exported (rejects keep theirs in _doc)
     line = F.col("_ln") if opts.export_root else F.lit(None).cast("string")
     out = typed.select(
         "_key", "_chunk", F.coalesce("_cr", "_sr").alias("_reason"),
         (F.col("_cr").isNull() & F.col("_sr").isNotNull()).alias("_schema_bad"),
         line.alias("_line"),
-        F.when(F.col("_cr").isNotNull(), F.col("_raw"))
+        F.when(F.col("_cr").isNotNull(), raw)
         .when(F.col("_sr").isNotNull(), F.col("_ln")).alias("_doc"),
         *[F.col(f.name) for f in spec.schema.fields])
     return _with_line_stats(out)
@@ -176,7 +187,7 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
     if empty and opts.on_empty == "error":
         raise RuntimeError(f"no documents found in chunks {empty} for table {spec.table}")
     if opts.export_root:
-        stamp = publish.run_stamp()
+        stamp = f"{publish.run_stamp()}-{uuid.uuid4().hex[:8]}"
         path = publish.staged_folder(opts.export_root, spec.table, stamp)
         n_lines = sum(r["lines"] for r in per_chunk)
         n_bytes = sum(r["line_bytes"] or 0 for r in per_chunk)
@@ -189,6 +200,17 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
                            expected_parts=n_bytes // opts.part_limit + ranges.n_chunks)
         res.export_path = path
         res.parts = export.file_sizes(spark, path + "/parts").count()  # listing only
+    n_rejects = sum(r["rejects"] for r in per_chunk)
+    if n_rejects:  # C8 — rejected documents are kept, with their reason, before anything is published
+        root = (f"{opts.reject_root.rstrip('/')}/{spec.table}-{publish.run_stamp()}-{uuid.uuid4().hex[:8]}"
+                if opts.reject_root else res.export_path)
+        if root is None:
+            raise RuntimeError(f"load failed: {n_rejects} rejected documents and no reject_root to keep them in")
+        res.reject_path = f"{root}/rejects"
+        staged.where(is_bad).select(
+            F.col("_key").alias("key"), F.col("_chunk").alias("chunk"),
+            F.col("_doc").alias("doc"), F.col("_reason").alias("reject_reason")
+        ).write.mode("overwrite").json(res.reject_path)
     # typed columns are already in the stage: the load parses nothing
     loadable = staged.where(~is_bad).select(*[F.col(f.name) for f in spec.schema.fields])
     out = publish.publish(spark, loadable, spec.schema, spec.table, wh,
@@ -198,14 +220,8 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
     res.reject_reasons = {r[0]: r[1] for r in staged.where(is_bad)
                           .groupBy("_reason").count().collect()}
     res.rejects = sum(res.reject_reasons.values())
-    if res.export_path:
-        if res.rejects:  # C8 — rejected documents are kept, with their reason
-            staged.where(is_bad).select(
-                F.col("_key").alias("key"), F.col("_chunk").alias("chunk"),
-                F.col("_doc").alias("doc"), F.col("_reason").alias("reject_reason")
-            ).write.mode("overwrite").json(res.export_path + "/rejects")
-        if not opts.keep_export:
-            publish.delete_path(spark, res.export_path + "/parts")  # W11
+    if res.export_path and not opts.keep_export:
+        publish.delete_path(spark, res.export_path + "/parts")  # W11
     res.seconds = time.time() - t0
     return res
 

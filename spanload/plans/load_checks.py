@@ -174,7 +174,7 @@ SELECT chunk, CAST(pre // 1048576 AS INTEGER) AS part, CAST(count(*) AS BIGINT)
 FROM w GROUP BY 1, 2"""))
 def q_part_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    ranges = splits.split_count(docs, "doc_id", 4)
+    ranges = splits.split_count(docs, "doc_id", 4, small_rows=splits.SMALL_TABLE_ROWS)
     rows = splits.with_chunk(docs, ranges).select(
         "doc_id", "chunk",
         F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("line"))
@@ -261,7 +261,7 @@ def q_publish_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = fresh_warehouse(spark, "create")
     spec = events_spec()
     load.load_table(spark, event_docs(spark, sf_dir), spec, wh,
-                    load.LoadOptions(key="_id", chunks=4, method="count", use_staging=False))
+                    load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"), key="_id", chunks=4, method="count", use_staging=False))
     t = spark.table(wh.name(spec.table))
     return t.select("id", "user_id", "value", "note", F.size("tags").alias("n_tags"), "meta")
 
@@ -276,7 +276,7 @@ def q_publish_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W4/W5 — a second run without overwrite finds the final table and skips."""
     wh = fresh_warehouse(spark, "skip")
     spec = events_spec([{"name": "id", "type": "STRING"}, {"name": "user_id", "type": "INTEGER"}])
-    opts = load.LoadOptions(key="_id", chunks=4, method="time")
+    opts = load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"), key="_id", chunks=4, method="time")
     runs = [load.load_table(spark, event_docs(spark, sf_dir), spec, wh, opts) for _ in range(2)]
     return spark.createDataFrame([(i + 1, r.status, r.rows) for i, r in enumerate(runs)],
                                  "run int, status string, rows bigint")
@@ -291,9 +291,9 @@ def q_publish_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = events_spec([{"name": "id", "type": "STRING"}, {"name": "value", "type": "FLOAT"},
                           {"name": "event_type", "type": "STRING"}])
     load.load_table(spark, event_docs(spark, sf_dir), first, wh,
-                    load.LoadOptions(key="_id", chunks=3, method="sampling"))
+                    load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"), key="_id", chunks=3, method="sampling"))
     load.load_table(spark, event_docs(spark, sf_dir), second, wh,
-                    load.LoadOptions(key="_id", chunks=3, method="sampling", overwrite=True))
+                    load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"), key="_id", chunks=3, method="sampling", overwrite=True))
     return spark.table(wh.name(second.table))
 
 
@@ -306,7 +306,7 @@ def q_publish_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
                         {"name": "note", "type": "STRING"}])
     export_root = scratch_path(spark, "stage-files")
     load.load_table(spark, event_docs(spark, sf_dir), spec, wh,
-                    load.LoadOptions(key="_id", chunks=4, method="time", use_staging=True,
+                    load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"), key="_id", chunks=4, method="time", use_staging=True,
                                      export_root=export_root, part_limit=128 << 10,
                                      keep_export=False))
     final = spark.table(wh.name(spec.table))
@@ -326,7 +326,7 @@ def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6/C8 — rows loaded (observed on the write) and rejects of one run."""
     wh = fresh_warehouse(spark, "report")
     r = load.load_table(spark, event_docs(spark, sf_dir), events_spec(), wh,
-                        load.LoadOptions(key="_id", chunks=4, method="count",
+                        load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"), key="_id", chunks=4, method="count",
                                          export_root=scratch_path(spark, "report-files")))
     return spark.createDataFrame([(r.table, r.status, r.rows, r.rejects, r.chunks)],
                                  "table_name string, status string, rows bigint, "

@@ -212,7 +212,25 @@ def q_split_unknown_method(spark: SparkSession, sf_dir: str) -> DataFrame:
                    chunk_report_select()))
 def q_split_small_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = read_table(spark, sf_dir, "pages").withColumnRenamed("page_id", "key")
-    return chunks.chunk_report(df, splits.split_count(df, "key", 10))
+    return chunks.chunk_report(df, splits.split_count(df, "key", 10, small_rows=splits.SMALL_TABLE_ROWS))
+
+
+@register("split_count_wide",
+          with_src("SELECT event_id AS key, * FROM events", sp_count(25), assigned(),
+                   chunk_report_select()))
+def q_split_count_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More chunks than the default: the number asked for is honoured."""
+    df = read_table(spark, sf_dir, "events").withColumnRenamed("event_id", "key")
+    return chunks.chunk_report(df, splits.split_count(df, "key", 25))
+
+
+@register("split_count_narrow",
+          with_src("SELECT l_orderkey AS key, * FROM lineitem", sp_count(10), assigned(),
+                   chunk_report_select()))
+def q_split_count_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The narrowing path at every size: windows of 500 rows, 8 edges a level."""
+    df = read_table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "key")
+    return chunks.chunk_report(df, splits.split_count(df, "key", 10, window_rows=500, fanout=8))
 
 
 # --------------------------------------------------------------------------

@@ -12,6 +12,7 @@ import tempfile
 import threading
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 _LOCK = threading.Lock()
@@ -26,20 +27,25 @@ def build_session(master: str | None = None, cpus: int | None = None,
     the session time zone is UTC so key-time arithmetic matches the SQL
     oracle, and the web UI is off.
     """
+    submitted = SparkConf().get("spark.master", None)
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
-    master = master or f"local[{cpus}]"
+    builder = SparkSession.builder
+    if master or not submitted:  # a submitted job keeps its master, memory and partitions
+        builder = (builder.master(master or f"local[{cpus}]")
+                   .config("spark.driver.memory", "8g")
+                   .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus)))
+    elif shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(master)
+        builder
         .appName("spanload")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.scheduler.mode", "FAIR")
-        .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -61,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if conf_dir:
             sc.setCheckpointDir(conf_dir)
             return sc.getCheckpointDir() or conf_dir
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         # Unset: local test run.  A private folder is fine here.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spanload-ckpt-"))
         return sc.getCheckpointDir()
@@ -86,7 +94,8 @@ def spread(df, key: str | None = None):
     del key
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
+        # files and bytes are known without a job; asking the RDD would run shuffles
+        if df.inputFiles() and len(df.inputFiles()) >= target:
             return df
     except Exception:  # noqa: BLE001 — no RDD view (e.g. a remote session): leave as is
         return df

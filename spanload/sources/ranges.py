@@ -13,7 +13,7 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, _parse_datatype_string
 
 from spanload.functions.keys import is_hex_text
 from spanload.operators.splits import KeyRanges
@@ -30,9 +30,10 @@ def write_ranges(spark: SparkSession, ranges: KeyRanges, path: str) -> str:
     table = ranges.to_df(spark).select(
         "chunk", F.col("start_id").cast("string").alias("start_id"),
         F.col("end_id").cast("string").alias("end_id"))
+    kind = F.lit(None if isinstance(ranges.dtype, StringType) else ranges.dtype.simpleString()).cast("string")
     text = table.agg(F.to_json(F.transform(
         F.sort_array(F.collect_list(F.struct("chunk", "start_id", "end_id"))),
-        lambda x: F.struct(x["start_id"].alias("start_id"), x["end_id"].alias("end_id")),
+        lambda x: F.struct(x["start_id"].alias("start_id"), x["end_id"].alias("end_id"), kind.alias("type")),
     )).alias("value"))
     text.coalesce(1).write.mode("overwrite").text(path)
     return path
@@ -43,13 +44,26 @@ def read_ranges(spark: SparkSession, path: str, key: str = "_id",
     """S7 — load and validate a range file into :class:`KeyRanges`."""
     raw = spark.read.text(path, wholetext=True)
     items = raw.select(F.posexplode(F.from_json(
-        "value", "array<struct<start_id:string,end_id:string>>")).alias("i", "r"))
-    rows = (items.select("i", "r.start_id", "r.end_id").orderBy("i")
+        "value", "array<struct<start_id:string,end_id:string,type:string>>")).alias("i", "r"))
+    rows = (items.select("i", "r.start_id", "r.end_id", "r.type").orderBy("i")
             .limit(MAX_RANGES + 1).collect())
     if not rows:
         raise ValueError(f"range file {path} holds no ranges")
     if len(rows) > MAX_RANGES:
         raise ValueError(f"range file {path} holds more than {MAX_RANGES} ranges")
+    kinds = {r["type"] for r in rows}
+    if len(kinds) > 1:
+        raise ValueError(f"range file {path} mixes key types")
+    dtype = StringType()
+    if kinds != {None}:  # other keys than text are cast back to their type
+        dtype = _parse_datatype_string(kinds.pop())
+        require_hex = False
+        cast = spark.createDataFrame([(r["i"], r["start_id"], r["end_id"]) for r in rows],
+                                     "i int, start_id string, end_id string")
+        rows = (cast.select("i", F.col("start_id").try_cast(dtype).alias("start_id"),
+                            F.col("end_id").try_cast(dtype).alias("end_id")).orderBy("i").collect())
+        if any(r["start_id"] is None for r in rows[1:]) or any(r["end_id"] is None for r in rows[:-1]):
+            raise ValueError(f"range file {path} holds keys that are no {dtype.simpleString()}")
     last = len(rows) - 1
     starts: list[Any] = []
     ends: list[Any] = []
@@ -69,7 +83,7 @@ def read_ranges(spark: SparkSession, path: str, key: str = "_id",
     for i in range(1, len(ends)):
         if not ends[i - 1] < ends[i]:
             raise ValueError(f"ranges are not in ascending key order at index {i}")
-    return KeyRanges(key, StringType(), ends, "file")
+    return KeyRanges(key, dtype, ends, "file")
 
 
 def make_range_file(spark: SparkSession, df, key: str, path: str, chunks: int = 10,

@@ -47,11 +47,13 @@ def read_spec(spark: SparkSession, path: str) -> TableSpec:
     return spec_from_text(path, rows[0]["value"])
 
 
-def discover_specs(spark: SparkSession, folder: str) -> list[TableSpec]:
+def discover_specs(spark: SparkSession, folder: str,
+                   errors: dict[str, str] | None = None) -> list[TableSpec]:
     """S8 — every ``*.json`` schema file in a folder (sorted); none found is an error.
 
     Two files whose names normalise to one table name are refused, since
-    they would overwrite each other.
+    they would overwrite each other.  With ``errors`` given, a file that is no schema
+    is noted there (path → reason) and the others are returned.
     """
     try:
         listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
@@ -66,7 +68,14 @@ def discover_specs(spark: SparkSession, folder: str) -> list[TableSpec]:
         raise SchemaError(f"target folder does not exist: {folder}: {e}") from e
     if not files:
         raise SchemaError(f"no table schema files in {folder}")
-    specs = [spec_from_text(r["path"], r["text"]) for r in files]
+    specs = []
+    for r in files:
+        try:
+            specs.append(spec_from_text(r["path"], r["text"]))
+        except SchemaError as e:
+            if errors is None:
+                raise
+            errors[r["path"]] = str(e)
     seen: dict[str, str] = {}
     for s in specs:
         if s.table in seen:

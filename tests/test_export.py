@@ -52,7 +52,7 @@ def test_many_buckets_match_brute_force(spark):
 
 
 def test_hot_key_and_searchsorted_path(spark, monkeypatch):
-    # a third of the rows share one key; force the numpy bucket search too
+    # a third of the rows share one key; force the array search too
     df = conv_lines(spark).withColumn(
         "key", F.when(F.col("key") % 3 == 0, F.lit(5000)).otherwise(F.col("key")))
     monkeypatch.setattr(export, "TREE_MAX_EDGES", 2)
@@ -80,6 +80,29 @@ def test_small_limit_many_files(spark):
     assert keys == sorted(keys)
 
 
+def test_equal_rows_are_cut_into_parts(spark):
+    """1,000 equal rows of 25 bytes and ten keys of 100 equal lines: no part passes its limit."""
+    same = spark.range(1000).select(F.lit(7).cast("long").alias("key"), F.lit(0).alias("chunk"),
+                                    F.lpad(F.lit("x"), 24, "y").alias("line"))
+    rep = export.part_report(export.assign_parts(same, "key", "line", 1000), "key").collect()
+    assert sorted(r["part"] for r in rep) == list(range(25)) and {r["bytes"] for r in rep} == {1000}
+    ten = spark.range(1000).select((F.col("id") % 10).alias("key"), F.lit(0).alias("chunk"),
+                                   F.lpad((F.col("id") % 10).cast("string"), 7, "y").alias("line"))
+    rep = export.part_report(export.assign_parts(ten, "key", "line", 200, bucket_bytes=500), "key").collect()
+    assert len(rep) == 40 and {r["bytes"] for r in rep} == {200}
+
+
+def test_timestamp_keys_with_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(export, "TREE_MAX_EDGES", 2)
+    ev = read_table(spark, SF01, "events").select(F.col("ts").alias("key"), F.lit(0).alias("chunk"),
+                                                  F.col("props").alias("line"))
+    rep = export.part_report(export.assign_parts(ev, "key", "line", 3000, bucket_bytes=4000), "key")
+    rows = rep.orderBy("part").collect()
+    assert sum(r["rows"] for r in rows) == 10000
+    assert all(a["max_key"] <= b["min_key"] for a, b in zip(rows, rows[1:]))
+    assert max(r["bytes"] for r in rows) < 3000 + 40
+
+
 def test_limit_must_be_positive(spark):
     with pytest.raises(ValueError):
         export.assign_parts(conv_lines(spark), "key", "line", 0)

@@ -42,13 +42,13 @@ def test_skip_overwrite_and_staging(spark):
     spec = spec_from_text("x/ev.docs.json", json.dumps(SPEC))
     assert spec.table == "ev_docs" and spec.source == "ev.docs"
     docs = event_docs(spark, SF001)
-    opts = load.LoadOptions(key="_id", chunks=4, method="time")
+    opts = load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"), key="_id", chunks=4, method="time")
     r1 = load.load_table(spark, docs, spec, wh, opts)
     assert r1.status == "ok" and r1.rows + r1.rejects == 1000
     r2 = load.load_table(spark, docs, spec, wh, opts)
     assert r2.status == "skipped"
     wide = spec_from_text("x/ev.docs.json", json.dumps(SPEC + [{"name": "note", "type": "STRING"}]))
-    r3 = load.load_table(spark, docs, wide, wh, load.LoadOptions(
+    r3 = load.load_table(spark, docs, wide, wh, load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"), 
         key="_id", chunks=4, method="count", overwrite=True,
         export_root=scratch_path(spark, "t-exp"), part_limit=20000, keep_export=False))
     assert r3.status == "ok" and r3.parts and r3.parts > 1
@@ -63,7 +63,7 @@ def test_empty_chunk_fails_the_table(spark):
     docs = event_docs(spark, SF001)
     ranges = KeyRanges("_id", docs.schema["_id"].dataType, ["0", "1"])
     with pytest.raises(RuntimeError, match="no documents found"):
-        load.load_table(spark, docs, spec, wh, load.LoadOptions(key="_id", ranges=ranges))
+        load.load_table(spark, docs, spec, wh, load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"), key="_id", ranges=ranges))
 
 
 def test_delete_path_never_raises(spark):
@@ -115,7 +115,7 @@ def test_discover_specs(spark):
 def test_rejects_are_kept_with_reasons(spark):
     from spanload.plans.load_checks import events_spec
     wh = fresh_warehouse(spark, "t-rejects")
-    r = load.load_table(spark, event_docs(spark, SF001), events_spec(), wh, load.LoadOptions(
+    r = load.load_table(spark, event_docs(spark, SF001), events_spec(), wh, load.LoadOptions(on_bad="reject", 
         key="_id", chunks=4, method="count", export_root=scratch_path(spark, "t-rej")))
     rej = spark.read.json(r.export_path + "/rejects")
     assert rej.count() == r.rejects and r.rows + r.rejects == 1000

@@ -3,7 +3,7 @@ import pytest
 from spanload.operators import splits
 from spanload.session import scratch_path
 from spanload.sources import ranges
-from spanload.sources.tables import events_with_key
+from spanload.sources.tables import events_with_key, read_table
 from tests.conftest import SF01
 
 
@@ -58,3 +58,22 @@ def test_make_range_file_and_source_types(spark):
     spark.createDataFrame([('{"a":1}',), ('{"b":2}',)], "value string").write.text(txt)
     assert sorted(r["doc"] for r in raw_json_documents(spark, txt).collect()) == [
         '{"a":1}', '{"b":2}']
+
+
+def test_numeric_keys_round_trip(spark):
+    ev = read_table(spark, SF01, "events")
+    made = splits.split_count(ev, "event_id", 6)
+    path = scratch_path(spark, "ranges-numeric")
+    ranges.write_ranges(spark, made, path)
+    back = ranges.read_ranges(spark, path, "event_id")
+    assert back.points == made.points and back.dtype == made.dtype
+
+
+def test_many_points_use_the_array_search(spark):
+    r = splits.KeyRanges("id", made_type(spark), list(range(10, 20000, 10)), "test")
+    got = spark.range(20005).select("id", r.chunk_of().alias("c"))
+    assert got.where("c <> least(id div 10, 1999)").isEmpty()
+
+
+def made_type(spark):
+    return spark.range(1).schema["id"].dataType

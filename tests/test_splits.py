@@ -62,7 +62,7 @@ def test_time_split_orders(spark):
 
 def test_small_gate_and_single_chunk(spark):
     pages = read_table(spark, SF01, "pages")
-    assert splits.split_count(pages, "page_id", 10).points == []
+    assert splits.split_count(pages, "page_id", 10, small_rows=1000).points == []
     ev = read_table(spark, SF01, "events")
     assert splits.split(ev, "event_id", 1, "count").points == []
 
@@ -70,7 +70,9 @@ def test_small_gate_and_single_chunk(spark):
 def test_chunk_policy():
     assert splits.chunk_policy(0) == 10
     assert splits.chunk_policy(-3) == 10
-    assert splits.chunk_policy(25) == 10
+    assert splits.chunk_policy(25) == 25
+    with pytest.raises(ValueError):
+        splits.chunk_policy(25, cap=10)
     assert splits.chunk_policy(7) == 7
     assert splits.chunk_policy(50, cap=100) == 50
 
@@ -85,7 +87,7 @@ def test_time_split_rejects_non_object_ids(spark):
 
 def test_empty_and_null_keys(spark):
     ev = read_table(spark, SF01, "events")
-    with pytest.raises(ValueError, match="no documents"):
+    with pytest.raises(ValueError, match="no rows to split"):
         splits.split_count(ev.where("event_id < 0"), "event_id", 4)
     with_null = ev.withColumn("event_id", F.when(F.col("event_id") % 2 == 0, F.col("event_id")))
     with pytest.raises(ValueError, match="null key"):
