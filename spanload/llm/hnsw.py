@@ -124,8 +124,8 @@ def _put_in(filled: np.ndarray, n: int, links: int, above: list[np.ndarray]) ->
     """The graph of the first n nodes on one level; the levels above are there already."""
     level = np.full((n, links), -1, np.int32)
     upper = len(above[0]) if above else 0
-    done = min(n, 2 * links)
-    for i in range(done):  # the first ones know each other
+    done = min(n, links + 1)
+    for i in range(done):  # the first ones all know each other
         others = np.array([j for j in range(done) if j != i][:links], np.int32)
         level[i, : len(others)] = others
     while done < n:
