@@ -95,7 +95,8 @@ def spread(df, key: str | None = None):
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         # files and bytes are known without a job; asking the RDD would run shuffles
-        if df.inputFiles() and len(df.inputFiles()) >= target:
+        files = df.inputFiles()
+        if not files or len(files) >= target:
             return df
     except Exception:  # noqa: BLE001 — no RDD view (e.g. a remote session): leave as is
         return df
