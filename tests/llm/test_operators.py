@@ -283,6 +283,34 @@ def test_a_token_is_scored_once_with_its_own_past():
         assert abs(g - total / math.log(10)) < 1e-3
 
 
+def test_lm_shares_sum_to_one():
+    """Whatever stands before, the probabilities of all next subwords make 1."""
+    rng = np.random.default_rng(5)
+    initial = np.arange(50) < 20
+    w = lm.start_weights(rng.integers(0, 50, (lm.CLASSES + 1, lm.CLASSES + 1)).astype(float))
+    w["rows"][:, 50:] = -1e4  # one id in each of 50 classes, and no others
+    w["out"] *= 30
+    tree = lm.Beginnings(50, [[5, 25], [5, 25, 30], [5, 31], [7], [5, 25, 30, 30]], [9, 4, 3, 2, 1])
+    s = lm.Scorer(w, np.arange(50), np.zeros(50), {}, VOCABULARY, public_tokenizers.PATTERN, initial, tree)
+
+    def score(texts):
+        ids, own, model = [], [], []
+        for words in texts:
+            flat = [i for word in words for i in word]
+            shares = [tree.shares(word) for word in words]
+            ids += flat
+            own += [1.0, *(x for a, _ in shares for x in a)][: len(flat)]
+            model += [0.0, *(x for _, b in shares for x in b)][: len(flat)]
+        sizes = np.array([sum(map(len, words)) for words in texts])
+        return 10 ** s.model(np.array(ids), sizes, (np.array(own), np.array(model)))
+
+    assert score([[[i]] for i in range(20)]).sum() == pytest.approx(1, abs=1e-4)
+    for word in ([5], [5, 25], [5, 25, 30], [5, 40], [9], [7]):
+        after = score([[[5, 31], word, [i]] if initial[i] else [[5, 31], [*word, i]] for i in range(50)])
+        assert after.sum() / score([[[5, 31], word]])[0] == pytest.approx(1, abs=1e-4)
+
+
+
 def test_gradients_against_differences():
     rng = np.random.default_rng(1)
     w = {k: v.astype(np.float64) for k, v in lm.start_weights(rng.random((lm.CLASSES + 1, lm.CLASSES + 1)) * 9).items()}
