@@ -17,6 +17,7 @@ semantics:
 from __future__ import annotations
 
 import json
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -193,6 +194,40 @@ def _element_rule(sub: StructField, prefix: str, i: int):
     return bad
 
 
+def _text_holds(c: Column, field: StructField, test) -> Column | None:
+    """Whether ``test`` is true of a text in a STRING field, at any depth; None without one."""
+    dt = field.dataType
+    inner = dt.elementType if isinstance(dt, ArrayType) else dt
+
+    def one(x: Column) -> Column | None:
+        if not isinstance(inner, StructType):
+            return test(x) if field.metadata.get("type") == "STRING" else None
+        held = [h for sub in inner.fields if (h := _text_holds(x[sub.name], sub, test)) is not None]
+        return reduce(Column.__or__, (F.coalesce(h, F.lit(False)) for h in held)) if held else None
+
+    if not isinstance(dt, ArrayType):
+        return one(c)
+    return None if one(F.lit(None)) is None else F.exists(c, one)
+
+
+def _nested_in_text(v: Column, field: StructField) -> Column:
+    """F4 — whether a STRING field was sent an array or a record; ``v`` is the field's variant."""
+    dt = field.dataType
+    inner = dt.elementType if isinstance(dt, ArrayType) else dt
+
+    def one(x: Column) -> Column:
+        if not isinstance(inner, StructType):
+            kind = F.schema_of_variant(x)
+            return F.coalesce(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(False))
+        by_name = F.try_variant_get(x, "$", "map<string,variant>")
+        return reduce(Column.__or__, (_nested_in_text(by_name[sub.name], sub) for sub in inner.fields
+                                      if _text_holds(F.lit(None), sub, F.isnull) is not None))
+
+    if not isinstance(dt, ArrayType):
+        return one(v)
+    return F.coalesce(F.exists(F.try_variant_get(v, "$", "array<variant>"), one), F.lit(False))
+
+
 def conform_lines(df: DataFrame, schema: StructType, line: str = "line",
                   on_bad: str = "reject", reason: str = "reject_reason",
                   keep: list[str] | None = None) -> DataFrame:
@@ -201,7 +236,8 @@ def conform_lines(df: DataFrame, schema: StructType, line: str = "line",
     Returns the schema's columns (in schema order), the ``keep`` columns and
     ``reject_reason`` (NULL for good rows).  With ``on_bad="fail"`` the first
     bad row fails the job at its action, like a load without a bad-record
-    allowance.
+    allowance.  An array or a record sent to a STRING field, at any depth, is a bad
+    value; text that merely looks like one is not.
     """
     if on_bad not in ("reject", "fail"):
         raise ValueError("on_bad must be 'reject' or 'fail'")
@@ -214,7 +250,12 @@ def conform_lines(df: DataFrame, schema: StructType, line: str = "line",
                           F.col("_r")[corrupt].alias("_bad"), F.col(line).alias("_line"))
     why = F.when(F.col("_line").isNull(), F.lit(BAD_VALUE)).when(
         F.col("_bad").isNotNull(), F.lit(BAD_VALUE))
+    by_name = F.from_json("_line", "map<string,variant>")
     for f in schema.fields:
+        # the parser takes arrays and records into text; only lines with such a text are looked at again
+        bracket = _text_holds(F.col(f.name), f, lambda x: x.startswith("[") | x.startswith("{"))
+        if bracket is not None:
+            why = why.when(F.when(F.coalesce(bracket, F.lit(False)), _nested_in_text(by_name[f.name], f)), F.lit(BAD_VALUE))
         for cond, text in _violations(F.col(f.name), f, ""):
             why = why.when(F.coalesce(cond, F.lit(False)), F.lit(text))
     out = typed.withColumn(reason, why).drop("_bad", "_line")

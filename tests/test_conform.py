@@ -60,6 +60,22 @@ def test_load_rules(spark):
     assert out[6]["reject_reason"] is None and out[6]["xs"][0]["ys"] == []
 
 
+def test_arrays_and_records_are_not_text(spark):
+    schema = conform.schema_from_spec([
+        {"name": "s", "type": "STRING"},
+        {"name": "l", "type": "STRING", "mode": "REPEATED"},
+        {"name": "r", "type": "RECORD", "fields": [{"name": "t", "type": "STRING"}]},
+        {"name": "xs", "type": "RECORD", "mode": "REPEATED",
+         "fields": [{"name": "n", "type": "INTEGER"}, {"name": "u.v", "type": "STRING"}]}])
+    good = ['{"s":"[1,2]","l":["{","[x]"],"r":{"t":"{\\"a\\":1}"},"xs":[{"u.v":"[]"}]}', '{"s":5,"r":{"t":true}}',
+            '{"s":null,"l":[],"xs":[]}', '{"r":{}}', '{"s":"","extra":[1]}']
+    bad = ['{"s":[1,2]}', '{"s":{"a":1}}', '{"s":[]}', '{"l":["a",["b"]]}', '{"l":[{"a":1}]}', '{"r":{"t":[1]}}',
+           '{"r":{"t":{"a":1}}}', '{"xs":[{"u.v":"a"},{"u.v":{"b":1}}]}']
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(good + bad)], "i int, line string")
+    out = {r["i"]: r["reject_reason"] for r in conform.conform_lines(df, schema, keep=["i"]).collect()}
+    assert [out[i] for i in range(len(good + bad))] == [None] * len(good) + ["bad value"] * len(bad)
+
+
 def test_fail_mode_raises(spark):
     schema = conform.schema_from_spec([{"name": "n", "type": "INTEGER"}])
     df = spark.createDataFrame([('{"n":"x"}',)], "line string")
