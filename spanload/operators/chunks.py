@@ -82,7 +82,7 @@ def guard_empty_chunks(report: DataFrame, on_empty: str = "error") -> DataFrame:
         return report
     if on_empty != "error":
         raise ValueError("on_empty must be 'error' or 'allow'")
-    check = F.assert_true(F.col("rows") > 0, F.concat(F.lit("no documents found in chunk "),
+    check = F.assert_true(F.col("rows") > 0, F.concat(F.lit("empty range: chunk "),
                                                       F.col("chunk").cast("string")))
     # A filter, so column pruning cannot remove the check.
     return report.where(check.isNull())

@@ -110,6 +110,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system holds it."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def publish(spark: SparkSession, typed: DataFrame, schema: StructType, table: str,
             wh: Warehouse, overwrite: bool = False, use_staging: bool = True) -> dict:
     """Create/overwrite/skip rules, truncate-load and (optionally) staged copy.

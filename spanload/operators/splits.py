@@ -164,7 +164,7 @@ def split_time(df: DataFrame, key: str, n: int | None = None, *,
         F.min(key).alias("lo"), F.max(key).alias("hi"),
         F.sum(F.when(~is_hex_key(key), 1).otherwise(0)).alias("bad")])
     if row["rows"] < 1:
-        raise ValueError("no oldest row, collection has no documents")
+        raise ValueError(f"no rows to take creation times of {key!r} from")
     if row["bad"]:
         raise ValueError(f"{row['bad']} keys of {key!r} are not object ids")
     if row["rows"] < small_rows:
@@ -208,7 +208,7 @@ def split_sample(df: DataFrame, key: str, n: int | None = None, *,
     if not samples:
         return _single(key, dtype)
     if len(samples) < n + 1:
-        log.warning("not enough unique keys for %d chunks, using %d", n, len(samples) - 1)
+        log.warning("the sample has too few distinct keys for %d ranges, making %d", n, len(samples) - 1)
         n = len(samples) - 1
         if n <= 0:
             return _single(key, dtype)

@@ -19,10 +19,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from spanload.operators import clean, conform, export, publish, splits
 from spanload.session import scratch_path, spread
+from spanload.sources.ranges import read_ranges
 from spanload.sources.specs import TableSpec
 
 log = logging.getLogger(__name__)
@@ -37,6 +38,7 @@ class LoadOptions:
     method: str | None = None  # None → time
     small_rows: int = splits.SMALL_TABLE_ROWS  # R7: a source with fewer rows is one chunk
     ranges: splits.KeyRanges | None = None  # R5: a saved range table wins
+    range_folder: str | None = None  # R5: else the file <folder>/<source table>.json, where there is one
     overwrite: bool = False
     use_staging: bool = True
     part_limit: int = GIB  # W2: raw bytes per part
@@ -78,7 +80,8 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
         res.seconds = time.time() - t0
         return res
     key = opts.key
-    ranges = splits.split(source, key, opts.chunks, opts.method, ranges=opts.ranges,
+    saved = opts.ranges or saved_ranges(spark, source, spec, opts)
+    ranges = splits.split(source, key, opts.chunks, opts.method, ranges=saved,
                           small_rows=opts.small_rows)
     res.chunks = ranges.n_chunks
     typed_mode = (opts.typed_fast_path and "doc" not in source.columns
@@ -98,6 +101,23 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
         publish.delete_path(spark, stage_path)
 
 
+def saved_ranges(spark: SparkSession, source: DataFrame, spec: TableSpec,
+                 opts: LoadOptions) -> splits.KeyRanges | None:
+    """R5 — the table's file in ``range_folder``, or None; a file that is no valid range table raises."""
+    if not opts.range_folder:
+        return None
+    path = f"{opts.range_folder.rstrip('/')}/{spec.source}.json"
+    if not publish.path_exists(spark, path):
+        log.info("table %s has no range file %s", spec.table, path)
+        return None
+    found = read_ranges(spark, path, key=opts.key, require_hex=opts.method in (None, "time"))
+    own = source.schema[opts.key].dataType
+    if isinstance(found.dtype, StringType) != isinstance(own, StringType):
+        raise ValueError(f"range file {path} holds {found.dtype.simpleString()} keys, "
+                         f"{opts.key!r} is {own.simpleString()}")
+    return found
+
+
 # Every stage, whichever path made it, holds these columns plus the schema's.
 STAGE_COLS = ["_key", "_chunk", "_reason", "_schema_bad", "_line", "_bytes", "_line_hash",
               "_doc"]
@@ -185,7 +205,7 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
     seen = {r["_chunk"] for r in per_chunk}
     empty = [c for c in range(ranges.n_chunks) if c not in seen]
     if empty and opts.on_empty == "error":
-        raise RuntimeError(f"no documents found in chunks {empty} for table {spec.table}")
+        raise RuntimeError(f"table {spec.table}: empty ranges {empty}")
     if opts.export_root:
         stamp = f"{publish.run_stamp()}-{uuid.uuid4().hex[:8]}"
         path = publish.staged_folder(opts.export_root, spec.table, stamp)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanload.functions.names import normalize_table_name_col, source_name_col
@@ -15,22 +15,23 @@ from spanload.plans.clean_checks import (OUTCOME, STRING_FIELDS, with_raw_doc,
 from spanload.plans.registry import register
 from spanload.plans.split_checks import assigned, sp_count, sp_time, with_src
 from spanload.session import materialize, scratch_path, spread
+from spanload.sources import ranges as range_files
 from spanload.sources.specs import TableSpec, discover_specs, spec_from_text
 from spanload.sources.tables import TABLES, events_with_key, read_table
 
 # The example table schema of the reference's configuration
 # (a user table with a repeated record).
 USERS_SCHEMA = [
-    {"name": "id", "type": "STRING", "description": "User ID"},
+    {"name": "id", "type": "STRING", "description": "key of the user"},
     {"name": "username", "type": "STRING",
-     "description": "Username which used by login. This value is unique in system."},
-    {"name": "test_user", "type": "BOOLEAN", "description": "true if this user is test user"},
+     "description": "login name, no two alike"},
+    {"name": "test_user", "type": "BOOLEAN", "description": "made for tests"},
     {"name": "account_details", "type": "RECORD", "mode": "REPEATED",
-     "description": "Account detail info",
+     "description": "one entry an account",
      "fields": [{"name": "name", "type": "STRING"},
                 {"name": "age", "type": "INTEGER"},
                 {"name": "score", "type": "FLOAT"}]},
-    {"name": "created_at", "type": "TIMESTAMP", "description": "Timestamp when this user created"},
+    {"name": "created_at", "type": "TIMESTAMP", "description": "first seen"},
 ]
 
 # --------------------------------------------------------------------------
@@ -137,9 +138,21 @@ def q_conform_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.reject_counts(typed)
 
 
+@register("conform_kinds", f"""
+SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'ok' ELSE 'bad value' END AS fits
+FROM ({EVENTS_OK}) WHERE outcome = 'ok'""")
+def q_conform_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 — an array in a STRING field does not fit; a missing field does."""
+    schema = conform.schema_from_spec([{"name": "id", "type": "STRING"}, {"name": "tags", "type": "STRING"}])
+    typed = conform.conform_lines(_good_lines(spark, sf_dir), schema, keep=["event_id"])
+    return typed.select("event_id", F.coalesce("reject_reason", F.lit("ok")).alias("fits"))
+
+
 # --------------------------------------------------------------------------
 # W2 — part assignment on raw line bytes (one chunk)
 
+DOC_LINE_SQL = ("strlen(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, "
+                "'source': source, 'n_chars': n_chars})::VARCHAR) + 1")
 CONV_LINE_SQL = "strlen(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text})::VARCHAR) + 1"
 
 
@@ -158,12 +171,46 @@ def q_part_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.part_report(parted, "key")
 
 
-# --------------------------------------------------------------------------
-# W1/W3/A5 — chunked, size-bounded gzip parts written and read back
+@register("part_assign_dups", f"""
+WITH l AS (SELECT conv_id * 1000 + turn AS key, {CONV_LINE_SQL} AS b FROM conversations, range(50)),
+w AS (SELECT *, coalesce(sum(b) OVER (ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre FROM l)
+SELECT CAST(0 AS INTEGER) AS chunk, CAST(pre // 200000 AS INTEGER) AS part, CAST(count(*) AS BIGINT) AS rows,
+       CAST(sum(b) AS BIGINT) AS bytes, min(key) AS min_key, max(key) AS max_key
+FROM w GROUP BY 1, 2""")
+def q_part_assign_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 — equal lines, 50 of each: cut into parts like others, over many buckets."""
+    cv = read_table(spark, sf_dir, "conversations")
+    rows = cv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("key"),
+                     F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("line"),
+                     F.lit(0).alias("chunk"), F.explode(F.sequence(F.lit(1), F.lit(50))).alias("_n")).drop("_n")
+    return export.part_report(export.assign_parts(rows, "key", "line", 200_000, bucket_bytes=1 << 20), "key")
 
-DOC_LINE_SQL = ("strlen(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, "
-                "'source': source, 'n_chars': n_chars})::VARCHAR) + 1")
 
+HOT_LIMIT = 300_000
+
+
+@register("part_assign_buckets", f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum({DOC_LINE_SQL}) AS BIGINT) AS bytes,
+       true AS within_limit, true AS in_key_order FROM documents""")
+def q_part_assign_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 — small buckets and a key that a third of the rows have (ordered by a hash that SQL lacks,
+    so what is compared are the totals, the limit and the order of the parts)."""
+    docs = read_table(spark, sf_dir, "documents")
+    rows = docs.select(F.when(F.col("doc_id") % 3 == 0, F.lit(7)).otherwise(F.col("doc_id")).alias("key"),
+                       F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("line"),
+                       F.lit(0).alias("chunk"))
+    parted = materialize(export.assign_parts(rows, "key", "line", HOT_LIMIT, bucket_bytes=64 << 10)
+                         .select("chunk", "part", "key", "bytes"))
+    longest = parted.agg(F.max("bytes")).first()[0] or 0
+    after = F.lead("min_key").over(Window.partitionBy("chunk").orderBy("part"))  # over the parts alone
+    return (export.part_report(parted, "key").withColumn("after", after)
+            .agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"),
+                 F.every(F.col("bytes") < HOT_LIMIT + longest).alias("within_limit"),
+                 F.every(F.coalesce(F.col("max_key") <= F.col("after"), F.lit(True))).alias("in_key_order")))
+
+
+# --------------------------------------------------------------------------
+# W1/W3/A5 — chunked, size-bounded gzip parts written and read back
 
 @register("part_report", with_src(
     f"SELECT doc_id AS key, {DOC_LINE_SQL} AS b FROM documents", sp_count(4), assigned(), """,
@@ -333,6 +380,37 @@ def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "rejects bigint, chunks bigint")
 
 
+@register("load_rejects", f"""
+SELECT {HEX} AS key, CASE WHEN outcome = 'ok' THEN 'bad value' ELSE outcome END AS reject_reason, true AS whole
+FROM ({EVENTS_OK}) WHERE outcome <> 'ok' OR event_id % 3 <> 0""")
+def q_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8 — what a load without export rejects is kept: key, reason and content."""
+    spec = events_spec([{"name": "id", "type": "STRING"}, {"name": "note", "type": "INTEGER"}])
+    r = load.load_table(spark, event_docs(spark, sf_dir), spec, fresh_warehouse(spark, "rejects"),
+                        load.LoadOptions(on_bad="reject", reject_root=scratch_path(spark, "rejects"),
+                                         key="_id", chunks=4, method="count"))
+    kept = spark.read.schema("key string, chunk int, doc string, reject_reason string").json(r.reject_path)
+    whole = F.col("doc").contains(F.concat(F.lit('id":"'), F.col("key"))) & F.col("doc").contains('"items":[')
+    return kept.select("key", "reject_reason", whole.alias("whole"))
+
+
+@register("load_from_ranges", with_src(
+    f"SELECT {HEX} AS key, * FROM ({EVENTS_OK})", sp_count(7, 0), assigned(), """
+SELECT chunk, CAST(count(*) AS BIGINT) AS rows, min(key) AS min_key, max(key) AS max_key
+FROM asg WHERE outcome = 'ok' GROUP BY chunk"""))
+def q_load_from_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 — a load takes the table's file from its range folder: 7 chunks, though 3 are asked for."""
+    docs = event_docs(spark, sf_dir)
+    spec = events_spec([{"name": "id", "type": "STRING"}, {"name": "user_id", "type": "INTEGER"}])
+    folder = scratch_path(spark, "range-folder")
+    range_files.make_range_file(spark, docs, "_id", f"{folder}/{spec.source}.json", chunks=7, method=3)
+    r = load.load_table(spark, docs, spec, fresh_warehouse(spark, "ranges"), load.LoadOptions(
+        on_bad="reject", key="_id", chunks=3, range_folder=folder, export_root=scratch_path(spark, "range-files")))
+    key = F.get_json_object("value", "$.id")
+    return (spark.read.text(r.export_path + "/parts").groupBy("chunk")
+            .agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key")))
+
+
 # --------------------------------------------------------------------------
 # B1/B2/A7 — every test table in one batch; one fails, one is skipped
 
@@ -389,12 +467,23 @@ def batch_jobs(spark: SparkSession, sf_dir: str) -> list[batch.TableJob]:
        "'ok' AS status, CAST(max(n) AS BIGINT) AS rows")
     + f" FROM (SELECT count(*) AS n FROM {t})" for t in TABLES))
 def q_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_all(spark, sf_dir).report(spark).select("table_name", "status", "rows")
+
+
+@register("batch_totals", f"""
+SELECT CAST({len(TABLES)} AS BIGINT) AS total, CAST({len(TABLES) - 2} AS BIGINT) AS ok,
+       CAST(1 AS BIGINT) AS skipped, CAST(1 AS BIGINT) AS failed""")
+def q_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 — tables of a batch by how they ended."""
+    return _run_all(spark, sf_dir).summary(spark)
+
+
+def _run_all(spark: SparkSession, sf_dir: str) -> batch.BatchResult:
     wh = fresh_warehouse(spark, "batch")
     jobs = batch_jobs(spark, sf_dir)
     skip = next(j for j in jobs if j.spec.table == BATCH_SKIP)
     publish.create_table(spark, wh.name(skip.spec.table), skip.spec.schema)
-    result = batch.run_batch(spark, jobs, wh, workers=3)
-    return result.report(spark).select("table_name", "status", "rows")
+    return batch.run_batch(spark, jobs, wh, workers=3)
 
 
 # --------------------------------------------------------------------------

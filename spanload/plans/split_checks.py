@@ -377,3 +377,12 @@ def q_ranges_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = range_files.read_ranges(spark, path, key="key")
     used = splits.split(df, "key", 3, method="time", ranges=loaded)
     return chunks.chunk_report(df, used)
+
+
+@register("ranges_numeric", with_src(EVENTS_ID, sp_count(8, 0), assigned(), chunk_report_select()))
+def q_ranges_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7/R6 — ranges of numeric keys keep their type in the file."""
+    df = _events_id(spark, sf_dir)
+    path = scratch_path(spark, "ranges") + "/events.json"
+    range_files.write_ranges(spark, splits.split_count(df, "key", 8), path)
+    return chunks.chunk_report(df, range_files.read_ranges(spark, path, key="key"))

@@ -65,9 +65,9 @@ def discover_specs(spark: SparkSession, folder: str,
     except SchemaError:
         raise
     except Exception as e:  # noqa: BLE001
-        raise SchemaError(f"target folder does not exist: {folder}: {e}") from e
+        raise SchemaError(f"cannot list schema files under {folder}: {e}") from e
     if not files:
-        raise SchemaError(f"no table schema files in {folder}")
+        raise SchemaError(f"{folder} holds no schema files")
     specs = []
     for r in files:
         try:

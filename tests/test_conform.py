@@ -12,7 +12,7 @@ def test_users_schema():
     ad = s["account_details"].dataType
     assert isinstance(ad, ArrayType) and isinstance(ad.elementType, StructType)
     assert ad.elementType["age"].dataType == LongType()
-    assert s["id"].metadata["description"] == "User ID"
+    assert s["id"].metadata["description"] == "key of the user"
     assert conform.string_fields(s) == ["id", "username"]
 
 

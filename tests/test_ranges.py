@@ -1,8 +1,10 @@
 import pytest
 
 from spanload.operators import splits
+from spanload.plans import load
 from spanload.session import scratch_path
 from spanload.sources import ranges
+from spanload.sources.specs import spec_from_text
 from spanload.sources.tables import events_with_key, read_table
 from tests.conftest import SF01
 
@@ -77,3 +79,14 @@ def test_many_points_use_the_array_search(spark):
 
 def made_type(spark):
     return spark.range(1).schema["id"].dataType
+
+
+def test_range_folder(spark, tmp_path):
+    spec = spec_from_text("t.json", '[{"name": "n", "type": "INTEGER"}]')
+    df = spark.range(2000).withColumnRenamed("id", "n")
+    opts = load.LoadOptions(key="n", method="count", range_folder=str(tmp_path))
+    assert load.saved_ranges(spark, df, spec, opts) is None  # no file: the load splits
+    made = ranges.make_range_file(spark, df, "n", f"{tmp_path}/t.json", chunks=5, method=3)
+    assert load.saved_ranges(spark, df, spec, opts).points == made.points
+    with pytest.raises(ValueError, match="holds bigint keys"):
+        load.saved_ranges(spark, df.select(df.n.cast("string").alias("n")), spec, opts)

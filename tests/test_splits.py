@@ -122,7 +122,7 @@ def test_empty_chunk_guard(spark):
     r = splits.KeyRanges("event_id", ev.schema["event_id"].dataType, [100, 100_000, 200_000])
     report = chunks.chunk_report(ev, r)
     assert [x["rows"] for x in report.orderBy("chunk").collect()] == [100, 9900, 0, 0]
-    with pytest.raises(Exception, match="no documents found in chunk"):
+    with pytest.raises(Exception, match="empty range"):
         chunks.guard_empty_chunks(report, "error").collect()
 
 
@@ -130,7 +130,7 @@ def test_empty_input_by_sampling_is_one_open_range(spark):
     ev = read_table(spark, SF01, "events").where("event_id < 0")
     r = splits.split_sample(ev, "event_id", 4)
     assert r.points == [] and r.n_chunks == 1
-    with pytest.raises(ValueError, match="oldest"):
+    with pytest.raises(ValueError, match="creation times"):
         splits.split_time(events_with_key(spark, SF01, "_id").where("event_id < 0"), "_id", 4)
 
 
