@@ -333,6 +333,22 @@ def test_gradients_against_differences():
         assert abs((up - down) / 2e-5 - g[i]) < 1e-4, name
 
 
+def test_training_takes_every_place_as_a_target_once(monkeypatch):
+    """Inputs stand right before their targets, for texts of any length."""
+    monkeypatch.setattr(lm, "BLOCK", 2)
+    kind = np.random.default_rng(4).integers(0, lm.CLASSES, 5000)
+    for n in (1, 15, 16, 17, 32, 33, 1000):
+        ids = list(range(n))
+        blocks = list(lm.train_windows(ids, kind))
+        seen, goal = (np.concatenate(x) for x in zip(*blocks, strict=True))
+        assert max(len(x) for x, _ in blocks) <= 2 and seen.shape == (len(goal), lm.WINDOW)
+        assert list(goal[goal >= 0]) == list(kind[ids]) and (goal.reshape(-1)[n:] == -1).all()
+        inputs = seen[:, lm.WINDOW - lm.STRIDE:].reshape(-1)[:n]
+        assert list(inputs) == [lm.BEGIN, *kind[ids][:-1]]
+        for before, window in zip(seen, seen[1:], strict=False):  # context: the inputs of the window before
+            assert list(window[: lm.WINDOW - lm.STRIDE]) == list(before[lm.WINDOW - lm.STRIDE:])
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = read_table(spark, SF001, "documents")
     kept = docs
