@@ -349,6 +349,31 @@ def test_training_takes_every_place_as_a_target_once(monkeypatch):
             assert list(window[: lm.WINDOW - lm.STRIDE]) == list(before[lm.WINDOW - lm.STRIDE:])
 
 
+def test_the_end_of_a_long_text_is_a_target():
+    """Of the last window, which holds nothing after it."""
+    encoding, end = lm.tokenizer(VOCABULARY, public_tokenizers.PATTERN)
+    kind = np.zeros(end + 1, np.int64)
+    kind[end] = 7
+    for n in (1, 30, 500):
+        ids = [i for word in [b"word"] * n + [lm.END] for i in lm.subwords(word, encoding, end)]
+        goal = np.concatenate([y for _, y in lm.train_windows(ids, kind)]).reshape(-1)
+        assert list(np.flatnonzero(goal == 7)) == [len(ids) - 1]
+
+
+def test_training_teaches_the_end_of_long_texts(spark):
+    """Steps over long texts raise the end's probability where it stands, from weights that don't know it."""
+    encoding, end = lm.tokenizer(VOCABULARY, public_tokenizers.PATTERN)
+    kind = np.zeros(end + 1, np.int64)
+    kind[end], kind[lm.subwords(b"stop", encoding, end)] = 7, 5
+    text = " ".join(["word"] * 60 + ["stop"])
+    docs = spark.createDataFrame([(i, text) for i in range(64)], "doc long, text string")
+    start = lm.start_weights(np.ones((lm.CLASSES + 1, lm.CLASSES + 1)))
+    after = lm.train_round(docs, start, kind, VOCABULARY, public_tokenizers.PATTERN, 0.02)
+    seen = np.concatenate([np.zeros(lm.WINDOW - 1, np.int64), [5]])[None]
+    last = [lm.log_softmax_at(lm.attend(w, seen)[0][-1:], np.array([7]))[0] for w in (start, after)]
+    assert last[1] > last[0]
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = read_table(spark, SF001, "documents")
     kept = docs
