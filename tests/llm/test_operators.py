@@ -374,6 +374,37 @@ def test_training_teaches_the_end_of_long_texts(spark):
     assert last[1] > last[0]
 
 
+def test_shares_of_all_words_are_joined(spark, monkeypatch):
+    """Those of a tree of all training words; words that weren't trained on meet it as far as it goes."""
+    seen = ["the", "then", "thenceforth", "internationalization", "internationalized", "a", "zzzqxv", "zzzq", "é" * 30]
+    counted = [(w.encode(), 3 * i + 1) for i, w in enumerate(seen)]
+    other = [w.encode() for w in ("internationalism", "zzzqxvv", "qqqqjjj", "thence")]
+    words = spark.createDataFrame([*counted, *((w, 0) for w in other), (lm.END, 5)], "word binary, n long")
+    encoding, end = lm.tokenizer(VOCABULARY, public_tokenizers.PATTERN)
+    ids = {w: lm.subwords(w, encoding, end) for w in [lm.END, *(w for w, _ in counted), *other]}
+    tree = lm.Beginnings(end + 1, [*(ids[w] for w, _ in counted), [end]], [*(n for _, n in counted), 5])
+    counted = lm.stage(lm.with_ids(words, VOCABULARY, public_tokenizers.PATTERN), "ids")
+    for most in (1, 4, 1 << 17):  # subwords a range: many beginnings lie in several
+        monkeypatch.setattr(lm, "RANGE", most)
+        got = lm.with_shares(counted, end + 1).collect()
+        assert len(got) == len(ids)
+        for r in got:
+            assert (list(r.own), list(r.model)) == tree.shares(ids[bytes(r.word)]), r
+
+
+def test_scores_do_not_depend_on_the_head(spark, monkeypatch):
+    """The commonest words are only held for speed: with none of them, all is joined."""
+    texts = [*odd_texts(), (300, " ".join("the of and to in internationalization".split() * 40)), (301, "x" * 70 + " ab")]
+    df = docs_of(spark, texts)
+    run = lambda: sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score)
+                         for r in lm.score_documents(df, VOCABULARY, public_tokenizers.PATTERN).collect())
+    monkeypatch.setattr(lm, "train_round", lambda docs, weights, *rest: weights)
+    whole = run()
+    monkeypatch.setattr(lm, "HEAD_WORDS", 0)
+    for a, b in zip(whole, run(), strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-5, abs=1e-5)
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = read_table(spark, SF001, "documents")
     kept = docs
