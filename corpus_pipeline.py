@@ -30,10 +30,18 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    groups = minhash.near_duplicates(docs, words=5, percent=80)
-    gone = groups.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One row of each group of near copies: five-word shingles, similarity 0.8.
+
+    Rows are compared by their own text, whatever their ids, null ones too; of a group the
+    least id stays (null last).  Rows of one id and one text are one row, null and empty
+    texts of an id alike; texts without words are no near copies of others.
+    """
+    rows = stage(docs.withColumn("row_key", row_key(F.col("doc_id"), F.col("text"))).dropDuplicates(["row_key"]),
+                 "distinct-rows")
+    groups = minhash.near_duplicates(rows.select("row_key", "text"), words=5, percent=80, doc="row_key")
+    first = (groups.select(F.col("doc_id").alias("row_key"), "component_id").join(rows.select("row_key", "doc_id"), "row_key")
+             .groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("least")))
+    return rows.join(first.select("least.row_key"), "row_key", "left_semi").drop("row_key")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

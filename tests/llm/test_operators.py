@@ -405,6 +405,16 @@ def test_scores_do_not_depend_on_the_head(spark, monkeypatch):
         assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-5, abs=1e-5)
 
 
+def test_pipeline_compares_rows_not_ids(spark):
+    """An id with two texts, wholly repeated rows, rows without an id."""
+    text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcd"}
+    rows = [(1, text["a"]), (2, text["a"]), (2, text["b"]), (3, text["c"]), (3, text["c"]),
+            (None, text["c"]), (None, text["d"]), (None, text["d"]), (4, None), (4, None), (5, "")]
+    got = corpus_pipeline.unique(spark, docs_of(spark, rows), SF001)
+    assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted(
+        (str(i), t) for i, t in [(1, text["a"]), (2, text["b"]), (3, text["c"]), (None, text["d"]), (4, None), (5, "")])
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = read_table(spark, SF001, "documents")
     kept = docs
