@@ -126,12 +126,30 @@ def compare_tiles(home: pd.DataFrame, probe: pd.DataFrame | None, block: int, ro
             counts += np.bincount(j, weights[i], len(rows)).astype(np.int64)
             order = np.argsort(ids[i] > ids[j], kind="stable")
             links.append((i[order], j[order]))
+    return _forest(ids, counts, links)
+
+
+def compare_all(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """Links of all pairs of so few vectors of one length."""
+    ids, weights = rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64)
+    units = unit(np.stack(rows["vector"].to_numpy()))
+    counts, links = np.zeros(len(rows), np.int64), []
+    for i, j in _pairs(units, units, 2 * (1 - cosine) + 1e-5, True):
+        near = (units[i] * units[j]).sum(axis=1) >= cosine
+        i, j = i[near], j[near]
+        counts += np.bincount(i, weights[j], len(rows)).astype(np.int64)
+        counts += np.bincount(j, weights[i], len(rows)).astype(np.int64)
+        links.append((i, j))
+    return _forest(ids, counts, links)
+
+
+def _forest(ids: np.ndarray, counts: np.ndarray, links: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
     found = np.flatnonzero(counts)
     if not len(found):
         return pd.DataFrame({f.name: pd.Series(dtype="int64") for f in FOUND})
     rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")  # roots by id, not by place
     by_rank = np.sort(ids, kind="stable")
-    root = _roots(len(rows), [(rank[i], rank[j]) for i, j in links])
+    root = _roots(len(ids), [(rank[i], rank[j]) for i, j in links])
     return pd.DataFrame({"id": ids[found], "links": counts[found], "root": by_rank[root[rank[found]]]})
 
 
@@ -150,16 +168,17 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, vec: str = "vec_id", embedd
     good = usable(F.col("vector")) & F.col("id").isNotNull()
     classes = stage(rows.where(good).groupBy("vector").agg(
         F.min("id").alias("id"), F.count("*").alias("copies")), "vector-classes")
-    sizes = classes.groupBy(F.size("vector").alias("dims")).agg(F.count("*").alias("n")).orderBy(
-        F.desc("n")).limit(1000).collect()
-    parts = []
-    for dims in sorted(r["dims"] for r in sizes):
-        parts.append(_links_of(classes.where(F.size("vector") == dims), dims, cosine, block_dims, tile))
-    found = None
-    for p in parts:
-        found = p if found is None else found.unionAll(p)
-    if found is None:
-        found = df.sparkSession.createDataFrame([], FOUND)
+    dims = F.size("vector")
+    sizes = classes.groupBy(dims.alias("dims")).agg(F.count("*").alias("n"))
+    # lengths that few vectors have are compared together, a task's group each; of the others
+    # there are at most the number of vectors / tile
+    few = classes.join(sizes.where(F.col("n").between(2, tile)), dims == F.col("dims"))
+    parts = [few.groupBy("dims").applyInPandas(lambda pdf: compare_all(pdf, cosine), FOUND)]
+    for r in sizes.where(F.col("n") > tile).orderBy("dims").collect():
+        parts.append(_links_of(classes.where(dims == r["dims"]), r["dims"], cosine, block_dims, tile))
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionAll(p)
     found = stage(found, "vector-links")
     totals = found.groupBy("id").agg(F.sum("links").alias("links"))
     labels = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))

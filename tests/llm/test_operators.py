@@ -164,6 +164,14 @@ def test_vector_links_against_all_pairs(spark):
             assert (r.n_links, r.component_id) == (links.get(r.vec_id, 0), want.get(r.vec_id)), r
 
 
+def test_vectors_of_very_many_lengths(spark):
+    """Two near vectors of each of 1,200 lengths link, and no others."""
+    rows = [(2 * d + k, [1.0] * d + [0.01 * k]) for d in range(2, 1202) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vector_dedup.near_vectors(df, 0.9).collect()
+    assert len(got) == len(rows) and all((r.n_links, r.component_id) == (1, r.vec_id // 2 * 2) for r in got)
+
+
 def test_nearest_against_all_pairs(spark):
     v, df = vectors(spark)
     ok = {i: np.array(x) for i, x in v if i is not None and i not in (202, 203, 204, 205, 206, 207)}
