@@ -45,8 +45,8 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its fitted rate says."""
-    rates = mixing.mix(docs, domains(spark, sf_dir), TARGETS)
+    """Each document as often as its fitted rate says; good ones are never thinned out."""
+    rates = mixing.mix(docs, domains(spark, sf_dir), TARGETS, whole="good")
     copies = rates.select("row_key", "copies").distinct()
     taken = _matching(docs, copies, "inner").where("copies > 0")
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies", "_copy")

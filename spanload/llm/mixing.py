@@ -14,6 +14,7 @@ so far (written after every few steps), and only K numbers a step reach the driv
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -43,7 +44,9 @@ def fit_rates(table: DataFrame, targets: list[float | None], stay: float = 1e-3,
               close: float = 5e-4) -> tuple[DataFrame, list[float]]:
     """``table`` (posteriors ``p``, ``tokens``) with ``rate``, and the shares that gives.
 
-    A target of None leaves the domain free.
+    A target of None leaves the domain free.  The fit is to shares of the tokens before
+    mixing; the shares returned are of the mixed tokens.  Warns if the steps end before the
+    targets are met.
     """
     k = len(targets)
 
@@ -58,20 +61,39 @@ def fit_rates(table: DataFrame, targets: list[float | None], stay: float = 1e-3,
     base = [max(s, 1e-9) for s in shares]
     steps: list[list[float]] = []
     size = 1 / (1 + stay)
-    for _ in range(most_steps if total else 0):
+    for step in range(most_steps + 1 if total else 0):
         residual = [0.0 if t is None or b <= 1e-9 else s - t for s, t, b in zip(shares, targets, base, strict=True)]
         if max(map(abs, residual)) < close:
             break
+        if step == most_steps:
+            warnings.warn(f"targets {targets} not met in {most_steps} steps: shares {shares}", stacklevel=2)
+            break
         if len(steps) == TOGETHER:
             table = stage(table.withColumn("rate0", _rate(steps, stay, size)), "rates")
             steps = []
         steps.append([r / b for r, b in zip(residual, base, strict=True)])
         shares = [s / total for s in sums(_rate(steps, stay, size))[1:]]
-    return table.withColumn("rate", _rate(steps, stay, size)), shares
+    mixed = sum(shares) or 1.0
+    return table.withColumn("rate", _rate(steps, stay, size)), [s / mixed for s in shares]
+
+
+def keep_whole(table: DataFrame, k: int) -> DataFrame:
+    """``table`` (``p``, ``tokens``, ``rate``) with all rates scaled up, if domain ``k`` (from 0) is
+    thinned out, so that each of its documents (posterior above 0.5) has a rate of at least 1.
+
+    One factor for all leaves the shares of the mixed tokens as they are.
+    """
+    own = F.element_at("p", k + 1)
+    row = table.where("tokens > 0").agg(
+        (F.sum(F.col("rate") * F.col("tokens") * own) / F.sum(F.col("tokens") * own)).alias("mean"),
+        F.min(F.when(own > 0.5, F.col("rate"))).alias("least")).first()
+    if row["mean"] is None or row["mean"] >= 1 or not row["least"] or row["least"] >= 1:
+        return table
+    return table.withColumn("rate", F.col("rate") / F.lit(float(row["least"])))
 
 
 def mix(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], doc: str = "doc_id", text: str = "text",
-        label_doc: str = "doc_id", label: str = "domain", stay: float = 1e-3) -> DataFrame:
+        label_doc: str = "doc_id", label: str = "domain", stay: float = 1e-3, whole: str | None = None) -> DataFrame:
     """Rows ``doc_id, row_key, n_tokens, posteriors, rate, copies``, one for each row.
 
     ``labels``: documents and their domain; ``targets``: the share of tokens each domain is
@@ -80,7 +102,8 @@ def mix(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], doc: str
     rounded up or down by chance with that expectation, the same chance for the same row.
     Tokens are words; null and empty texts have none, their rate has no bearing on the
     shares.  Repeated rows all come back, with one rate.  Without labels or tokens all
-    rates are 1.  A domain that no document belongs to cannot reach its target.
+    rates are 1.  A domain that no document belongs to cannot reach its target.  ``whole``: a
+    domain of which no document is to be thinned out; where it would be, all rates are scaled up.
     """
     docs = df.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("text"))
     known = labels.select(F.col(f"`{label_doc}`").alias("doc"), F.col(f"`{label}`").cast("string").alias("label"))
@@ -92,6 +115,8 @@ def mix(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], doc: str
     goals = [max(0.0, float(targets[c])) / total if c in targets and total else None for c in model.classes]
     if len(goals) > 1 and total:
         table, _ = fit_rates(table, goals, stay)
+        if whole in model.classes:
+            table = keep_whole(table, model.classes.index(whole))
     else:
         table = table.withColumn("rate", F.lit(1.0))
     chance = F.pmod(F.xxhash64(F.col("row_key"), F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))

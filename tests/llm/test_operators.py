@@ -251,6 +251,22 @@ def test_rates_meet_the_targets(spark):
     assert (r >= 0).all() and np.abs((r * t) @ p / t.sum() - [0.6, 0.3, 0.1]).max() < 2e-3
 
 
+def test_a_domain_is_kept_whole(spark):
+    """With 2 % toxic tokens for a target of 5 %, no good document has a rate below 1."""
+    rows = [([0.999, 0.001] if i % 50 else [0.001, 0.999], 100) for i in range(500)]
+    fitted, _ = mixing.fit_rates(spark.createDataFrame(rows, "p array<double>, tokens long"), [0.95, 0.05])
+    assert fitted.where("p[0] > 0.5").agg({"rate": "min"}).first()[0] < 1
+    p, r = (np.array(x) for x in zip(*[(x.p, x.rate) for x in mixing.keep_whole(fitted, 0).collect()], strict=True))
+    assert r[p[:, 0] > 0.5].min() >= 1
+    assert np.abs(r @ p / r.sum() - [0.95, 0.05]).max() < 2e-3
+
+
+def test_unmet_targets_are_reported(spark):
+    table = spark.createDataFrame([([0.5, 0.5], 10), ([0.6, 0.4], 10)], "p array<double>, tokens long")
+    with pytest.warns(UserWarning, match="not met in 3 steps"):
+        mixing.fit_rates(table, [0.05, 0.95], most_steps=3)
+
+
 def test_scores_add_up_and_the_base_is_exact(spark):
     texts = [*odd_texts(), (300, " ".join("the of and to in".split() * 40))]
     df = docs_of(spark, texts)
