@@ -1,11 +1,11 @@
-"""Queries on ``documents`` and ``labels``: op5, op7 and op9."""
+"""Queries on ``documents`` and ``labels``: op5, op7, op9 and op13."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from spanload.llm import lm, mixing, quality
+from spanload.llm import lm, mixing, quality, toxicity
 from spanload.llm.common import read_table
 from spanload.llm.q_text import VOCABULARY
 from spanload.llm.queries import register
@@ -39,3 +39,10 @@ def op7(spark, sf_dir):
 def op9(spark, sf_dir):
     """Every document's log10 probability, by the attention model and by the unigram base."""
     return lm.score_documents(read_table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
+
+
+@register("op13_toxicity")
+def op13(spark, sf_dir):
+    """Every document's toxicity; labels are learned from four of five documents."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), held)
