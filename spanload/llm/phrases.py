@@ -28,7 +28,7 @@ from spanload.llm.common import small_batches, stage
 DEPTH = 4
 BITS = 1 << 24
 BUCKETS = 4096
-BUDGET = 1 << 20
+BUDGET, LEAST_ROWS, MOST_SPLIT = 1 << 20, 1 << 14, 1 << 10
 DELIMITERS = b",;:!?\n\x0b\x0c\r"  # and the full stop, which stands for all of them
 _PIECES = bytes.maketrans(DELIMITERS, b"." * len(DELIMITERS))
 LOCAL = (1 << 16) - 1  # distinct common words that a buffer of suffixes may hold: four fit in 64 bits
@@ -192,8 +192,8 @@ def _grouped(suffixes: DataFrame, budget: int) -> tuple[DataFrame, list[DataFram
     """``suffixes`` with ``group`` and ``depth`` (words of the prefix that it is grouped by), and the
     counts of the prefixes that were split."""
     total = suffixes.count()
-    budget = min(budget, max(1 << 14, total // 64))  # few rows: as many groups as tasks can use
-    budget = max(budget, total // 1024)  # at most 1024 prefixes of a depth are split, so lists stay small
+    budget = min(budget, max(LEAST_ROWS, total // 64))  # few rows: as many groups as tasks can use
+    budget = max(budget, total // MOST_SPLIT)  # so many prefixes of a depth are split at most: lists stay small
     rows, split = suffixes.withColumn("depth", F.lit(1)), []
     for words in range(1, DEPTH):
         counts = (rows.where(F.col("depth") == words).groupBy("lang", _prefix(words).alias("prefix"))

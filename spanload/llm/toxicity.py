@@ -34,7 +34,7 @@ PLACES = [(w, j) for w in WIDTHS for j in range(w)]  # blocks of FILTERS columns
 
 
 def pieces(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of each word without outer punctuation and of its five-byte grams, the word's
+    """Buckets (at most 2^16) of each word without outer punctuation and of its five-byte grams, the word's
     ends marked; how many each word has (the word's own comes first)."""
     bare = [b"<" + (w.strip(STRIP) or w) + b">" for w in words]
     lengths = np.fromiter(map(len, bare), np.int64, len(bare))
@@ -51,7 +51,7 @@ def pieces(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     out[own] = np.fromiter(map(zlib.crc32, bare), np.int64, len(bare))
     at = np.repeat(starts - np.cumsum(grams) + grams, grams) + np.arange(grams.sum())
     out[rest] = hashed[at]
-    return out % BUCKETS, grams + 1
+    return (out % BUCKETS).astype(np.uint16), grams + 1
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -73,8 +73,9 @@ class Lexicon:
         return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
 
     def buckets_of_fresh(self) -> tuple[np.ndarray, np.ndarray]:
-        found, self.fresh = pieces(self.fresh), []
-        return found
+        found = [pieces(self.fresh[lo: lo + SPAN]) for lo in range(0, max(1, len(self.fresh)), SPAN)]
+        self.fresh = []
+        return np.concatenate([b for b, _ in found]), np.concatenate([n for _, n in found])
 
 
 class Network:
@@ -121,7 +122,7 @@ def _joined(texts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
         edges.append(at + np.column_stack([own, np.minimum(own + SEGMENT, n)]))
         counts.append(len(own))
         at += len(t) + len(gap)
-    return np.concatenate(parts), np.concatenate(edges), np.array(counts)
+    return np.concatenate([*parts, gap]), np.concatenate(edges), np.array(counts)
 
 
 def train(texts: Sequence[str | None], toxic: np.ndarray, seed: int = 11) -> Network:
@@ -129,6 +130,7 @@ def train(texts: Sequence[str | None], toxic: np.ndarray, seed: int = 11) -> Net
     net, lexicon, rng = Network(seed), Lexicon(), np.random.default_rng(seed)
     numbers = [lexicon.numbers(words_of(t)).astype(np.int32) for t in texts]
     buckets, sizes = lexicon.buckets_of_fresh()
+    del lexicon
     first = np.concatenate([[0], np.cumsum(sizes)])
     net.base = float(np.log((toxic.sum() + 1) / (len(toxic) - toxic.sum() + 1)))
     _log_odds(net, numbers, toxic, buckets, sizes)
