@@ -26,8 +26,8 @@ from pyspark.sql.types import (DataType, IntegerType, StringType, StructField,
                                StructType)
 
 from spanload.functions.keys import boundary_key, is_hex_key
-from spanload.operators.order_stats import (bucket_search, first_edges_agg, order_statistics, rank_tree,
-                                           sketchable, typed_lit)
+from spanload.operators.order_stats import (bucket_search, count_and_sketch, order_statistics, rank_tree,
+                                           typed_lit)
 
 log = logging.getLogger(__name__)
 
@@ -109,7 +109,10 @@ def _dedupe(points: list[Any]) -> list[Any]:
 
 def _count_and_nulls(df: DataFrame, key: str, extra: list[Column] | None = None):
     aggs = [F.count(F.lit(1)).alias("rows"), F.count(F.col(key)).alias("nonnull")]
-    row = df.select(key).agg(*(aggs + (extra or []))).first()
+    return _refuse_nulls(df.select(key).agg(*(aggs + (extra or []))).first(), key)
+
+
+def _refuse_nulls(row, key: str):
     if row["rows"] != row["nonnull"]:
         raise ValueError(f"{row['rows'] - row['nonnull']} rows have a null key {key!r}")
     return row
@@ -123,23 +126,19 @@ def split_count(df: DataFrame, key: str, n: int | None = None, *,
     n = chunk_policy(n, cap)
     if n == 1:
         return _single(key, dtype)
-    # The counting pass also sketches quantiles of sketchable keys, which
-    # seed the first narrowing level (one scan fewer).
-    sketch = sketchable(dtype)
-    extra = [first_edges_agg(key).alias("q")] if sketch else []
-    row = _count_and_nulls(df, key, extra)
+    # The counting pass also sketches the keys around every split point.
+    row = _refuse_nulls(count_and_sketch(df, key, [i / n for i in range(1, n)]), key)
     total = row["rows"]
     if total < 1:
         raise ValueError(f"no rows to split by {key!r}")
     if total < small_rows:
         return _single(key, dtype)
-    if sketch and row["q"]:
-        stats_opts.setdefault("first_edges", list(row["q"]))
     per = max(1, total // n)
     # a split point exists only for ordinals the scan reaches
     ordinals = [i * per for i in range(1, n) if i * per <= total]
     if not ordinals:
         return _single(key, dtype)
+    stats_opts.setdefault("first", (row["below"][:len(ordinals)], row["above"][:len(ordinals)]))
     found = order_statistics(df.select(key), key, ordinals, total=total, **stats_opts)
     return KeyRanges(key, dtype, _dedupe([found[o] for o in ordinals]), "count")
 
