@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanload.session import scratch_path
 from spanload.sources.tables import read_table
 
-__all__ = ["read_table", "scratch_path", "stage", "small_batches", "ascii_lower", "words_of"]
+__all__ = ["read_table", "scratch_path", "stage", "small_batches", "batches_of", "ascii_lower", "words_of"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -32,6 +35,18 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """As :func:`small_batches`, for the jobs that run inside; the session's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, "10000")
+    small_batches(spark, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(col):
     """A-Z lower-cased, every other character left as it is."""
     return F.translate(col, UPPER, LOWER)

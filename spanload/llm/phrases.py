@@ -23,12 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanload.llm.common import small_batches, stage
+from spanload.llm.common import batches_of, stage
 
 DEPTH = 4
 BITS = 1 << 24
-BUCKETS = 4096
-BUDGET, LEAST_ROWS, MOST_SPLIT = 1 << 20, 1 << 14, 1 << 10
+BUDGET, LEAST_ROWS, SPLIT = 1 << 18, 1 << 14, 16
 DELIMITERS = b",;:!?\n\x0b\x0c\r"  # and the full stop, which stands for all of them
 _PIECES = bytes.maketrans(DELIMITERS, b"." * len(DELIMITERS))
 LOCAL = (1 << 16) - 1  # distinct common words that a buffer of suffixes may hold: four fit in 64 bits
@@ -172,45 +171,29 @@ def _prefix(words: int):
     return F.substring_index("suffix", " ", words)
 
 
-def _packed(sizes: dict[int, int], budget: int) -> list[int]:
-    """A group for each bucket, first fit in order of size; groups hold ``budget`` rows at most,
-    but for a bucket that is larger by itself."""
-    groups, room = [0] * BUCKETS, []
-    for bucket, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
-        for g, left in enumerate(room):
-            if size <= left:
-                break
-        else:
-            g = len(room)
-            room.append(budget)
-        room[g] -= size
-        groups[bucket] = g
-    return groups
-
-
 def _grouped(suffixes: DataFrame, budget: int) -> tuple[DataFrame, list[DataFrame]]:
     """``suffixes`` with ``group`` and ``depth`` (words of the prefix that it is grouped by), and the
-    counts of the prefixes that were split."""
+    counts of the prefixes that were split.
+
+    A prefix of more than a ``SPLIT``-th of the budget is split, so many small ones share a group,
+    and dealt by hash they fill half the budget on average, with little spread."""
     total = suffixes.count()
     budget = min(budget, max(LEAST_ROWS, total // 64))  # few rows: as many groups as tasks can use
-    budget = max(budget, total // MOST_SPLIT)  # so many prefixes of a depth are split at most: lists stay small
     rows, split = suffixes.withColumn("depth", F.lit(1)), []
     for words in range(1, DEPTH):
         counts = (rows.where(F.col("depth") == words).groupBy("lang", _prefix(words).alias("prefix"))
                   .agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
-                  .where((F.col("rows") > budget) & (F.size(F.split("prefix", " ")) == words)))
+                  .where((F.col("rows") > budget // SPLIT) & (F.size(F.split("prefix", " ")) == words)))
         large = stage(counts, "phrases-split")
         split.append(large.select("lang", F.col("prefix").alias("phrase"), F.lit(words).alias("words"), "n"))
         if not large.count():
             break
-        of = F.broadcast(large.select(F.col("lang").alias("l"), F.col("prefix").alias("p"), F.lit(True).alias("deeper")))
+        of = large.select(F.col("lang").alias("l"), F.col("prefix").alias("p"), F.lit(True).alias("deeper"))
         rows = (rows.join(of, (F.col("depth") == words) & (F.col("lang") == F.col("l")) & (_prefix(words) == F.col("p")), "left")
                 .withColumn("depth", F.when(F.col("deeper"), words + 1).otherwise(F.col("depth"))).drop("l", "p", "deeper"))
     prefix = F.expr("substring_index(suffix, ' ', depth)")
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("lang", prefix), F.lit(BUCKETS)).cast("int"))
-    sizes = {r["bucket"]: r["n"] for r in rows.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
-    groups = F.array(*map(F.lit, _packed(sizes, budget)))
-    return rows.withColumn("group", F.element_at(groups, F.col("bucket") + 1)).drop("bucket"), split
+    groups = 2 * total // budget + 1
+    return rows.withColumn("group", F.pmod(F.xxhash64("lang", prefix), F.lit(groups))), split
 
 
 def _subtree(least: int):
@@ -247,7 +230,17 @@ def _subtree(least: int):
 def phrase_counts(docs: DataFrame, least: int, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
     """``docs``: lang, text, not null.  Rows ``lang, phrase, words, n`` of all phrases of 1 to 4
     words that occur ``least`` times, and ``lang, n``: all words of each language."""
-    small_batches(docs.sparkSession, 512)
+    with batches_of(docs.sparkSession, 512):  # long texts
+        words, found = _suffix_table(docs, least)
+    rows, split = _grouped(found, budget)
+    nodes = rows.groupBy("group").applyInArrow(_subtree(least), "lang string, phrase string, words int, n long")
+    for large in split:
+        nodes = nodes.unionByName(large.where(F.col("n") >= least))
+    return stage(nodes, "phrases-nodes"), words.groupBy("lang").agg(F.sum("n").alias("n"))
+
+
+def _suffix_table(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """All words with their counts, and the suffixes of words that may be common, counted by task."""
     words = stage(docs.mapInArrow(_count_words, "lang string, phrase string, n long").groupBy("lang", "phrase")
                   .agg(F.sum("n").alias("n")), "phrases-words")
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(words.where(F.col("n") >= least)))  # BITS / 8 bytes
@@ -256,11 +249,7 @@ def phrase_counts(docs: DataFrame, least: int, budget: int = BUDGET) -> tuple[Da
         return _suffixes(bitmap.value)(batches)
 
     found = stage(docs.mapInArrow(suffixes, "lang string, suffix string, n long"), "phrases-suffixes")
-    rows, split = _grouped(found, budget)
-    nodes = rows.groupBy("group").applyInArrow(_subtree(least), "lang string, phrase string, words int, n long")
-    for large in split:
-        nodes = nodes.unionByName(large.where(F.col("n") >= least))
-    return stage(nodes, "phrases-nodes"), words.groupBy("lang").agg(F.sum("n").alias("n"))
+    return words, found
 
 
 # ---- collocations ----------------------------------------------------------------------------

@@ -177,23 +177,13 @@ def test_phrases_equal_brute_force(spark, budget, monkeypatch):
     monkeypatch.setattr(phrases, "_grouped", watched)
     if budget < 100:  # prefixes are split down to full depth
         monkeypatch.setattr(phrases, "LEAST_ROWS", 1)
-        monkeypatch.setattr(phrases, "MOST_SPLIT", 1 << 20)
+        monkeypatch.setattr(phrases, "SPLIT", 4)
     for top in (2000, 7):
         got = sorted(tuple(r) for r in phrases.collocations(df, least=12, top=top, budget=budget).collect())
         assert got == plain_phrases(docs, 12, top)
     assert depths == [4, 4] if budget < 100 else [1, 1]
 
 
-def test_groups_are_packed_within_the_budget():
-    rng = random.Random(1)
-    sizes = {b: rng.randrange(1, 50) for b in range(0, 4096, 3)} | {1: 500}
-    groups = phrases._packed(sizes, 100)
-    held = defaultdict(int)
-    for b, s in sizes.items():
-        held[groups[b]] += s
-    assert max(v for g, v in held.items() if g != groups[1]) <= 100 and held[groups[1]] == 500
-
-
 def toxic_docs(n=700):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abdegilmnorstu") for _ in range(rng.randint(2, 7)))
