@@ -9,19 +9,31 @@ warehouse root, so nothing lands in a machine-local default folder.
   and create again, so schema changes take effect,
 * W8 truncate-load with a column-set check first (``INSERT OVERWRITE``
   would silently fill a missing column with NULL),
-* W10 publish staging → final by truncate-copy, only after a complete load,
+* W10 publish staging → final after a complete load, by pointing the final
+  table at the files that the load wrote,
 * W11 cleanup of staged files whose failure is only logged,
 * W12 run-stamped staging folders.
 
-A plain file-based table overwrite is not atomic; staging keeps the window
-in which the final table is being rewritten as short as one copy.
+Rows are never written over.  Each load writes a *version*, a folder of its
+own under ``<database>/_versions/<table>/``, and only when it is complete the
+table is pointed at it: one ``ALTER TABLE … SET LOCATION``, so readers see the
+old rows or the new ones.  A run that ends before leaves the old table as it
+was.  The staging table is a second name for the same files, not a copy.  A
+changed schema needs two catalog calls (drop and create); what is to be
+created is written down first, so :func:`finish_pending` can make it good.
+The version before the current one is kept for readers that are still at it;
+older ones go, and so do those that no table was pointed at, once they are
+``ORPHAN_HOURS`` old.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import logging
 import re
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,6 +44,8 @@ from spanload.operators.conform import check_columns
 
 log = logging.getLogger(__name__)
 
+KEPT_VERSIONS = 1  # beside the current one
+ORPHAN_HOURS = 24.0
 _DB_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -60,33 +74,108 @@ def table_exists(spark: SparkSession, full_name: str) -> bool:
     return spark.catalog.tableExists(full_name)
 
 
-def create_table(spark: SparkSession, full_name: str, schema: StructType) -> None:
-    """W6 — create an empty parquet table; creating twice raises."""
-    spark.catalog.createTable(full_name, source="parquet", schema=schema)
+def _files(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path for it."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def drop_table(spark: SparkSession, full_name: str) -> None:
-    """W7 — drop; an absent table is fine."""
-    spark.sql(f"DROP TABLE IF EXISTS {full_name}")
+def versions_root(spark: SparkSession, full_name: str) -> str:
+    db, table = full_name.split(".")
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/_versions/{table}"
 
 
-def truncate_load(spark: SparkSession, df: DataFrame, full_name: str) -> int:
-    """W8/A6 — replace the table's rows; returns the rows written.
+def new_version(spark: SparkSession, full_name: str) -> str:
+    """A folder for the rows of one load; names sort by time."""
+    return f"{versions_root(spark, full_name)}/{run_stamp()}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}"
 
-    The count comes from an Observation on the write itself (no second
-    pass over the data).
-    """
-    target = spark.table(full_name).schema
-    check_columns(target, df.schema)
-    obs = Observation(f"load_{full_name.replace('.', '_')}")
-    ordered = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
-    ordered.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(full_name, overwrite=True)
+
+def location(spark: SparkSession, full_name: str) -> str:
+    """The folder that a table is pointed at."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def create_table(spark: SparkSession, full_name: str, schema: StructType, path: str | None = None) -> None:
+    """W6 — create a parquet table, empty or over the files at ``path``; creating twice raises."""
+    if path is None:
+        path = new_version(spark, full_name)
+        fs, folder = _files(spark, path)
+        fs.mkdirs(folder)
+    spark.catalog.createTable(full_name, path=path, source="parquet", schema=schema)
+
+
+def drop_table(spark: SparkSession, full_name: str, files: bool = True) -> None:
+    """W7 — drop, with all versions of its rows unless ``files`` is off; an absent table is fine."""
+    spark.sql(f"DROP TABLE IF EXISTS {full_name}")
+    if files:
+        delete_path(spark, versions_root(spark, full_name))
+
+
+def write_version(spark: SparkSession, df: DataFrame, schema: StructType, path: str) -> int:
+    """Write rows of the schema's columns; returns how many (observed on the write itself)."""
+    check_columns(schema, df.schema)
+    obs = Observation(f"load_{uuid.uuid4().hex}")
+    ordered = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    ordered.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return int(obs.get["rows"])
 
 
-def copy_table(spark: SparkSession, src: str, dst: str) -> int:
-    """W10 — truncate-copy a complete staging table into the final table."""
-    return truncate_load(spark, spark.table(src), dst)
+def point(spark: SparkSession, full_name: str, schema: StructType, path: str) -> None:
+    """W10 — make a table read the files at ``path``: created, moved, or made anew with another schema."""
+    if not table_exists(spark, full_name):
+        create_table(spark, full_name, schema, path)
+        return
+    current = [(f.name, f.dataType) for f in spark.table(full_name).schema.fields]
+    if current == [(f.name, f.dataType) for f in schema.fields]:
+        quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{quoted}'")
+        return
+    pending = f"{versions_root(spark, full_name)}/_pending"
+    spark.createDataFrame([(path, json.dumps(schema.jsonValue()))], "path string, schema string").coalesce(1).write.mode(
+        "overwrite").json(pending)
+    drop_table(spark, full_name, files=False)
+    create_table(spark, full_name, schema, path)
+    delete_path(spark, pending)
+
+
+def finish_pending(spark: SparkSession, full_name: str) -> bool:
+    """Create the table that a run wrote down and dropped but, being ended, didn't create."""
+    pending = f"{versions_root(spark, full_name)}/_pending"
+    if not path_exists(spark, f"{pending}/_SUCCESS"):
+        return False
+    made = False
+    if not table_exists(spark, full_name):
+        row = spark.read.schema("path string, schema string").json(pending).first()
+        create_table(spark, full_name, StructType.fromJson(json.loads(row["schema"])), row["path"])
+        made = True
+    delete_path(spark, pending)
+    return made
+
+
+def remove_old_versions(spark: SparkSession, full_name: str, keep: int = KEPT_VERSIONS,
+                        orphan_hours: float = ORPHAN_HOURS) -> list[str]:
+    """W11 — versions older than the ``keep`` ones before the current one, and those after it that
+    no table was pointed at for ``orphan_hours``; returns what was removed."""
+    fs, root = _files(spark, versions_root(spark, full_name))
+    if not fs.exists(root):
+        return []
+    current = location(spark, full_name).rstrip("/").rpartition("/")[2]
+    found = {s.getPath().getName(): s for s in fs.listStatus(root) if s.isDirectory() and not s.getPath().getName().startswith("_")}
+    before = sorted(n for n in found if n < current)
+    old = time.time() * 1000 - orphan_hours * 3_600_000
+    gone = before[:-keep] if keep else before
+    gone += [n for n in found if n > current and found[n].getModificationTime() < old]
+    return [n for n in gone if delete_path(spark, found[n].getPath().toString())]
+
+
+def truncate_load(spark: SparkSession, df: DataFrame, full_name: str) -> int:
+    """W8/A6 — replace an existing table's rows at once; returns the rows written."""
+    schema = spark.table(full_name).schema
+    path = new_version(spark, full_name)
+    rows = write_version(spark, df, schema, path)
+    point(spark, full_name, schema, path)
+    return rows
 
 
 def run_stamp(now: _dt.datetime | None = None) -> str:
@@ -101,10 +190,8 @@ def staged_folder(root: str, table: str, stamp: str) -> str:
 def delete_path(spark: SparkSession, path: str) -> bool:
     """W11 — remove staged files on whatever file system holds them; never raises."""
     try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.delete(hpath, True))
+        fs, folder = _files(spark, path)
+        return bool(fs.delete(folder, True))
     except Exception as e:  # noqa: BLE001 — cleanup failure is only logged
         log.error("failed to delete staged files %s: %s", path, e)
         return False
@@ -112,38 +199,27 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system holds it."""
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    fs, there = _files(spark, path)
+    return bool(fs.exists(there))
 
 
 def publish(spark: SparkSession, typed: DataFrame, schema: StructType, table: str,
             wh: Warehouse, overwrite: bool = False, use_staging: bool = True) -> dict:
-    """Create/overwrite/skip rules, truncate-load and (optionally) staged copy.
+    """Create/overwrite/skip rules, then one write and a change of the table's location.
 
     Returns ``{"status": "ok"|"skipped", "rows": n}``.
     """
     final = wh.name(table)
+    finish_pending(spark, final)
     if table_exists(spark, final) and not overwrite:
         log.info("table %s already exists, skipping", final)
         return {"status": "skipped", "rows": None}
-    target = wh.name(table, staging=use_staging)
-    # Our own staging table is always rebuilt; the final table is rebuilt
-    # only when overwriting (a schema change then takes effect).
-    if table_exists(spark, target):
-        drop_table(spark, target)
-    create_table(spark, target, schema)
-    rows = truncate_load(spark, typed, target)
-    if use_staging:
-        # Truncate-copy keeps the final table in place; only a changed
-        # schema forces drop + create.
-        if table_exists(spark, final):
-            current = [(f.name, f.dataType) for f in spark.table(final).schema.fields]
-            if current != [(f.name, f.dataType) for f in schema.fields]:
-                drop_table(spark, final)
-                create_table(spark, final, schema)
-        else:
-            create_table(spark, final, schema)
-        copied = copy_table(spark, target, final)
-        if copied != rows:
-            raise RuntimeError(f"copy of {target} wrote {copied} rows, staging holds {rows}")
+    path = new_version(spark, final)
+    rows = write_version(spark, typed, schema, path)
+    if use_staging:  # W9 — a name for the complete load, always rebuilt
+        staging = wh.name(table, staging=True)
+        drop_table(spark, staging)
+        create_table(spark, staging, schema, path)
+    point(spark, final, schema, path)
+    remove_old_versions(spark, final)
     return {"status": "ok", "rows": rows}

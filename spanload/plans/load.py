@@ -75,6 +75,7 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
     res = LoadResult(spec.table, "ok")
     final = wh.name(spec.table)
     # W5 — checked before any read.
+    publish.finish_pending(spark, final)
     if publish.table_exists(spark, final) and not opts.overwrite:
         res.status = "skipped"
         res.seconds = time.time() - t0

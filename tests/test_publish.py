@@ -122,3 +122,72 @@ def test_rejects_are_kept_with_reasons(spark):
     reasons = {x[0] for x in rej.select("reject_reason").distinct().collect()}
     assert "null in repeated field: tags" in reasons and "undecodable" in reasons
     assert rej.where("doc IS NULL").count() == 0
+
+
+class Ended(Exception):
+    """Stands for a run that is killed."""
+
+
+def _publish(spark, wh, rows, ddl, **opts):
+    df = spark.createDataFrame(rows, ddl)
+    return publish.publish(spark, df, df.schema, "t", wh, overwrite=True, **opts)
+
+
+@pytest.mark.parametrize("step", ["write_version", "point", "remove_old_versions"])
+def test_a_run_that_ends_between_steps_leaves_a_whole_table(spark, monkeypatch, step):
+    wh = fresh_warehouse(spark, f"t-ends-{step}".replace("_", "-"))
+    _publish(spark, wh, [("a", 1), ("b", 2)], "id string, n bigint")
+    own = getattr(publish, step)
+
+    def ended(*args, **kw):
+        if step == "write_version":  # part of the new rows are there
+            own(*args, **kw)
+        raise Ended
+
+    monkeypatch.setattr(publish, step, ended)
+    with pytest.raises(Ended):
+        _publish(spark, wh, [("c", 3)], "id string, n bigint")
+    monkeypatch.undo()
+    want = [("c", 3)] if step == "remove_old_versions" else [("a", 1), ("b", 2)]
+    assert sorted(tuple(r) for r in spark.table(wh.name("t")).collect()) == want
+    assert _publish(spark, wh, [("d", 4)], "id string, n bigint") == {"status": "ok", "rows": 1}
+    assert [tuple(r) for r in spark.table(wh.name("t")).collect()] == [("d", 4)]
+
+
+def test_a_changed_schema_is_made_good_after_a_run_that_ended(spark, monkeypatch):
+    wh = fresh_warehouse(spark, "t-schema")
+    _publish(spark, wh, [("a", 1)], "id string, n bigint", use_staging=False)
+    own = publish.create_table
+    monkeypatch.setattr(publish, "create_table", lambda *a: (_ for _ in ()).throw(Ended()))
+    with pytest.raises(Ended):
+        _publish(spark, wh, [("b", 2.5)], "id string, x double", use_staging=False)
+    monkeypatch.setattr(publish, "create_table", own)
+    assert not publish.table_exists(spark, wh.name("t"))
+    assert publish.finish_pending(spark, wh.name("t")) and not publish.finish_pending(spark, wh.name("t"))
+    assert [tuple(r) for r in spark.table(wh.name("t")).collect()] == [("b", 2.5)]
+
+
+def test_a_reader_of_the_version_before_still_has_it(spark):
+    wh = fresh_warehouse(spark, "t-reader")
+    _publish(spark, wh, [("a", 1)], "id string, n bigint")
+    reader = spark.read.parquet(publish.location(spark, wh.name("t")))
+    before = spark.table(wh.name("t"))
+    _publish(spark, wh, [("b", 2)], "id string, n bigint")
+    assert [tuple(r) for r in reader.collect()] == [("a", 1)]
+    assert [tuple(r) for r in spark.table(wh.name("t")).collect()] == [("b", 2)]
+    del before
+    for n in range(3):
+        _publish(spark, wh, [("c", n)], "id string, n bigint")
+    fs, root = publish._files(spark, publish.versions_root(spark, wh.name("t")))
+    assert len(list(fs.listStatus(root))) == 1 + publish.KEPT_VERSIONS
+    staging = publish.location(spark, wh.name("t", staging=True))
+    assert staging == publish.location(spark, wh.name("t"))  # a name, not a copy
+
+
+def test_versions_that_no_table_took_go_after_their_time(spark, monkeypatch):
+    wh = fresh_warehouse(spark, "t-orphans")
+    _publish(spark, wh, [("a", 1)], "id string, n bigint")
+    spark.range(1).write.parquet(publish.new_version(spark, wh.name("t")))
+    assert publish.remove_old_versions(spark, wh.name("t")) == []
+    assert len(publish.remove_old_versions(spark, wh.name("t"), orphan_hours=-1)) == 1
+    assert [tuple(r) for r in spark.table(wh.name("t")).collect()] == [("a", 1)]
