@@ -81,13 +81,27 @@ def rename_ids(line: Column) -> Column:
     return F.replace(line, F.lit('"_id":'), F.lit('"id":'))
 
 
+def computed_once(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The same rows, columns ``names`` last and behind an optimizer barrier.
+
+    They come out of a generator that makes one row of each.  A filter on what a generator
+    makes isn't pushed below it, so what computes the columns (parsing) is planned once and
+    isn't copied into the filter, whatever a caller filters or aggregates by.
+    """
+    names = list(names)
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*rest, F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in names]))))
+
+
 def clean_documents(df: DataFrame, doc: str = "doc", string_fields: Iterable[str] = (),
                     rename_id: bool = True, line: str = "line",
                     reason: str = "reject_reason") -> DataFrame:
     """Add the cleaned JSON ``line`` and ``reject_reason`` to every row.
 
     Exactly one of the two is non-null.  Other columns pass through, so a key
-    or chunk column can travel with the document.
+    or chunk column can travel with the document.  Each document is parsed once,
+    however the result is filtered; only one that failed, or whose line holds
+    both ``"_id":`` and ``"id":``, is looked at again.
     """
     d = F.col(doc)
     staged = (df.withColumn("_v", F.try_parse_json(d))
@@ -106,7 +120,7 @@ def clean_documents(df: DataFrame, doc: str = "doc", string_fields: Iterable[str
         out = (out.withColumn(reason, F.when(F.col(reason).isNull() & nested_dup,
                                              F.lit(DUPLICATE_ID)).otherwise(F.col(reason)))
                .withColumn(line, F.when(F.col(reason).isNull(), F.col(line))))
-    return out.drop("_v", "_m", "_enc")
+    return computed_once(out.drop("_v", "_m", "_enc"), [reason, line])
 
 
 def split_rejects(cleaned: DataFrame, reason: str = "reject_reason",

@@ -27,6 +27,8 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType,
                                StringType, StructField, StructType,
                                TimestampNTZType, TimestampType, VariantType)
 
+from spanload.operators.clean import NON_FINITE, computed_once, nonfinite
+
 # Schema type names (upper case) and their Spark types.
 _SCALARS: dict[str, DataType] = {
     "STRING": StringType(),
@@ -258,7 +260,7 @@ def conform_lines(df: DataFrame, schema: StructType, line: str = "line",
             why = why.when(F.when(F.coalesce(bracket, F.lit(False)), _nested_in_text(by_name[f.name], f)), F.lit(BAD_VALUE))
         for cond, text in _violations(F.col(f.name), f, ""):
             why = why.when(F.coalesce(cond, F.lit(False)), F.lit(text))
-    out = typed.withColumn(reason, why).drop("_bad", "_line")
+    out = computed_once(typed.withColumn(reason, why).drop("_bad", "_line"), [*(f.name for f in schema.fields), reason])
     if on_bad == "fail":
         # A filter, not a column: column pruning cannot remove it, so the
         # first bad row fails whatever action reads this frame.
@@ -358,7 +360,6 @@ def conform_typed(df: DataFrame, schema: StructType, on_bad: str = "reject",
     REQUIRED / REPEATED / TIME rules apply — but no text is produced or
     parsed.  Check :func:`typed_compatible` first.
     """
-    from spanload.operators.clean import NON_FINITE, nonfinite
     if on_bad not in ("reject", "fail"):
         raise ValueError("on_bad must be 'reject' or 'fail'")
     src = {_renamed(f.name, rename_id): f for f in df.schema.fields}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from spanload.operators import clean
 from spanload.plans.registry import register
-from spanload.session import materialize, spread
+from spanload.session import spread
 from spanload.sources.tables import events_with_key, read_table
 
 # The schema of the document table says these fields are STRING.
@@ -50,16 +50,13 @@ def with_raw_doc(ev: DataFrame, *keep: str) -> DataFrame:
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 input: one raw JSON document per events row, with its event_id."""
-    ev = spread(events_with_key(spark, sf_dir, "_id"), "event_id")
+    ev = spread(events_with_key(spark, sf_dir, "_id"))
     return with_raw_doc(ev, "event_id")
 
 
 def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned once and materialised (reliable checkpoint): the queries filter and
-    aggregate it, and a filter on ``reject_reason`` over the parsing projections
-    would otherwise be pushed down and parse every document again."""
-    return materialize(clean.clean_documents(raw_documents(spark, sf_dir), "doc",
-                                             string_fields=STRING_FIELDS))
+    """Cleaned lines and reject reasons of all raw documents."""
+    return clean.clean_documents(raw_documents(spark, sf_dir), "doc", string_fields=STRING_FIELDS)
 
 
 def _outcome() -> F.Column:

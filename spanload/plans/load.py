@@ -87,7 +87,7 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
     res.chunks = ranges.n_chunks
     typed_mode = (opts.typed_fast_path and "doc" not in source.columns
                   and conform.typed_compatible(source.schema, spec.schema, opts.rename_id))
-    rows = splits.with_chunk(spread(source, key), ranges, name="_chunk").withColumn(
+    rows = splits.with_chunk(spread(source), ranges, name="_chunk").withColumn(
         "_key", F.col(key))
     # Materialise the cleaned rows once, as parquet in the shared checkpoint
     # folder: later passes read only the columns they need (chunk, bytes,

@@ -46,7 +46,7 @@ _USER_DOC = """'{"_id":"' || CAST(c_custkey AS STRING) || '","username":"' || c_
 
 
 def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cu = spread(read_table(spark, sf_dir, "customer"), "c_custkey")
+    cu = spread(read_table(spark, sf_dir, "customer"))
     return cu.select(F.expr(_USER_DOC).alias("doc"))
 
 
@@ -59,8 +59,7 @@ FROM customer""")
 def q_conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 — the nested example schema, REPEATED RECORD included, loads typed rows."""
     schema = conform.schema_from_spec(USERS_SCHEMA)
-    cleaned = materialize(clean.clean_documents(user_documents(spark, sf_dir),
-                                                string_fields=conform.string_fields(schema)))
+    cleaned = clean.clean_documents(user_documents(spark, sf_dir), string_fields=conform.string_fields(schema))
     typed = conform.conform_lines(cleaned.where("reject_reason IS NULL").drop("reject_reason"),
                                   schema, on_bad="fail")
     ad = F.col("account_details")
@@ -249,8 +248,7 @@ def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events_with_key(spark, sf_dir, "_id")
     ranges = splits.split_time(ev, "_id", 4)
     raw = with_raw_doc(splits.with_chunk(ev, ranges), "_id", "chunk")
-    # materialise the cleaned lines once: assign_parts reads them several times
-    cleaned = materialize(clean.clean_documents(spread(raw, "_id"), string_fields=STRING_FIELDS))
+    cleaned = clean.clean_documents(spread(raw), string_fields=STRING_FIELDS)
     good, _ = clean.split_rejects(cleaned)
     parted = export.assign_parts(good, "_id", "line", 256 << 10)
     path = export.write_parts(parted, scratch_path(spark, "jsonl") + "/events", "_id")

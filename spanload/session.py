@@ -80,25 +80,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/spanload-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, key: str | None = None):
+def spread(df):
     """Give CPU-heavy per-row work (JSON parsing) every core on small inputs.
 
     A small file with one row group is a single input split, so parsing it
-    runs on one core.  Below the cluster's default parallelism the frame is
-    spread round-robin (not by key: a key holding a third of the rows would
-    land in one task; Spark sorts before a round-robin repartition, so a
-    retried task gets the same rows).  At scale the input already has far
-    more splits than cores and nothing changes.  ``key`` is accepted for
-    call-site readability only.
+    runs on one core.  Only an input that is less than one full split for each
+    core, by files and by bytes, is spread, round-robin (not by key: a key
+    holding a third of the rows would land in one task; Spark sorts before a
+    round-robin repartition, so a retried task gets the same rows).  Large
+    files split by themselves, so a large input is never shuffled here.
     """
-    del key
     try:
-        target = df.sparkSession.sparkContext.defaultParallelism
+        session = df.sparkSession
+        target = session.sparkContext.defaultParallelism
         # files and bytes are known without a job; asking the RDD would run shuffles
-        files = df.inputFiles()
-        if not files or len(files) >= target:
-            return df
-    except Exception:  # noqa: BLE001 — no RDD view (e.g. a remote session): leave as is
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 — no view of the plan (e.g. a remote session): leave as is
+        return df
+    split = session._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if not files or max(files, size // split) >= target:
         return df
     return df.repartition(target)
 

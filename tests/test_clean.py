@@ -67,3 +67,42 @@ def test_nested_duplicate_id_is_rejected(spark):
     assert out[0]["reject_reason"] == "duplicate id" and out[0]["line"] is None
     assert out[1]["reject_reason"] is None
     assert json.loads(out[1]["line"]) == {"id": "1", "a": {"id": 3}, "b": {"id": 4}}
+
+
+def _parses(df):
+    """Parsing expressions in the optimized plan."""
+    import re
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return len(re.findall(r"parse_?json|from_json|jsontostructs", plan.lower()))
+
+
+def test_filters_do_not_copy_the_parsing(spark):
+    from spanload.operators import conform
+    docs = spark.createDataFrame([('{"a":1}',), ('{"a":',), ('[1]',)], "doc string").repartition(1)
+    cleaned = clean.clean_documents(docs)
+    n = _parses(cleaned)
+    assert n <= 4  # the document once, and three that only failed or doubtful ones come to
+    for narrowed in (cleaned.where("reject_reason is null"), cleaned.where("reject_reason = 'undecodable'").select("doc"),
+                     cleaned.where("line like '%a%' and reject_reason is null").select("line")):
+        assert _parses(narrowed) <= n
+    schema = conform.schema_from_spec([{"name": "a", "type": "INTEGER", "mode": "REQUIRED"}, {"name": "b", "type": "STRING"}])
+    typed = conform.conform_lines(cleaned.where("reject_reason is null").drop("reject_reason"), schema)
+    m = _parses(typed)
+    assert m <= n + 3  # the line, and its texts with brackets by field
+    assert _parses(typed.where("reject_reason is null").select("a")) <= m
+    assert sorted((r["doc"], r["reject_reason"]) for r in cleaned.where("line is null").collect()) == [
+        ("[1]", "not an object"), ('{"a":', "undecodable")]
+
+
+def test_only_inputs_below_a_split_a_core_are_spread(spark, tmp_path):
+    from spanload.session import spread
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    small = spark.read.parquet(f"{tmp_path}/t")
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "128")
+    try:
+        assert "Exchange" not in spread(small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
