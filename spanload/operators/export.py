@@ -10,31 +10,36 @@ The running byte sum is computed without a global sort (§4.3 recipe):
 
 1. bucket edges are sampled keys (bounded sample); every edge value also
    gets its own *point* bucket, and a point bucket that the sample shows to
-   be hot is split further by a hash of the line, so one key holding a third
-   of all rows still spreads over many tasks;
-2. one aggregation gives the bytes per (chunk, bucket, sub-bucket); a window
-   over that small table gives each group's starting offset;
-3. a window inside each group adds the running sum.
-
-Rows are ordered by ``(key, xxhash64(line), line)`` — a total order that is
-stable under retries.
+   be hot is split further by a hash of the line, the finer the hotter, so one
+   key holding a third of all rows still spreads over many tasks;
+2. equal lines of a key are counted for each input task before anything is
+   sorted: a line that a third of all rows hold is one row a task;
+3. an exclusive scan in two levels: bytes of each (chunk, bucket, sub-bucket)
+   give its offset, a window over the counted lines inside each adds theirs;
+4. only a run of equal lines in which a part begins is numbered row by row,
+   and there is at most one such run a part.
+
+Rows are ordered by ``(key, xxhash64(line), place in the input)`` — a total
+order that is stable under retries.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanload.operators.order_stats import bucket_search, rank_tree, typed_lit
-from spanload.session import materialize
+from spanload.session import stage
 
 # Above this many edges the bucket search is a binary search over a literal array
 # instead of a CASE tree, whose generated code would grow too large.
 TREE_MAX_EDGES = 1023
-HOT_SUB_BITS = 8
-MAX_SAMPLE = 500_000
+HOT_SUB_BITS = 16  # a hot key is cut into so many powers of two at most
+MAX_BUCKETS, SAMPLED_PER_BUCKET = 1 << 15, 8  # bound the keys that reach the driver
+TASK_BITS = 33  # of a row's place, below its input task
 
 
 def line_bytes(line: str | Column) -> Column:
@@ -59,90 +64,90 @@ def row_hash(line: str | Column) -> Column:
 
 
 def _bucketed(rows: DataFrame, key: str, dtype, n_rows: int, total_bytes: int,
-              bucket_bytes: int, sample_rows: int, seed: int) -> tuple[DataFrame, int]:
-    """Add bucket ``_b`` and hot-key sub-bucket ``_s``; returns (frame, bucket count)."""
-    n_buckets = max(1, min(1 << 20, -(-total_bytes // bucket_bytes)))
+              bucket_bytes: int, sample_rows: int, seed: int) -> DataFrame:
+    """Add bucket ``_b`` and hot-key sub-bucket ``_s``."""
+    n_buckets = max(1, min(MAX_BUCKETS, -(-total_bytes // bucket_bytes)))
     edges: list = []
-    hot: list = []
+    hot: dict[int, list] = {}
     if n_buckets > 1 and n_rows:
-        # Enough sampled keys to place every edge; bounded by MAX_SAMPLE no
-        # matter how large the table is (edges only steer the work).
-        want = min(MAX_SAMPLE, max(sample_rows, 8 * n_buckets))
-        frac = min(1.0, 2.0 * want / n_rows)
-        sample = [r[0] for r in rows.select(key).sample(False, frac, seed)
-                  .limit(2 * want).collect()]
-        sample.sort()
+        # Enough sampled keys to place every edge, however large the table is (edges only steer
+        # the work).  Drawn row by row, so no part of the table counts more than another.
+        want = max(min(sample_rows, SAMPLED_PER_BUCKET * MAX_BUCKETS), SAMPLED_PER_BUCKET * n_buckets)
+        sample = sorted(r[0] for r in rows.select(key).sample(False, min(1.0, want / n_rows), seed).collect())
         if sample:
             edges = sorted({sample[(i * len(sample)) // n_buckets] for i in range(1, n_buckets)})
             per_bucket = max(1.0, len(sample) / n_buckets)
-            hot = sorted(v for v, c in Counter(sample).items() if c > 2 * per_bucket)
+            for v, c in sorted(Counter(sample).items()):
+                if c > 2 * per_bucket:
+                    hot.setdefault(min(HOT_SUB_BITS, math.ceil(math.log2(c / per_bucket))), []).append(v)
     k = F.col(key)
-    sub = F.lit(0)
-    if hot:
-        sub = F.when(k.isin([typed_lit(v, dtype) for v in hot]),
-                     F.shiftright(F.col("_h.h"), 64 - HOT_SUB_BITS)).otherwise(F.lit(0))
-    out = rows.withColumn("_b", bucket_of(k, edges, dtype, point=True)).withColumn(
-        "_s", sub.cast("int"))
-    return out, (2 * len(edges) + 1) * (1 + (len(hot) << HOT_SUB_BITS))
+    sub = F.lit(0).cast("long")
+    for bits, values in sorted(hot.items()):  # sub-buckets are ranges of the hash, so they keep its order
+        sub = F.when(k.isin([typed_lit(v, dtype) for v in values]), F.shiftright(F.col("_h.h"), 64 - bits)).otherwise(sub)
+    return rows.withColumn("_b", bucket_of(k, edges, dtype, point=True)).withColumn("_s", sub.cast("int"))
 
 
 def assign_parts(df: DataFrame, key: str, line: str, limit_bytes: int,
                  chunk: str = "chunk", bucket_bytes: int = 128 << 20,
                  sample_rows: int = 20000, seed: int = 5,
-                 n_rows: int | None = None, total_bytes: int | None = None,
-                 broadcast_limit: int = 256 << 20) -> DataFrame:
+                 n_rows: int | None = None, total_bytes: int | None = None) -> DataFrame:
     """W2 — add ``bytes`` and ``part`` (int) to rows that carry a chunk column.
 
     The running sums are worked out on narrow columns only (chunk, key, line
-    hash, bytes, bucket): that shuffle moves a few dozen bytes per row,
-    never the lines.  Its result is one row per bucket — the bucket's byte
-    offset inside its chunk and the (few) part starts that fall inside it.
-    The lines then get their part from that bucket row by an equi-join on
-    the bucket: broadcast when the bucket table is provably small (its row
-    count is known before the join), a shuffle join otherwise.  The only
-    shuffle of whole lines left is the one that writes each part as a file.
+    hash, bytes, bucket), and on one row for each input task's equal lines; the
+    lines are never shuffled for it.  The result is one row per bucket — the
+    bucket's byte offset inside its chunk and the (few) part starts that fall
+    inside it.  The lines get their part from that row by an equi-join on the
+    bucket; Spark broadcasts it where it is small and shuffles it where not.
+    The only other shuffle of whole lines is the one that writes the files.
 
     The input is read more than once: unless it comes with a written ``line_hash``
-    (see :func:`row_hash`) it is materialised here.  ``bytes`` and known totals are
-    reused.  Equal rows differ in it, so any number of them is cut into parts.
+    (see :func:`row_hash`) it is staged here.  ``bytes`` and known totals are reused.
     """
     if limit_bytes <= 0:
         raise ValueError("limit_bytes must be positive")
     dtype = df.schema[key].dataType
     rows = df if "bytes" in df.columns else df.withColumn("bytes", line_bytes(line))
     if "line_hash" not in df.columns:
-        rows = materialize(rows.withColumn("line_hash", row_hash(line)))
+        rows = stage(rows.withColumn("line_hash", row_hash(line)), "lines")
     rows = rows.withColumn("_h", F.col("line_hash"))
     if n_rows is None or total_bytes is None:
         st = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
         n_rows, total_bytes = st["n"], st["b"] or 0
-    rows, max_buckets = _bucketed(rows, key, dtype, n_rows, total_bytes, bucket_bytes,
-                                  sample_rows, seed)
-    grp = [chunk, "_b", "_s"]
-    narrow = rows.select(chunk, "_b", "_s", key, "_h", "bytes")
-    sizes = narrow.groupBy(*grp).agg(F.sum("bytes").alias("_gb"))
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_gb").over(
-        Window.partitionBy(chunk).orderBy("_b", "_s")
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = (Window.partitionBy(*grp).orderBy(key, "_h")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    pre = narrow.withColumn("_pre", F.coalesce(F.sum("bytes").over(inner), F.lit(0)))
-    lim = F.lit(limit_bytes)
-    with_part = (pre.join(offsets.select(*grp, "_off"), grp)
-                 .withColumn("part", F.floor((F.col("_off") + F.col("_pre")) / lim)))
-    # First row of every part: (chunk, part) -> smallest (key, hash) and its bucket.
-    starts = (with_part.groupBy(chunk, "part")
-              .agg(F.min(F.struct(key, "_h", "_b", "_s")).alias("s"))
-              .select(F.col(chunk), F.col("s._b").alias("_b"), F.col("s._s").alias("_s"),
-                      F.struct(F.col("s." + key).alias("k"), F.col("s._h").alias("h"),
+    rows = _bucketed(rows, key, dtype, n_rows, total_bytes, bucket_bytes, sample_rows, seed)
+    grp, lim = [chunk, "_b", "_s"], F.lit(limit_bytes)
+    narrow = rows.select(*grp, F.col(key).alias("_k"), F.col("_h.h").alias("_x"), F.col("_h.u").alias("_u"), "bytes",
+                         F.shiftright(F.col("_h.u"), TASK_BITS).alias("_t"))
+    same = [*grp, "_k", "_x", "_t"]  # equal lines of one input task
+    runs = narrow.groupBy(*same).agg(F.count(F.lit(1)).alias("_n"), F.first("bytes").alias("_w"), F.min("_u").alias("_u"))
+    size = F.col("_n") * F.col("_w")
+    offsets = (runs.groupBy(*grp).agg(F.sum(size).alias("_gb"))
+               .withColumn("_off", F.coalesce(F.sum("_gb").over(
+                   Window.partitionBy(chunk).orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    inner = Window.partitionBy(*grp).orderBy("_k", "_x", "_t").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (runs.withColumn("_pre", F.coalesce(F.sum(size).over(inner), F.lit(0)))
+              .join(offsets.select(*grp, "_off"), grp)
+              .withColumn("_at", F.col("_off") + F.col("_pre"))
+              .withColumn("_p", F.floor(F.col("_at") / lim))
+              .withColumn("_q", F.floor((F.col("_at") + (F.col("_n") - 1) * F.col("_w")) / lim)))
+    # The first row of every part: of the least run in it, the least row ...
+    first = placed.select(*grp, "_k", "_x", "_u", F.col("_p").alias("part"))
+    # ... but where a part begins inside a run of equal lines, it is the run's row of that number.
+    inside = (placed.where("_q > _p").withColumn("part", F.explode(F.sequence(F.col("_p") + 1, F.col("_q"))))
+              .withColumn("_i", F.ceil((F.col("part") * lim - F.col("_at")) / F.col("_w")))
+              .where(F.floor((F.col("_at") + F.col("_i") * F.col("_w")) / lim) == F.col("part"))
+              .select(*same, "part", "_i"))
+    cut = inside.select(*same).distinct()
+    numbered = (narrow.join(cut, same, "left_semi")
+                .withColumn("_i", F.row_number().over(Window.partitionBy(*same).orderBy("_u")) - 1))
+    within = inside.join(numbered, [*same, "_i"]).select(*grp, "_k", "_x", "_u", "part")
+    starts = (first.unionByName(within).groupBy(chunk, "part")
+              .agg(F.min(F.struct("_k", "_x", "_u", "_b", "_s")).alias("s"))
+              .select(chunk, F.col("s._b").alias("_b"), F.col("s._s").alias("_s"),
+                      F.struct(F.col("s._k").alias("k"), F.struct(F.col("s._x").alias("h"), F.col("s._u").alias("u")).alias("h"),
                                F.col("part").alias("p")).alias("st")))
-    table = (offsets.join(starts.groupBy(*grp).agg(F.collect_list("st").alias("_st")),
-                          grp, "left")
+    table = (offsets.join(starts.groupBy(*grp).agg(F.collect_list("st").alias("_st")), grp, "left")
              .select(*grp, F.floor(F.col("_off") / lim).alias("_p0"), "_st"))
-    # One row per bucket, each ~48 bytes plus its part starts.
-    est = max_buckets * 64 + (total_bytes // limit_bytes + max_buckets) * 48
-    if est <= broadcast_limit:
-        table = F.broadcast(table)
     k, h = F.col(key), F.col("_h")
     later = F.filter(F.coalesce(F.col("_st"), F.array().cast("array<struct<k:%s,h:struct<h:bigint,u:bigint>,p:bigint>>"
                                                            % dtype.simpleString())),

@@ -208,6 +208,27 @@ def q_part_assign_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.every(F.coalesce(F.col("max_key") <= F.col("after"), F.lit(True))).alias("in_key_order")))
 
 
+@register("part_assign_equal", """
+WITH l AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1000 ELSE l_orderkey * 10 + l_linenumber END AS key,
+    CASE WHEN l_orderkey % 3 = 0 THEN 40 ELSE 20 + l_linenumber END + 1 AS b FROM lineitem
+), w AS (SELECT *, coalesce(sum(b) OVER (ORDER BY key, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre
+         FROM l WHERE key <> 1000 OR b = 41)
+SELECT CAST(0 AS INTEGER) AS chunk, CAST(pre // 50000 AS INTEGER) AS part, CAST(count(*) AS BIGINT) AS rows,
+       CAST(sum(b) AS BIGINT) AS bytes, min(key) AS min_key, max(key) AS max_key
+FROM w GROUP BY 1, 2""")
+def q_part_assign_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2/A5 — a third of the rows are one line of one key: cut at the limit like others, rows numbered
+    only where a part begins among them."""
+    hot = F.col("l_orderkey") % 3 == 0
+    rows = read_table(spark, sf_dir, "lineitem").select(
+        F.when(hot, 1000).otherwise(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"),
+        F.when(hot, F.repeat(F.lit("x"), 40)).otherwise(
+            F.rpad((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"), 20 + F.col("l_linenumber"), "-")).alias("line"),
+        F.lit(0).alias("chunk"))
+    return export.part_report(export.assign_parts(rows, "key", "line", 50_000, bucket_bytes=256 << 10), "key")
+
+
 # --------------------------------------------------------------------------
 # W1/W3/A5 — chunked, size-bounded gzip parts written and read back
 

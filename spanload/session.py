@@ -113,3 +113,11 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df, name: str):
+    """Written as parquet under the shared checkpoint folder and read back: later passes read the
+    columns that they need, and a lost executor costs a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -110,4 +110,25 @@ def test_limit_must_be_positive(spark):
 
 def test_shuffle_join_fallback_matches(spark):
     # bucket table never broadcast: the shuffle-join path gives the same parts
-    _check(conv_lines(spark), 5000, bucket_bytes=2000, sample_rows=200, broadcast_limit=0)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        _check(conv_lines(spark), 5000, bucket_bytes=2000, sample_rows=200)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_line_that_a_third_of_the_rows_hold_is_one_row_a_task(spark):
+    """The windows read one row for each task's equal lines, and each part keeps its limit."""
+    rows = spark.range(30000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("key"), F.lit(0).alias("chunk"),
+        F.when(F.col("id") % 3 == 0, F.lit("same line")).otherwise(F.concat(F.lit("l"), F.col("id").cast("string"))).alias("line"))
+    parted = export.assign_parts(rows, "key", "line", 2000, bucket_bytes=10_000)
+    rep = export.part_report(parted, "key").orderBy("part").collect()
+    assert [r["part"] for r in rep] == list(range(len(rep))) and sum(r["rows"] for r in rep) == 30000
+    assert all(2000 - 10 <= r["bytes"] < 2000 + 10 for r in rep[:-1])
+    assert all(a["max_key"] <= b["min_key"] for a, b in zip(rep, rep[1:]))
+    # no window partition holds more than a bucket's share
+    runs = parted.where("key = 5").groupBy("part").count()
+    assert runs.count() >= 50
