@@ -1,10 +1,11 @@
 """Phrase collocations: counts of all phrases by vertically partitioned suffix trees.
 
-Every occurrence of a word begins a suffix of its piece, cut to ``DEPTH`` words.  Prefixes of
-suffixes are counted; one that begins more than ``budget`` suffixes is split into the prefixes
-one word longer, until each fits or has full depth.  Prefixes are then packed into groups of
-at most ``budget`` suffixes, and each group's subtree is built by one task of its own from its
-sorted suffixes: a node's count is the sum of its leaves.
+Every occurrence of a word begins a suffix of its piece, cut to ``DEPTH`` words.  A prefix that
+begins too many suffixes for the memory budget (estimated from a sample) is split into the
+prefixes one word longer, until each fits or has full depth.  Prefixes are then dealt into
+groups of about half of ``budget`` different suffixes, and each group's subtree is built by
+one task of its own from its sorted suffixes: a node's count is the sum of its leaves.  A split
+prefix's leaves lie in several groups, whose sums are added.
 
 Only phrases that occur ``least`` times matter, and no phrase is commoner than its words, so a
 suffix ends before a word that can't be common: a bitmap of fixed size (``BITS``) holds the
@@ -28,6 +29,7 @@ from spanload.llm.common import batches_of, stage
 DEPTH = 4
 BITS = 1 << 24
 BUDGET, LEAST_ROWS, SPLIT = 1 << 18, 1 << 14, 16
+SAMPLED = 1 / 64  # share of the documents that tells which prefixes to split; counts never depend on it
 DELIMITERS = b",;:!?\n\x0b\x0c\r"  # and the full stop, which stands for all of them
 _PIECES = bytes.maketrans(DELIMITERS, b"." * len(DELIMITERS))
 LOCAL = (1 << 16) - 1  # distinct common words that a buffer of suffixes may hold: four fit in 64 bits
@@ -123,6 +125,8 @@ class _Suffixes:
         begun = going
         for j in range(1, DEPTH):
             going = going & (own[j: n + j] > 0)
+            if j == 1:  # what one word alone counts is known
+                begun = going
             packed |= np.where(going, own[j: n + j] << np.uint64(16 * (DEPTH - 1 - j)), np.uint64(0))
         self.parts.append(packed[begun])
         self.held += len(self.parts[-1])
@@ -167,37 +171,37 @@ def _suffixes(bitmap: np.ndarray):
 # ---- groups of prefixes ----------------------------------------------------------------------
 
 
-def _prefix(words: int):
-    return F.substring_index("suffix", " ", words)
+_SUFFIX = "lang string, suffix string, n long"
+_NODE = "lang string, phrase string, words int, n long, whole boolean"
 
 
-def _grouped(suffixes: DataFrame, budget: int) -> tuple[DataFrame, list[DataFrame]]:
-    """``suffixes`` with ``group`` and ``depth`` (words of the prefix that it is grouped by), and the
-    counts of the prefixes that were split.
+def _deepened(rows: DataFrame, split: list[DataFrame]) -> DataFrame:
+    """``rows`` with ``depth``: words of the first prefix of the suffix that isn't split."""
+    rows = rows.withColumn("depth", F.lit(1))
+    for words, large in enumerate(split, 1):
+        at = (F.col("depth") == words) & (F.col("lang") == F.col("l")) & (F.substring_index("suffix", " ", words) == F.col("p"))
+        rows = (rows.join(large.withColumn("deeper", F.lit(1)), at, "left")
+                .withColumn("depth", F.col("depth") + F.coalesce("deeper", F.lit(0))).drop("l", "p", "deeper"))
+    return rows
 
-    A prefix of more than a ``SPLIT``-th of the budget is split, so many small ones share a group,
-    and dealt by hash they fill half the budget on average, with little spread."""
-    total = suffixes.count()
-    budget = min(budget, max(LEAST_ROWS, total // 64))  # few rows: as many groups as tasks can use
-    rows, split = suffixes.withColumn("depth", F.lit(1)), []
+
+def _split(sample: DataFrame, most: float) -> list[DataFrame]:
+    """For 1, 2 ... words, the prefixes ``l, p`` that begin more than ``most`` suffixes of the sample."""
+    split: list[DataFrame] = []
     for words in range(1, DEPTH):
-        counts = (rows.where(F.col("depth") == words).groupBy("lang", _prefix(words).alias("prefix"))
-                  .agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
-                  .where((F.col("rows") > budget // SPLIT) & (F.size(F.split("prefix", " ")) == words)))
-        large = stage(counts, "phrases-split")
-        split.append(large.select("lang", F.col("prefix").alias("phrase"), F.lit(words).alias("words"), "n"))
-        if not large.count():
+        prefix = F.substring_index("suffix", " ", words)
+        large = stage(_deepened(sample, split).where((F.col("depth") == words) & (F.size(F.split("suffix", " ")) > words))
+                      .groupBy(F.col("lang").alias("l"), prefix.alias("p")).agg(F.count("*").alias("rows"))
+                      .where(F.col("rows") > most).select("l", "p"), "phrases-split")
+        if large.isEmpty():
             break
-        of = large.select(F.col("lang").alias("l"), F.col("prefix").alias("p"), F.lit(True).alias("deeper"))
-        rows = (rows.join(of, (F.col("depth") == words) & (F.col("lang") == F.col("l")) & (_prefix(words) == F.col("p")), "left")
-                .withColumn("depth", F.when(F.col("deeper"), words + 1).otherwise(F.col("depth"))).drop("l", "p", "deeper"))
-    prefix = F.expr("substring_index(suffix, ' ', depth)")
-    groups = 2 * total // budget + 1
-    return rows.withColumn("group", F.pmod(F.xxhash64("lang", prefix), F.lit(groups))), split
+        split.append(large)
+    return split
 
 
 def _subtree(least: int):
-    """Nodes of a group's suffix tree that ``least`` leaves or more lie under, with their counts."""
+    """Nodes of two words or more of a group's suffix tree with their counts: those with ``least``
+    leaves, and those of split prefixes, which have leaves elsewhere, as they are."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -205,23 +209,27 @@ def _subtree(least: int):
         words = split.flatten().dictionary_encode()
         langs = table["lang"].combine_chunks().dictionary_encode()
         lengths = pc.list_value_length(split).to_numpy()
-        codes, first = words.indices.to_numpy() + 1, np.cumsum(lengths) - lengths
+        codes, first = words.indices.to_numpy().astype(np.int64) + 1, np.cumsum(lengths) - lengths
         columns = [np.where(lengths > j, codes[np.minimum(first + j, len(codes) - 1)], 0) for j in range(DEPTH)]
-        order = np.lexsort([*columns[::-1], langs.indices.to_numpy()])
+        lang, kinds = langs.indices.to_numpy().astype(np.int64), len(words.dictionary) + 1
+        order = np.lexsort([columns[2] * kinds + columns[3], (lang * kinds + columns[0]) * kinds + columns[1]])
         n, depth = table["n"].to_numpy()[order], table["depth"].to_numpy()[order]
-        columns, lang = [c[order] for c in columns], langs.indices.to_numpy()[order]
+        columns, lang = [c[order] for c in columns], lang[order]
         new = np.concatenate([[True], lang[1:] != lang[:-1]])
         out = []
         for j, column in enumerate(columns):  # a node begins where its first j + 1 words differ from those before
             new = new | np.concatenate([[True], column[1:] != column[:-1]])
+            if not j:
+                continue
             at = np.flatnonzero(new)
             count = np.add.reduceat(n, at)
-            keep = (column[at] > 0) & (depth[at] <= j + 1) & (count >= least)
+            whole = depth[at] <= j + 1
+            keep = (column[at] > 0) & (~whole | (count >= least))
             at, count = at[keep], count[keep]
             parts = [words.dictionary.take(pa.array(c[at] - 1)) for c in columns[: j + 1]]
-            phrase = pc.binary_join_element_wise(*parts, " ") if j else parts[0]
-            out.append(pa.table({"lang": langs.dictionary.take(pa.array(lang[at])), "phrase": phrase,
-                                 "words": pa.array(np.full(len(at), j + 1), pa.int32()), "n": pa.array(count, pa.int64())}))
+            out.append(pa.table({"lang": langs.dictionary.take(pa.array(lang[at])), "phrase": pc.binary_join_element_wise(*parts, " "),
+                                 "words": pa.array(np.full(len(at), j + 1), pa.int32()), "n": pa.array(count, pa.int64()),
+                                 "whole": pa.array(whole[keep])}))
         return pa.concat_tables(out)
 
     return run
@@ -231,25 +239,26 @@ def phrase_counts(docs: DataFrame, least: int, budget: int = BUDGET) -> tuple[Da
     """``docs``: lang, text, not null.  Rows ``lang, phrase, words, n`` of all phrases of 1 to 4
     words that occur ``least`` times, and ``lang, n``: all words of each language."""
     with batches_of(docs.sparkSession, 512):  # long texts
-        words, found = _suffix_table(docs, least)
-    rows, split = _grouped(found, budget)
-    nodes = rows.groupBy("group").applyInArrow(_subtree(least), "lang string, phrase string, words int, n long")
-    for large in split:
-        nodes = nodes.unionByName(large.where(F.col("n") >= least))
-    return stage(nodes, "phrases-nodes"), words.groupBy("lang").agg(F.sum("n").alias("n"))
-
-
-def _suffix_table(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """All words with their counts, and the suffixes of words that may be common, counted by task."""
-    words = stage(docs.mapInArrow(_count_words, "lang string, phrase string, n long").groupBy("lang", "phrase")
-                  .agg(F.sum("n").alias("n")), "phrases-words")
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(words.where(F.col("n") >= least)))  # BITS / 8 bytes
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _suffixes(bitmap.value)(batches)
-
-    found = stage(docs.mapInArrow(suffixes, "lang string, suffix string, n long"), "phrases-suffixes")
-    return words, found
+        words = stage(docs.mapInArrow(_count_words, "lang string, phrase string, n long").groupBy("lang", "phrase")
+                      .agg(F.sum("n").alias("n")), "phrases-words")
+        common = words.where(F.col("n") >= least)
+        bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(common))  # BITS / 8 bytes
+
+        def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _suffixes(bitmap.value)(batches)
+
+        total = common.agg(F.sum("n")).first()[0] or 0  # at least as many as there are different suffixes
+        budget = min(budget, max(LEAST_ROWS, total // 64))  # few rows: as many groups as tasks can use
+        sample = stage(docs.sample(SAMPLED, 1).mapInArrow(suffixes, _SUFFIX), "phrases-sample")
+        # a prefix of more than a SPLIT-th of the budget is split, so that groups, dealt by hash, are about alike
+        split = _split(sample, max(0, budget / SPLIT * SAMPLED))
+        rows = _deepened(docs.mapInArrow(suffixes, _SUFFIX), split)
+        group = F.pmod(F.xxhash64("lang", F.expr("substring_index(suffix, ' ', depth)")), F.lit(2 * total // budget + 1))
+        nodes = stage(rows.withColumn("group", group).groupBy("group").applyInArrow(_subtree(least), _NODE), "phrases-nodes")
+    added = nodes.where("not whole").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counts = (nodes.where("whole").drop("whole").unionByName(added)
+              .unionByName(common.withColumn("words", F.lit(1)).select("lang", "phrase", "words", "n")))
+    return counts, words.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 # ---- collocations ----------------------------------------------------------------------------

@@ -167,21 +167,21 @@ def phrase_docs():
 def test_phrases_equal_brute_force(spark, budget, monkeypatch):
     docs = phrase_docs()
     df = spark.createDataFrame([(t, x, 1, "p", 2) for x, t in docs], "text string, lang string, n long, phrase string, words long").repartition(3)
-    own, depths = phrases._grouped, []
+    own, depths = phrases._split, []
 
-    def watched(suffixes, most):
-        rows, split = own(suffixes, most)
-        depths.append(rows.agg(F.max("depth")).first()[0])
-        return rows, split
+    def watched(sample, most):
+        depths.append(own(sample, most))
+        return depths[-1]
 
-    monkeypatch.setattr(phrases, "_grouped", watched)
+    monkeypatch.setattr(phrases, "_split", watched)
     if budget < 100:  # prefixes are split down to full depth
         monkeypatch.setattr(phrases, "LEAST_ROWS", 1)
         monkeypatch.setattr(phrases, "SPLIT", 4)
+        monkeypatch.setattr(phrases, "SAMPLED", 1.0)
     for top in (2000, 7):
         got = sorted(tuple(r) for r in phrases.collocations(df, least=12, top=top, budget=budget).collect())
         assert got == plain_phrases(docs, 12, top)
-    assert depths == [4, 4] if budget < 100 else [1, 1]
+    assert [len(d) for d in depths] == ([3, 3] if budget < 100 else [0, 0])
 
 
 def toxic_docs(n=700):
