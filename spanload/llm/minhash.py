@@ -7,13 +7,15 @@ need only ``2 * side * width`` minhash values: about the square root of what ind
 tables take.  A pair of similarity s is missed with a chance of about
 ``2 * (1 - s ** width) ** side``.
 
-Copies with equal sets are put together first (by a 128-bit digest of the set).  The
-others meet in buckets by key.  In each bucket every document is compared with the least
+Copies with equal sets are one node (named by the 128-bit digest of the set, whatever the
+ids).  Nodes meet in buckets by key.  In each bucket every node is compared with the least
 one; the links make components.  Twice more they are compared with another one, drawn by
-a hash, if that is in another component.  Then all pairs of a bucket are compared that are
-still in different components and may be linked by their bitmaps of shingles, a bound that
-rules out no link.  So a bucket of n near copies takes about n comparisons, not n * n, and
-no link that joins two components is lost.
+a hash, if that is in another component.  What is still apart is compared inside tiles of a
+bucket, dealt with their sets: pairs of different components that their bitmaps of shingles
+leave open (a bound that rules out no link), until a link joins them.  A tile gives the links
+that join its components, fewer than it has nodes.  So a bucket of n near copies takes
+about n comparisons and never writes out its pairs, and no link that joins two components
+is lost.
 """
 
 from __future__ import annotations
@@ -102,84 +104,95 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(out).view(np.int64)
 
 
-def may_link(doc: np.ndarray, component: np.ndarray, n: np.ndarray, bits: np.ndarray, own: np.ndarray,
-             percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components (and, with two tiles, of different tiles) whose bitmaps
-    leave a link possible: a bit that the other lacks is a shingle that it lacks, which
-    bounds the intersection from above.  Pairs inside the largest component aren't formed."""
-    kinds, counts = np.unique(component, return_counts=True)
+def forest(component: np.ndarray, n: np.ndarray, bits: np.ndarray, own: np.ndarray, sets: list[np.ndarray],
+           percent: int) -> list[tuple[int, int]]:
+    """Links between nodes (by their places) that join the components that any links of a tile join.
+
+    Only pairs of different components, and with two tiles of different tiles, are looked at, and
+    of these only ones whose bitmaps leave a link possible: a bit that the other lacks is a
+    shingle that it lacks, which bounds the intersection from above.  Pairs inside the largest
+    component aren't formed."""
+    kinds, component, counts = np.unique(component, return_inverse=True, return_counts=True)
     if len(kinds) < 2:
-        return doc[:0], doc[:0]
-    out = np.flatnonzero(component != kinds[counts.argmax()])
-    ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-    spare = n - ones
-    two = own.min() != own.max()
-    a, b = [], []
+        return []
+    parent = list(range(len(kinds)))
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    spare = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    two, links = own.min() != own.max(), []
+    out = np.flatnonzero(component != counts.argmax())
     for k in range(0, len(out), 32):
         x = out[k: k + 32]
+        now = np.array([root(c) for c in range(len(kinds))])[component]
         common = np.bitwise_count(bits[x, None, :] & bits[None, :, :]).sum(axis=2, dtype=np.int64)
         most = common + np.minimum(spare[x, None], spare)
-        ok = ((100 + percent) * most >= percent * (n[x, None] + n)) & (component[x, None] != component)
+        ok = ((100 + percent) * most >= percent * (n[x, None] + n)) & (now[x, None] != now)
         if two:
             ok &= own[x, None] != own
-        i, j = np.nonzero(ok)
-        a.append(doc[x[i]])
-        b.append(doc[j])
-    a, b = np.concatenate(a), np.concatenate(b)
-    return np.minimum(a, b), np.maximum(a, b)
+        for i, j in zip(*np.nonzero(ok), strict=True):
+            a, b = int(x[i]), int(j)
+            if (p := root(component[a])) != (q := root(component[b])) and linked(sets[a], sets[b], percent):
+                parent[q] = p
+                links.append((a, b))
+    return links
 
 
-TILE = 2048  # documents of a bucket that a task compares at once with as many
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def possible_pairs(open_: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """All pairs ``a, b`` of a bucket that are apart and may be linked, tile by tile."""
-    tiles = open_.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    own = F.pmod(F.xxhash64("doc", F.lit("tile")), F.col("tiles")).cast("int")
-    rows = (open_.join(tiles, "key").join(sizes, "doc").withColumn("own", own)
-            .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            .select("key", F.least("own", "t").alias("i"), F.greatest("own", "t").alias("j"), "own", "doc",
-                    "component", "n", "bits"))
-    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+TILE, TILE_BYTES = 2048, 8 << 20  # nodes of a bucket, and bytes of their sets, that a task compares at once with as many
+
 
-    def groups(table: pa.Table):
-        doc, component, n, own_ = (table.column(c).to_numpy() for c in ("doc", "component", "n", "own"))
+def tile_links(open_: DataFrame, sized: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` that join the components of each bucket's nodes, tile by tile."""
+    met = open_.join(sized, "node")
+    # buckets of the same nodes are one; they are told by their number and two sums of hashes
+    alike = met.groupBy("key").agg(
+        F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+        F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES)).cast("int").alias("tiles"))
+    first = alike.groupBy("c", "x", "y").agg(F.min(F.struct("key", "tiles")).alias("k")).select("k.key", "k.tiles")
+    own = F.pmod(F.xxhash64("node", F.lit("tile")), F.col("tiles")).cast("int")
+    rows = (met.join(first, "key").withColumn("own", own)
+            .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+            .select("key", F.least("own", "t").alias("i"), F.greatest("own", "t").alias("j"), "own", "node",
+                    "component", "n", "bits").join(sets, "node"))
+    dealt = rows.select("key", "i", "j", "own", "node", "component", "n", "bits", "shingles").repartition(
+        "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def compared(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        own_, n = (table.column(c).to_numpy() for c in ("own", "n"))
+        component = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
         bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITMAP)
-        ids = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
-        edges = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1), len(ids)]
-        a, b = [], []
-        for x, y in zip(edges, edges[1:], strict=False):
-            if y - x > 1:
-                u, v = may_link(doc[x:y], component[x:y], n[x:y], bits[x:y], own_[x:y], percent)
-                if len(u):
-                    a.append(u)
-                    b.append(v)
-        if a:
-            both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+        packed = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles").combine_chunks()]
+        links = forest(component, n, bits, own_, packed, percent)
+        if links:
+            node = table.column("node").combine_chunks()
+            yield pa.RecordBatch.from_arrays([node.take(pa.array([x[k] for x in links])) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # whole tiles, and the one that isn't over yet
-
-        def last_key(batch):
-            return tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in range(3))
-
+        held: list[pa.RecordBatch] = []  # of the tile that isn't over yet
+        now = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            if sum(x.num_rows for x in held) > 4 * TILE:
-                table = pa.Table.from_batches(held)
-                ids = [table.column(c).to_numpy() for c in range(3)]
-                same = np.logical_and.reduce([c == v for c, v in zip(ids, last_key(batch), strict=True)])
-                begin = int(same.argmax())
-                if begin:
-                    yield from groups(table.slice(0, begin))
-                    held = table.slice(begin).combine_chunks().to_batches()
-        if held:
-            yield from groups(pa.Table.from_batches(held))
-
-    return dealt.mapInArrow(run, "a long, b long")
+            ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)], axis=1)
+            edges = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1), len(ids)]
+            for x, y in zip(edges, edges[1:], strict=False):
+                if x == y:
+                    continue
+                if tuple(ids[x]) != now:
+                    if sum(b.num_rows for b in held) > 1:
+                        yield from compared(pa.Table.from_batches(held))
+                    held, now = [], tuple(ids[x])
+                held.append(batch.slice(x, y - x))
+        if sum(b.num_rows for b in held) > 1:
+            yield from compared(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def _combine(values: np.ndarray, salt: int) -> np.ndarray:
@@ -191,33 +204,32 @@ def _combine(values: np.ndarray, salt: int) -> np.ndarray:
 
 
 SIGNATURE = T.StructType([
-    T.StructField("doc", T.LongType()), T.StructField("n", T.LongType()),
+    T.StructField("doc", T.LongType()), T.StructField("h", T.LongType()), T.StructField("n", T.LongType()),
     T.StructField("digest", T.BinaryType()), T.StructField("bits", T.ArrayType(T.LongType())),
     T.StructField("left", T.ArrayType(T.LongType())), T.StructField("right", T.ArrayType(T.LongType()))])
-SETS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("shingles", T.BinaryType())])
+SETS = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """Ids and texts, about 2 MB of text at a time."""
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Rows and their texts (the last column), about 2 MB of text at a time."""
     for batch in batches:
-        ids, texts, chars = [], [], 0
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids.append(i)
+        texts, chars, begin = [], 0, 0
+        for i, t in enumerate(batch.column(batch.num_columns - 1)):
             texts.append(t.as_py())
             chars += len(texts[-1] or "")
             if chars > 2 << 20:
-                yield ids, texts
-                ids, texts, chars = [], [], 0
-        if ids:
-            yield ids, texts
+                yield batch.slice(begin, len(texts)), texts
+                texts, chars, begin = [], 0, i + 1
+        if texts:
+            yield batch.slice(begin, len(texts)), texts
 
 
 def signatures(docs: DataFrame, words: int, side: int, width: int) -> DataFrame:
-    """Set size, digest of the set and both hash collections of each ``doc, text``."""
+    """Set size, digest of the set and both hash collections of each ``doc, h, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for ids, texts in _texts(batches):
+        for own, texts in _texts(batches):
             sets = [shingle_set(t, words, hashes) for t in texts]
             full = [i for i, s in enumerate(sets) if len(s)]
             values = minhashes([sets[i] for i in full], 2 * side * width) if full else None
@@ -229,7 +241,7 @@ def signatures(docs: DataFrame, words: int, side: int, width: int) -> DataFrame:
                     for i, row in zip(full, bands, strict=True):
                         both[c][i] = row
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                [own.column(0), own.column(1), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                  pa.array([bitmap(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                  *(pa.array(x, pa.list_(pa.int64())) for x in both)], names=[f.name for f in SIGNATURE])
@@ -240,9 +252,9 @@ def signatures(docs: DataFrame, words: int, side: int, width: int) -> DataFrame:
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for ids, texts in _texts(batches):
+        for own, texts in _texts(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()),
+                [own.column(0),
                  pa.array([shingle_set(t, words, hashes).tobytes() for t in texts], pa.binary())],
                 names=[f.name for f in SETS])
 
@@ -251,32 +263,29 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs ``a, b`` with 100 * intersection >= percent * union."""
-    held = pairs.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b").join(
-        sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb")
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in "ab"])
+    held = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(
+        sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                sx, sy = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(sx, sy, assume_unique=True))
-                keep.append(100 * both >= percent * (len(sx) + len(sy) - both))
+                keep.append(linked(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)), percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return held.mapInArrow(run, schema)
+    return held.mapInArrow(run, "a binary, b binary")
 
 
 def candidate_keys(classes: DataFrame) -> DataFrame:
-    """Rows ``key, doc``: one for each table, its key made of a hash of either collection."""
-    return classes.select("doc", F.explode(F.flatten(F.transform(
+    """Rows ``key, node``: one for each table, its key made of a hash of either collection."""
+    return classes.select("node", F.explode(F.flatten(F.transform(
         "left", lambda x: F.transform("right", lambda y: F.xxhash64(x, y))))).alias("key"))
 
 
 def _apart(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of buckets whose documents are in several components."""
-    now = (met.where("members > 2").join(labels.withColumnRenamed("id", "doc"), "doc", "left")
-           .select("key", "doc", F.coalesce("component", "doc").alias("component")))
+    """The rows of buckets whose nodes are in several components."""
+    now = (met.where("members > 2").join(labels.withColumnRenamed("id", "node"), "node", "left")
+           .select("key", "node", F.coalesce("component", "node").alias("component")))
     several = now.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where(
         "_x <> _y").select("key")
     return now.join(several, "key")
@@ -295,53 +304,54 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc: str =
     table gives no rows.  Other columns are not looked at.
     """
     small_batches(df.sparkSession, 512)
-    docs = df.select(F.col(f"`{doc}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
+    docs = df.select(F.col(f"`{doc}`").cast("long").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("h"),
+                     F.col(f"`{text}`").alias("text"))
     signed = stage(signatures(docs, words, side, width), "signatures")
-    # equal sets: the least document stands for all
-    classes = stage(signed.where("n > 0 and doc is not null").groupBy("digest").agg(
-        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+    # equal sets are one node; one row's text stands for all
+    classes = stage(signed.where("n > 0 and doc is not null").groupBy(F.col("digest").alias("node")).agg(
+        F.min(F.struct("doc", "h")).alias("who"), F.first("n").alias("n"), F.first("bits").alias("bits"),
         F.first("left").alias("left"), F.first("right").alias("right")), "classes")
-    sizes = classes.select("doc", "n", "bits")
+    sizes = classes.select("node", "n", "bits")
     keys = candidate_keys(classes)
-    leads = (keys.groupBy("key").agg(F.min("doc").alias("lead"), F.max("doc").alias("last"),
+    leads = (keys.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last"),
                                      F.count("*").alias("members"))
              .where("lead <> last").drop("last"))
-    # the keys that several documents share; a key of very many documents is split by adaptive execution
+    # the keys that several nodes share; a key of very many nodes is split by adaptive execution
     met = stage(keys.join(leads, "key"), "buckets")
-
-    texts = docs.where("doc is not null").join(met.select("doc").distinct(), "doc", "left_semi")
-    sets = stage(full_sets(texts.groupBy("doc", F.xxhash64("text").alias("_h"))
-                           .agg(F.first("text").alias("text")).select("doc", "text"), words), "sets")
+    shown = classes.join(met.select("node").distinct(), "node", "left_semi").select("node", "who.doc", "who.h")
+    texts = docs.join(shown, ["doc", "h"]).groupBy("node").agg(F.first("text").alias("text"))
+    sets = stage(full_sets(texts, words), "sets")
 
     def close(pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose sizes allow a link, and that are linked by their sets."""
         sized = (pairs.distinct()
-                 .join(sizes.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a")
-                 .join(sizes.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b")
+                 .join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+                 .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
                  .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"))
         return stage(confirm(sized, sets, percent), "links")
 
-    links = close(met.where("doc <> lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")))
+    links = close(met.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")))
     labels = components(links)
     for turn in range(random_leads + 1):
         open_ = stage(_apart(met, labels), "open")  # with two members their pair was compared above
         if open_.isEmpty():
             break
         if turn < random_leads:
-            # every bucket's documents with another one of it, drawn by a hash
+            # every bucket's nodes with another one of it, drawn by a hash
             drawn = open_.groupBy("key").agg(F.min(F.struct(
-                F.xxhash64("doc", "key", F.lit(turn)).alias("h"), "doc", "component")).alias("d"))
-            pairs = open_.join(drawn, "key").where("component <> d.component").select(
-                F.col("d.doc").alias("a"), F.col("doc").alias("b"))
-        else:  # all pairs that are still apart and may be linked
-            pairs = possible_pairs(open_, sizes, percent)
-        more = close(pairs)
+                F.xxhash64("node", "key", F.lit(turn)).alias("h"), "node", "component")).alias("d"))
+            more = close(open_.join(drawn, "key").where("component <> d.component").select(
+                F.col("d.node").alias("a"), F.col("node").alias("b")))
+        else:  # what is still apart
+            more = stage(tile_links(open_, sizes, sets, percent), "links")
         if not more.isEmpty():
             links = links.unionAll(more)
             labels = components(links)
 
-    of_class = (classes.select("digest", "doc").join(labels.withColumnRenamed("id", "doc"), "doc", "left")
-                .select("digest", F.coalesce("component", "doc").alias("_c")))
+    of_node = stage(classes.select("node", "who.doc").join(labels.withColumnRenamed("id", "node"), "node", "left")
+                    .select("node", "doc", F.coalesce("component", "node").alias("component")), "labels")
+    least = of_node.groupBy("component").agg(F.min("doc").alias("_c"))
+    of_class = of_node.select(F.col("node").alias("digest"), "component").join(least, "component").drop("component")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("_c", "doc"))
     return (signed.select("doc", "n", "digest").join(of_class, "digest", "left")
             .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),

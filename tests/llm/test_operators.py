@@ -135,10 +135,46 @@ def test_bitmap_bound_never_rules_out_a_link():
     for size in (1, 5, 200, 3000):
         a, b = base[:size], np.concatenate([base[: int(size * 0.93)], rng.integers(0, 1 << 63, max(1, size // 20), dtype=np.uint64)])
         both = len(np.intersect1d(a, b))
-        u, _ = minhash.may_link(np.array([1, 2]), np.array([1, 2]), np.array([len(a), len(b)]),
-                                np.stack([minhash.bitmap(x) for x in (a, b)]).view(np.uint64), np.zeros(2, int), 85)
-        if 100 * both >= 85 * (len(a) + len(b) - both):
-            assert len(u)
+        found = minhash.forest(np.array([1, 2]), np.array([len(a), len(b)]),
+                               np.stack([minhash.bitmap(x) for x in (a, b)]).view(np.uint64), np.zeros(2, int),
+                               [np.unique(a), np.unique(b)], 85)
+        assert len(found) == int(100 * both >= 85 * (len(a) + len(b) - both))
+
+
+def test_a_tile_gives_a_forest_of_its_links():
+    """Many near copies in components of their own: as many links as join them, not all pairs."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[k % 3:], rng.integers(0, 1 << 63, 2, dtype=np.uint64)])) for k in range(300)]
+    sets += [rng.integers(0, 1 << 63, 300, dtype=np.uint64) for _ in range(50)]
+    sets = [np.unique(s) for s in sets]
+    n, bits = np.array([len(s) for s in sets]), np.stack([minhash.bitmap(s) for s in sets]).view(np.uint64)
+    for own in (np.zeros(350, int), np.arange(350) % 2):
+        links = minhash.forest(np.arange(350), n, bits, own, sets, 85)
+        assert len(links) == 299 and {x for p in links for x in p} == set(range(300))
+
+
+def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
+    rng = random.Random(8)
+    a, b = (" ".join(str(rng.randrange(999)) for _ in range(80)) for _ in range(2))
+    rows = [(7, a), (7, b), (3, b + " more"), (9, a.upper()), (8, a + " 1 2")]
+    got = sorted(tuple(r) for r in minhash.near_duplicates(docs_of(spark, rows), 3, 85).select(
+        "doc_id", "n_shingles", "component_id", "kept").collect())
+    assert got == sorted([(7, 78, 7, True), (7, 78, 3, False), (3, 79, 3, True), (9, 78, 7, False), (8, 80, 7, False)])
+
+
+def test_tiles_find_what_the_leads_leave_apart(spark):
+    """No random leads, small tiles, the registered number of hashes: chains of copies of copies."""
+    rng = random.Random(12)
+    texts = []
+    for c in range(3):
+        w = [str(rng.randrange(10**6)) for _ in range(120)]
+        for k in range(40):
+            w = list(w)
+            w[(7 * k) % 120] = f"x{c}-{k}"
+            texts.append((100 * c + k, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, texts), 3, 85, random_leads=0).collect()}
+    assert got == {i: 100 * (i // 100) for i, _ in texts}
 
 
 def vectors(spark):
