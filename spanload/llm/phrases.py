@@ -5,7 +5,11 @@ begins too many suffixes for the memory budget (estimated from a sample) is spli
 prefixes one word longer, until each fits or has full depth.  Prefixes are then dealt into
 groups of about half of ``budget`` different suffixes, and each group's subtree is built by
 one task of its own from its sorted suffixes: a node's count is the sum of its leaves.  A split
-prefix's leaves lie in several groups, whose sums are added.
+prefix's leaves lie in several groups, whose sums are added.  Which prefixes are split is a
+bitmap of their hashes, of fixed size too: one that is wrongly in it is split for nothing.
+
+A task sends each group one packed block for some two million suffixes: the words that the
+group's suffixes have, their numbers and counts, compressed.
 
 Only phrases that occur ``least`` times matter, and no phrase is commoner than its words, so a
 suffix ends before a word that can't be common: a bitmap of fixed size (``BITS``) holds the
@@ -14,6 +18,7 @@ hashes of all common words of a language; one that is wrongly let through costs
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -68,22 +73,28 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _bitmap(common: DataFrame) -> np.ndarray:
-    """One bit for each hash that a common word has: at most ``BITS`` / 8 bytes reach the driver."""
+def _word_bits(b: pa.RecordBatch) -> np.ndarray:
+    return np.array([_bit(x, w.encode("utf-8", "surrogatepass")) for x, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)], np.int64)
+
+
+def _hash_bits(b: pa.RecordBatch) -> np.ndarray:
+    return (b.column(0).to_numpy().view(np.uint64) >> np.uint64(20)).astype(np.int64) % BITS
+
+
+def _bitmap(rows: DataFrame, places) -> np.ndarray:
+    """A bit for each row, at the place that ``places`` gives: ``BITS`` / 8 bytes at most reach the driver."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(BITS, bool)
         for b in batches:
-            for lang, word in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                bits[_bit(lang, word.encode("utf-8", "surrogatepass"))] = True
+            bits[places(b)] = True
         packed = np.packbits(bits).reshape(-1, 1024)
         some = np.flatnonzero(packed.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([packed[i].tobytes() for i in some], pa.binary())],
                                          names=["part", "bits"])
 
     out = np.zeros((BITS // 8 // 1024, 1024), np.uint8)
-    parts = common.select("lang", "phrase").mapInArrow(mark, "part int, bits binary")
-    merged = parts.groupBy("part").applyInArrow(_merge_bits, "part int, bits binary")
+    merged = rows.mapInArrow(mark, "part int, bits binary").groupBy("part").applyInArrow(_merge_bits, "part int, bits binary")
     for part, bits in merged.collect():
         out[part] = np.frombuffer(bytes(bits), np.uint8)
     return out.reshape(-1)
@@ -131,72 +142,110 @@ class _Suffixes:
         self.parts.append(packed[begun])
         self.held += len(self.parts[-1])
 
-    def batch(self) -> pa.RecordBatch:
+    def drain(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Words' numbers (a row of ``DEPTH`` for each different suffix), counts, and hashes of the first
+        one, two ... words; then it starts anew, but for ``words``."""
         found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.parts]), return_counts=True)
-        words = pa.array(self.words, pa.binary()).cast(pa.string())
-        cols = []
+        numbers = np.stack([(found >> np.uint64(16 * (DEPTH - 1 - j)) & np.uint64(0xFFFF)).astype(np.uint16)
+                            for j in range(DEPTH)], axis=1)
+        own = np.fromiter((zlib.crc32(w) << 32 | zlib.crc32(w, 1) for w in self.words), np.uint64, len(self.words))
+        own = np.concatenate([np.zeros(1, np.uint64), own])
+        hashes, h = [], np.uint64(zlib.crc32(self.lang.encode()))
         for j in range(DEPTH):
-            number = (found >> np.uint64(16 * (DEPTH - 1 - j)) & np.uint64(0xFFFF)).astype(np.int64)
-            cols.append(words.take(pa.array(number - 1, mask=number == 0)))
-        joined = pc.binary_join_element_wise(*cols, " ", null_handling="skip")
-        out = pa.RecordBatch.from_arrays([pa.array([self.lang] * len(found), pa.string()), joined,
-                                          pa.array(n, pa.int64())], names=["lang", "suffix", "n"])
-        self.clear()
-        return out
+            h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + own[numbers[:, j]])
+            hashes.append(h)
+        self.parts, self.held = [], 0
+        return numbers, n, hashes
+
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def _bits(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes >> np.uint64(20)).astype(np.int64) % BITS
+    return (bitmap[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
+
+
+def _drained(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[_Suffixes]:
+    """Each language's suffixes whenever many have come together."""
+    held: dict[str, _Suffixes] = {}
+    total = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            own = held.get(lang) or held.setdefault(lang, _Suffixes(lang, bitmap))
+            split = tokens(text)
+            for lo in range(0, len(split), SPAN):
+                before = own.held
+                own.add(split[lo: lo + SPAN + DEPTH - 1], min(SPAN, len(split) - lo))
+                total += own.held - before
+                if len(own.words) > LOCAL - SPAN - DEPTH:
+                    total -= own.held
+                    yield held.pop(lang)
+                    own = held.setdefault(lang, _Suffixes(lang, bitmap))
+            if total >= BUFFER:
+                yield from held.values()
+                held, total = {}, 0
+    yield from held.values()
+
+
+def _prefix_hashes(bitmap: np.ndarray):
+    """How many different suffixes begin with each prefix, by its hash."""
 
-def _suffixes(bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, _Suffixes] = {}
-        total = 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = held.get(lang) or held.setdefault(lang, _Suffixes(lang, bitmap))
-                split = tokens(text)
-                for lo in range(0, len(split), SPAN):
-                    before = own.held
-                    own.add(split[lo: lo + SPAN + DEPTH - 1], min(SPAN, len(split) - lo))
-                    total += own.held - before
-                    if len(own.words) > LOCAL - SPAN - DEPTH:
-                        total -= own.held
-                        yield own.batch()
-                if total >= BUFFER:
-                    yield from (x.batch() for x in held.values())
-                    held, total = {}, 0
-        yield from (x.batch() for x in held.values())
+        for own in _drained(batches, bitmap):
+            found, n = np.unique(np.concatenate(own.drain()[2][:-1]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
 
     return run
 
 
-# ---- groups of prefixes ----------------------------------------------------------------------
+_HEAD = struct.Struct("<II")
 
 
-_SUFFIX = "lang string, suffix string, n long"
-_NODE = "lang string, phrase string, words int, n long, whole boolean"
+def _blocks(bitmap: np.ndarray, split: np.ndarray, groups: int):
+    """Packed suffixes for each group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in _drained(batches, bitmap):
+            numbers, n, hashes = own.drain()
+            depth, key = np.ones(len(n), np.uint8), hashes[0]
+            for j in range(1, DEPTH):
+                deeper = (depth == j) & _bits(split, key)
+                depth, key = depth + deeper, np.where(deeper, hashes[j], key)
+            group = (key % np.uint64(groups)).astype(np.int64)
+            order = np.argsort(group, kind="stable")
+            edges = [0, *(np.flatnonzero(np.diff(group[order])) + 1), len(order)] if len(order) else [0]
+            out = []
+            for a, b in zip(edges, edges[1:], strict=False):
+                rows = order[a:b]
+                used, local = np.unique(numbers[rows], return_inverse=True)
+                words = b" ".join(own.words[k - 1] for k in used if k)
+                local = local.reshape(-1, DEPTH) + (0 if used[0] == 0 else 1)  # 0: no word
+                raw = (_HEAD.pack(len(rows), len(words)) + words + local.T.astype(np.uint16).tobytes()
+                       + n[rows].astype(np.uint32).tobytes() + depth[rows].astype(np.uint8).tobytes())
+                out.append((int(group[rows[0]]), zlib.compress(raw, 1)))
+            yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], pa.int64()), pa.array([own.lang] * len(out), pa.string()),
+                                              pa.array([x for _, x in out], pa.binary())], names=["group", "lang", "block"])
+
+    return run
 
 
-def _deepened(rows: DataFrame, split: list[DataFrame]) -> DataFrame:
-    """``rows`` with ``depth``: words of the first prefix of the suffix that isn't split."""
-    rows = rows.withColumn("depth", F.lit(1))
-    for words, large in enumerate(split, 1):
-        at = (F.col("depth") == words) & (F.col("lang") == F.col("l")) & (F.substring_index("suffix", " ", words) == F.col("p"))
-        rows = (rows.join(large.withColumn("deeper", F.lit(1)), at, "left")
-                .withColumn("depth", F.col("depth") + F.coalesce("deeper", F.lit(0))).drop("l", "p", "deeper"))
-    return rows
+def _unpacked(block: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    raw = zlib.decompress(block)
+    rows, size = _HEAD.unpack_from(raw)
+    at = _HEAD.size + size
+    numbers = np.frombuffer(raw, np.uint16, DEPTH * rows, at).reshape(DEPTH, rows)
+    at += 2 * DEPTH * rows
+    return (raw[_HEAD.size: _HEAD.size + size].split(b" "), numbers, np.frombuffer(raw, np.uint32, rows, at),
+            np.frombuffer(raw, np.uint8, rows, at + 4 * rows))
 
 
-def _split(sample: DataFrame, most: float) -> list[DataFrame]:
-    """For 1, 2 ... words, the prefixes ``l, p`` that begin more than ``most`` suffixes of the sample."""
-    split: list[DataFrame] = []
-    for words in range(1, DEPTH):
-        prefix = F.substring_index("suffix", " ", words)
-        large = stage(_deepened(sample, split).where((F.col("depth") == words) & (F.size(F.split("suffix", " ")) > words))
-                      .groupBy(F.col("lang").alias("l"), prefix.alias("p")).agg(F.count("*").alias("rows"))
-                      .where(F.col("rows") > most).select("l", "p"), "phrases-split")
-        if large.isEmpty():
-            break
-        split.append(large)
-    return split
+# ---- groups of prefixes ----------------------------------------------------------------------
+
+
+_NODE = "lang string, phrase string, words int, n long, whole boolean"
 
 
 def _subtree(least: int):
@@ -204,17 +253,19 @@ def _subtree(least: int):
     leaves, and those of split prefixes, which have leaves elsewhere, as they are."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        split = pc.split_pattern(table["suffix"].combine_chunks(), " ")
-        words = split.flatten().dictionary_encode()
-        langs = table["lang"].combine_chunks().dictionary_encode()
-        lengths = pc.list_value_length(split).to_numpy()
-        codes, first = words.indices.to_numpy().astype(np.int64) + 1, np.cumsum(lengths) - lengths
-        columns = [np.where(lengths > j, codes[np.minimum(first + j, len(codes) - 1)], 0) for j in range(DEPTH)]
-        lang, kinds = langs.indices.to_numpy().astype(np.int64), len(words.dictionary) + 1
+        place: dict[bytes, int] = {}
+        langs: dict[str, int] = {}
+        parts: list[tuple] = []
+        for lang, block in zip(table["lang"].to_pylist(), table["block"], strict=True):
+            words, numbers, n, depth = _unpacked(block.as_py())
+            own = np.fromiter((place.setdefault(w, len(place) + 1) for w in words), np.int64, len(words))
+            own = np.concatenate([np.zeros(1, np.int64), own])
+            parts.append((np.full(len(n), langs.setdefault(lang, len(langs))), own[numbers], n.astype(np.int64), depth))
+        lang, n, depth = (np.concatenate([x[k] for x in parts]) for k in (0, 2, 3))
+        columns, kinds = list(np.concatenate([x[1] for x in parts], axis=1)), len(place) + 1
         order = np.lexsort([columns[2] * kinds + columns[3], (lang * kinds + columns[0]) * kinds + columns[1]])
-        n, depth = table["n"].to_numpy()[order], table["depth"].to_numpy()[order]
-        columns, lang = [c[order] for c in columns], lang[order]
+        n, depth, columns, lang = n[order], depth[order], [c[order] for c in columns], lang[order]
+        words, names = pa.array(list(place), pa.binary()).cast(pa.string()), pa.array(list(langs), pa.string())
         new = np.concatenate([[True], lang[1:] != lang[:-1]])
         out = []
         for j, column in enumerate(columns):  # a node begins where its first j + 1 words differ from those before
@@ -226,8 +277,8 @@ def _subtree(least: int):
             whole = depth[at] <= j + 1
             keep = (column[at] > 0) & (~whole | (count >= least))
             at, count = at[keep], count[keep]
-            parts = [words.dictionary.take(pa.array(c[at] - 1)) for c in columns[: j + 1]]
-            out.append(pa.table({"lang": langs.dictionary.take(pa.array(lang[at])), "phrase": pc.binary_join_element_wise(*parts, " "),
+            phrase = pc.binary_join_element_wise(*[words.take(pa.array(c[at] - 1)) for c in columns[: j + 1]], " ")
+            out.append(pa.table({"lang": names.take(pa.array(lang[at])), "phrase": phrase,
                                  "words": pa.array(np.full(len(at), j + 1), pa.int32()), "n": pa.array(count, pa.int64()),
                                  "whole": pa.array(whole[keep])}))
         return pa.concat_tables(out)
@@ -242,19 +293,17 @@ def phrase_counts(docs: DataFrame, least: int, budget: int = BUDGET) -> tuple[Da
         words = stage(docs.mapInArrow(_count_words, "lang string, phrase string, n long").groupBy("lang", "phrase")
                       .agg(F.sum("n").alias("n")), "phrases-words")
         common = words.where(F.col("n") >= least)
-        bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(common))  # BITS / 8 bytes
-
-        def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _suffixes(bitmap.value)(batches)
-
+        context = docs.sparkSession.sparkContext
+        bitmap = context.broadcast(_bitmap(common.select("lang", "phrase"), _word_bits))  # BITS / 8 bytes, as is the next
         total = common.agg(F.sum("n")).first()[0] or 0  # at least as many as there are different suffixes
         budget = min(budget, max(LEAST_ROWS, total // 64))  # few rows: as many groups as tasks can use
-        sample = stage(docs.sample(SAMPLED, 1).mapInArrow(suffixes, _SUFFIX), "phrases-sample")
         # a prefix of more than a SPLIT-th of the budget is split, so that groups, dealt by hash, are about alike
-        split = _split(sample, max(0, budget / SPLIT * SAMPLED))
-        rows = _deepened(docs.mapInArrow(suffixes, _SUFFIX), split)
-        group = F.pmod(F.xxhash64("lang", F.expr("substring_index(suffix, ' ', depth)")), F.lit(2 * total // budget + 1))
-        nodes = stage(rows.withColumn("group", group).groupBy("group").applyInArrow(_subtree(least), _NODE), "phrases-nodes")
+        prefixes = (docs.sample(SAMPLED, 1).mapInArrow(lambda x: _prefix_hashes(bitmap.value)(x), "h long, n long")
+                    .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > max(0, budget / SPLIT * SAMPLED)))
+        split = context.broadcast(_bitmap(prefixes.select("h"), _hash_bits))
+        groups = 2 * total // budget + 1
+        blocks = docs.mapInArrow(lambda x: _blocks(bitmap.value, split.value, groups)(x), "group long, lang string, block binary")
+        nodes = stage(blocks.groupBy("group").applyInArrow(_subtree(least), _NODE), "phrases-nodes")
     added = nodes.where("not whole").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     counts = (nodes.where("whole").drop("whole").unionByName(added)
               .unionByName(common.withColumn("words", F.lit(1)).select("lang", "phrase", "words", "n")))

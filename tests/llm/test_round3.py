@@ -167,13 +167,15 @@ def phrase_docs():
 def test_phrases_equal_brute_force(spark, budget, monkeypatch):
     docs = phrase_docs()
     df = spark.createDataFrame([(t, x, 1, "p", 2) for x, t in docs], "text string, lang string, n long, phrase string, words long").repartition(3)
-    own, depths = phrases._split, []
+    own, split = phrases._bitmap, []
 
-    def watched(sample, most):
-        depths.append(own(sample, most))
-        return depths[-1]
+    def watched(rows, places):
+        out = own(rows, places)
+        if places is phrases._hash_bits:
+            split.append(int(np.bitwise_count(out).sum()))
+        return out
 
-    monkeypatch.setattr(phrases, "_split", watched)
+    monkeypatch.setattr(phrases, "_bitmap", watched)
     if budget < 100:  # prefixes are split down to full depth
         monkeypatch.setattr(phrases, "LEAST_ROWS", 1)
         monkeypatch.setattr(phrases, "SPLIT", 4)
@@ -181,7 +183,7 @@ def test_phrases_equal_brute_force(spark, budget, monkeypatch):
     for top in (2000, 7):
         got = sorted(tuple(r) for r in phrases.collocations(df, least=12, top=top, budget=budget).collect())
         assert got == plain_phrases(docs, 12, top)
-    assert [len(d) for d in depths] == ([3, 3] if budget < 100 else [0, 0])
+    assert all(n > 500 for n in split) if budget < 100 else split == [0, 0]
 
 
 def toxic_docs(n=700):
