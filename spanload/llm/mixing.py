@@ -9,7 +9,9 @@ domain's tokens, sum of r * tokens * posterior over all tokens, meets its target
 with w_d the document's share of all tokens and s_k the domain's share at r = 1.  The
 gradient of a document needs only the K residuals, so a step of projected gradient is one
 aggregation over a narrow table; every rate is recomputed from the residuals of the steps
-so far (written after every few steps), and only K numbers a step reach the driver.
+so far (written after every few steps), and only K numbers a step reach the driver.  Documents
+of a domain that isn't to be thinned out have rates of at least 1: the projection is onto
+those, and all targets are for so many times the tokens that this can be.
 """
 
 from __future__ import annotations
@@ -36,17 +38,18 @@ def _rate(steps: list[list[float]], stay: float, size: float) -> Column:
         for i, e in enumerate(step):
             slope = slope + F.lit(float(e)) * F.element_at("p", i + 1)
         # rate - size * (slope + stay * (rate - 1)), with the rate named once
-        rate = F.greatest(F.lit(0.0), rate * F.lit(1 - size * stay) + F.lit(size * stay) - F.lit(size) * slope)
+        rate = F.greatest(F.col("floor"), rate * F.lit(1 - size * stay) + F.lit(size * stay) - F.lit(size) * slope)
     return rate
 
 
-def fit_rates(table: DataFrame, targets: list[float | None], stay: float = 1e-3, most_steps: int = 40,
-              close: float = 5e-4) -> tuple[DataFrame, list[float]]:
-    """``table`` (posteriors ``p``, ``tokens``) with ``rate``, and the shares that gives.
+def fit_rates(table: DataFrame, targets: list[float | None], stay: float = 1e-3, whole: int | None = None,
+              close: float = 5e-4, still: float = 1e-6, most_steps: int = 1000) -> tuple[DataFrame, list[float]]:
+    """``table`` (posteriors ``p``, ``tokens``) with ``rate``, and the shares of the mixed tokens.
 
-    A target of None leaves the domain free.  The fit is to shares of the tokens before
-    mixing; the shares returned are of the mixed tokens.  Warns if the steps end before the
-    targets are met.
+    A target of None leaves the domain free.  Documents of domain ``whole`` (from 0; a posterior
+    above 0.5) have rates of at least 1.  Steps go on until every target is met within
+    ``close``, or until nothing moves any more (by ``still`` a step): the targets can't all be met
+    then, what comes back is the nearest, and a warning says so.
     """
     k = len(targets)
 
@@ -55,41 +58,31 @@ def fit_rates(table: DataFrame, targets: list[float | None], stay: float = 1e-3,
             F.sum(F.col("r") * F.col("tokens") * F.element_at("p", i + 1)).alias(f"s{i}") for i in range(k)]).first()
         return [float(row["n"] or 0), *(float(row[f"s{i}"] or 0) for i in range(k))]
 
-    table = table.withColumn("rate0", F.lit(1.0))
+    least = F.lit(0.0) if whole is None else F.when(F.element_at("p", whole + 1) > 0.5, 1.0).otherwise(0.0)
+    table = table.withColumn("rate0", F.lit(1.0)).withColumn("floor", least)
     total, *shares = sums(F.col("rate0"))
     shares = [s / total if total else 0.0 for s in shares]
     base = [max(s, 1e-9) for s in shares]
+    times = max(1.0, base[whole] / targets[whole]) if whole is not None and targets[whole] else 1.0
+    goals = [None if t is None else t * times for t in targets]
     steps: list[list[float]] = []
-    size = 1 / (1 + stay)
-    for step in range(most_steps + 1 if total else 0):
-        residual = [0.0 if t is None or b <= 1e-9 else s - t for s, t, b in zip(shares, targets, base, strict=True)]
+    size, done, before = 1 / (1 + stay), 0, None
+    while total:
+        residual = [0.0 if t is None or b <= 1e-9 else s - t for s, t, b in zip(shares, goals, base, strict=True)]
         if max(map(abs, residual)) < close:
             break
-        if step == most_steps:
-            warnings.warn(f"targets {targets} not met in {most_steps} steps: shares {shares}", stacklevel=2)
+        if before is not None and max(abs(x - y) for x, y in zip(shares, before, strict=True)) < still:
+            warnings.warn(f"targets {goals} can't be met, nearest shares {shares}", stacklevel=2)
             break
+        if done == most_steps:
+            raise RuntimeError(f"targets {goals} neither met nor given up in {most_steps} steps: shares {shares}")
         if len(steps) == TOGETHER:
             table = stage(table.withColumn("rate0", _rate(steps, stay, size)), "rates")
             steps = []
         steps.append([r / b for r, b in zip(residual, base, strict=True)])
-        shares = [s / total for s in sums(_rate(steps, stay, size))[1:]]
+        before, shares, done = shares, [s / total for s in sums(_rate(steps, stay, size))[1:]], done + 1
     mixed = sum(shares) or 1.0
-    return table.withColumn("rate", _rate(steps, stay, size)), [s / mixed for s in shares]
-
-
-def keep_whole(table: DataFrame, k: int) -> DataFrame:
-    """``table`` (``p``, ``tokens``, ``rate``) with all rates scaled up, if domain ``k`` (from 0) is
-    thinned out, so that each of its documents (posterior above 0.5) has a rate of at least 1.
-
-    One factor for all leaves the shares of the mixed tokens as they are.
-    """
-    own = F.element_at("p", k + 1)
-    row = table.where("tokens > 0").agg(
-        (F.sum(F.col("rate") * F.col("tokens") * own) / F.sum(F.col("tokens") * own)).alias("mean"),
-        F.min(F.when(own > 0.5, F.col("rate"))).alias("least")).first()
-    if row["mean"] is None or row["mean"] >= 1 or not row["least"] or row["least"] >= 1:
-        return table
-    return table.withColumn("rate", F.col("rate") / F.lit(float(row["least"])))
+    return table.withColumn("rate", _rate(steps, stay, size)).drop("floor"), [s / mixed for s in shares]
 
 
 def mix(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], doc: str = "doc_id", text: str = "text",
@@ -103,7 +96,7 @@ def mix(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], doc: str
     Tokens are words; null and empty texts have none, their rate has no bearing on the
     shares.  Repeated rows all come back, with one rate.  Without labels or tokens all
     rates are 1.  A domain that no document belongs to cannot reach its target.  ``whole``: a
-    domain of which no document is to be thinned out; where it would be, all rates are scaled up.
+    domain of which no document is to be thinned out: its documents have rates of at least 1.
     """
     docs = df.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("text"))
     known = labels.select(F.col(f"`{label_doc}`").alias("doc"), F.col(f"`{label}`").cast("string").alias("label"))
@@ -114,9 +107,7 @@ def mix(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], doc: str
     total = sum(max(0.0, float(targets[c])) for c in model.classes if c in targets)
     goals = [max(0.0, float(targets[c])) / total if c in targets and total else None for c in model.classes]
     if len(goals) > 1 and total:
-        table, _ = fit_rates(table, goals, stay)
-        if whole in model.classes:
-            table = keep_whole(table, model.classes.index(whole))
+        table, _ = fit_rates(table, goals, stay, model.classes.index(whole) if whole in model.classes else None)
     else:
         table = table.withColumn("rate", F.lit(1.0))
     chance = F.pmod(F.xxhash64(F.col("row_key"), F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))

@@ -99,13 +99,13 @@ def _roots(n: int, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return root
 
 
-def compare_tiles(home: pd.DataFrame, probe: pd.DataFrame | None, block: int, rotation: np.ndarray,
+def compare_tiles(home: pd.DataFrame, probe: pd.DataFrame | None, block: int, rotation: np.ndarray | None,
                   blocks: list[np.ndarray], cosine: float) -> pd.DataFrame:
     """Links of the pairs that this block owns; ``probe`` None: pairs within ``home``."""
     rows = home if probe is None else pd.concat([home, probe], ignore_index=True)
     ids, weights = rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64)
     units = unit(np.stack(rows["vector"].to_numpy()))
-    turned = rotate(units, rotation)
+    turned = units if rotation is None else rotate(units, rotation)
     n, dims = len(home), units.shape[1]
     whole = 2 * (1 - cosine)
     budget = [whole * len(b) / dims + 1e-9 for b in blocks]
@@ -129,20 +129,6 @@ def compare_tiles(home: pd.DataFrame, probe: pd.DataFrame | None, block: int, ro
     return _forest(ids, counts, links)
 
 
-def compare_all(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Links of all pairs of so few vectors of one length."""
-    ids, weights = rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64)
-    units = unit(np.stack(rows["vector"].to_numpy()))
-    counts, links = np.zeros(len(rows), np.int64), []
-    for i, j in _pairs(units, units, 2 * (1 - cosine) + 1e-5, True):
-        near = (units[i] * units[j]).sum(axis=1) >= cosine
-        i, j = i[near], j[near]
-        counts += np.bincount(i, weights[j], len(rows)).astype(np.int64)
-        counts += np.bincount(j, weights[i], len(rows)).astype(np.int64)
-        links.append((i, j))
-    return _forest(ids, counts, links)
-
-
 def _forest(ids: np.ndarray, counts: np.ndarray, links: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
     found = np.flatnonzero(counts)
     if not len(found):
@@ -168,17 +154,12 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, vec: str = "vec_id", embedd
     good = usable(F.col("vector")) & F.col("id").isNotNull()
     classes = stage(rows.where(good).groupBy("vector").agg(
         F.min("id").alias("id"), F.count("*").alias("copies")), "vector-classes")
+    # lengths of more vectors than a tile (at most the number of vectors / tile) get a rotation and are
+    # cut into cells; any rotation is right, so others are joined block by block as they are
     dims = F.size("vector")
-    sizes = classes.groupBy(dims.alias("dims")).agg(F.count("*").alias("n"))
-    # lengths that few vectors have are compared together, a task's group each; of the others
-    # there are at most the number of vectors / tile
-    few = classes.join(sizes.where(F.col("n").between(2, tile)), dims == F.col("dims"))
-    parts = [few.groupBy("dims").applyInPandas(lambda pdf: compare_all(pdf, cosine), FOUND)]
-    for r in sizes.where(F.col("n") > tile).orderBy("dims").collect():
-        parts.append(_links_of(classes.where(dims == r["dims"]), r["dims"], cosine, block_dims, tile))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionAll(p)
+    sizes = classes.groupBy(dims.alias("dims")).agg(F.count("*").alias("n")).where(F.col("n") > tile)
+    rotations = {r["dims"]: _fitted(classes.where(dims == r["dims"]), r["dims"]) for r in sizes.orderBy("dims").collect()}
+    found = _links(classes, rotations, cosine, block_dims, tile)
     found = stage(found, "vector-links")
     totals = found.groupBy("id").agg(F.sum("links").alias("links"))
     labels = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
@@ -193,33 +174,47 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, vec: str = "vec_id", embedd
                     F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")))
 
 
-def _links_of(classes: DataFrame, dims: int, cosine: float, block_dims: int, tile: int) -> DataFrame:
-    """Link counts and forest edges among vectors of one length."""
+def _fitted(classes: DataFrame, dims: int) -> np.ndarray:
     sample = [r[0] for r in classes.select("vector", F.xxhash64("id").alias("h")).orderBy("h").limit(
         FIT_ROWS).select("vector").collect()]
-    rotation = fit_rotation(unit(np.array(sample, np.float64).reshape(-1, dims)), dims)
-    blocks = blocks_of(dims, block_dims)
-    radius = [math.sqrt(2 * (1 - cosine) * len(b) / dims) * 1.0001 + 1e-5 for b in blocks]
-    axes = rotation[:, [b[0] for b in blocks]]
+    return fit_rotation(unit(np.array(sample, np.float64).reshape(-1, dims)), dims)
+
+
+def _links(classes: DataFrame, rotations: dict[int, np.ndarray], cosine: float, block_dims: int, tile: int) -> DataFrame:
+    """Link counts and forest edges among vectors of each length."""
+
+    def cut(dims: int) -> tuple[np.ndarray | None, list[np.ndarray]]:
+        return rotations.get(dims), blocks_of(dims, block_dims)
 
     def cells(batches):
         for pdf in batches:
-            lead = rotate(unit(np.stack(pdf["vector"].to_numpy())), axes) if len(pdf) else None
-            for b in range(len(blocks)) if len(pdf) else ():
-                yield pdf.assign(block=np.int32(b), cell=np.floor(lead[:, b] / radius[b]).astype(np.int32))
-
-    schema = T.StructType([*classes.schema, T.StructField("block", T.IntegerType()),
-                           T.StructField("cell", T.IntegerType())])
+            for dims, own in pdf.groupby(pdf["vector"].map(len)) if len(pdf) else ():
+                rotation, blocks = cut(dims)
+                if rotation is None:  # one group, all blocks in turn
+                    yield own.assign(dims=np.int32(dims), block=np.int32(-1), cell=np.int32(0))
+                    continue
+                lead = rotate(unit(np.stack(own["vector"].to_numpy())), rotation[:, [b[0] for b in blocks]])
+                for b, block in enumerate(blocks):
+                    radius = math.sqrt(2 * (1 - cosine) * len(block) / dims) * 1.0001 + 1e-5
+                    yield own.assign(dims=np.int32(dims), block=np.int32(b), cell=np.floor(lead[:, b] / radius).astype(np.int32))
+
+    schema = T.StructType([*classes.schema, *(T.StructField(c, T.IntegerType()) for c in ("dims", "block", "cell"))])
     dealt = classes.mapInPandas(cells, schema)
+    many = F.col("dims").isin(list(rotations))  # the others are one cell, one tile
     # coordinates of unit vectors lie in [-1, 1]: at most 2 / radius + 2 cells a block
-    tiles = stage(dealt.groupBy("block", "cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles")), "tiles")
-    table = {(r["block"], r["cell"]): r["tiles"] for r in tiles.collect()}
+    tiles = stage(dealt.where(many).groupBy("dims", "block", "cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles")),
+                  "tiles")
+    table = {(r["dims"], r["block"], r["cell"]): r["tiles"] for r in tiles.collect()}
 
     def number(shift: int):
-        keys = F.struct("block", (F.col("cell") + shift).alias("cell"))
-        entries = [x for (b, c), n in sorted(table.items())
-                   for x in (F.struct(F.lit(b).alias("block"), F.lit(c).alias("cell")), F.lit(n))]
-        return F.coalesce(F.element_at(F.create_map(*entries), keys), F.lit(0)) if entries else F.lit(0)
+        """Tiles of the row's cell, or of the next one."""
+        few = F.lit(int(shift == 0))
+        if not table:
+            return few
+        key = F.struct("dims", "block", (F.col("cell") + shift).alias("cell"))
+        entries = [x for (d, b, c), n in sorted(table.items()) for x in (
+            F.struct(F.lit(d).alias("dims"), F.lit(b).alias("block"), F.lit(c).alias("cell")), F.lit(n))]
+        return F.when(many, F.coalesce(F.element_at(F.create_map(*entries), key), F.lit(0))).otherwise(few)
 
     placed = dealt.withColumn("_own", F.pmod(F.xxhash64("id"), number(0)).cast("int"))
     same = F.transform(F.sequence(F.lit(0), number(0) - 1), lambda t: F.struct(
@@ -232,15 +227,17 @@ def _links_of(classes: DataFrame, dims: int, cosine: float, block_dims: int, til
     behind = F.when(number(-1) > 0, F.transform(F.sequence(F.lit(0), number(-1) - 1), lambda t: F.struct(
         F.lit(1).alias("to"), t.alias("i"), F.col("_own").alias("j"), F.lit(True).alias("probe"),
         (F.col("cell") - 1).alias("cell")))).otherwise(F.array())
-    copies = placed.select("id", "vector", "copies", "block", F.explode(F.concat(same, ahead, behind)).alias("u"))
-    units = copies.select("id", "vector", "copies", "block", "u.cell", "u.to", "u.i", "u.j", "u.probe")
+    copies = placed.select("id", "vector", "copies", "dims", "block", F.explode(F.concat(same, ahead, behind)).alias("u"))
+    units = copies.select("id", "vector", "copies", "dims", "block", "u.cell", "u.to", "u.i", "u.j", "u.probe")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         one = pdf.iloc[0]
         within = one["to"] == 0 and one["i"] == one["j"]
         home, probe = pdf[~pdf["probe"]], pdf[pdf["probe"]]
-        if not within and (home.empty or probe.empty):
+        if len(pdf) < 2 or not within and (home.empty or probe.empty):
             return pd.DataFrame({f.name: pd.Series(dtype="int64") for f in FOUND})
-        return compare_tiles(home, None if within else probe, int(one["block"]), rotation, blocks, cosine)
+        rotation, blocks = cut(int(one["dims"]))
+        own = range(len(blocks)) if one["block"] < 0 else [int(one["block"])]
+        return pd.concat([compare_tiles(home, None if within else probe, b, rotation, blocks, cosine) for b in own])
 
-    return units.groupBy("block", "cell", "to", "i", "j").applyInPandas(compare, FOUND)
+    return units.groupBy("dims", "block", "cell", "to", "i", "j").applyInPandas(compare, FOUND)

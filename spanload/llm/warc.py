@@ -195,8 +195,9 @@ def read(manifest: DataFrame, split_bytes: int = 4 << 20) -> DataFrame:
     ranges = (manifest.where("bytes > 0")
               .select("file", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1,
                                                             F.lit(split_bytes).cast("long"))).alias("start")))
-    # a range is a unit of work, not a key: spread them evenly over the cluster
-    ranges = ranges.repartition(F.xxhash64("file", "start"))
+    # a range is a unit of work, not a key: dealt out in turn to a stated number of tasks, which
+    # adaptive execution doesn't put together, small as the rows are
+    ranges = ranges.repartition(max(1, ranges.count()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -237,7 +237,10 @@ def test_warc_splits_of_any_size_and_revisits(spark, tmp_path):
                         "revisit" if best.get(h, i) != i else "response", best[h] if best.get(h, i) != i else None))
                   for i, _, h in pages)
     for split in (37, 1000, 1 << 22):
-        got = warc.read(manifest, split).collect()
+        read = warc.read(manifest, split)
+        got = read.collect()
+        ranges = sum(-(-r.bytes // split) for r in manifest.collect())
+        assert read.rdd.getNumPartitions() == max(1, ranges)  # as many tasks as ranges, not one
         assert sorted(repr((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in got) == want
 
 
@@ -287,20 +290,49 @@ def test_rates_meet_the_targets(spark):
     assert (r >= 0).all() and np.abs((r * t) @ p / t.sum() - [0.6, 0.3, 0.1]).max() < 2e-3
 
 
-def test_a_domain_is_kept_whole(spark):
-    """With 2 % toxic tokens for a target of 5 %, no good document has a rate below 1."""
-    rows = [([0.999, 0.001] if i % 50 else [0.001, 0.999], 100) for i in range(500)]
-    fitted, _ = mixing.fit_rates(spark.createDataFrame(rows, "p array<double>, tokens long"), [0.95, 0.05])
-    assert fitted.where("p[0] > 0.5").agg({"rate": "min"}).first()[0] < 1
-    p, r = (np.array(x) for x in zip(*[(x.p, x.rate) for x in mixing.keep_whole(fitted, 0).collect()], strict=True))
-    assert r[p[:, 0] > 0.5].min() >= 1
+def plain_rates(p, t, goals, stay, floor):
+    """The same least squares, solved to the end in numpy."""
+    w, base = t / t.sum(), (t / t.sum()) @ p
+    r = np.ones(len(p))
+    for _ in range(20000):
+        slope = p @ ((r * w) @ p / base - np.array(goals) / base) + stay * (r - 1)
+        r = np.maximum(floor, r - slope / (1 + stay))
+    return r
+
+
+@pytest.mark.parametrize("goals, whole", [([0.5, 0.3, 0.2], None), ([0.3, 0.2, 0.5], 0)])
+def test_rates_equal_a_plain_solver(spark, goals, whole):
+    rng = np.random.default_rng(6)
+    p = rng.dirichlet([0.4, 0.4, 0.4], 300)
+    t = rng.integers(1, 400, 300)
+    table = spark.createDataFrame([([float(x) for x in q], int(n)) for q, n in zip(p, t, strict=True)], "p array<double>, tokens long")
+    fitted, shares = mixing.fit_rates(table, goals, 0.05, whole, close=0.0, still=1e-7)
+    got = {tuple(x.p): x.rate for x in fitted.collect()}
+    base = (t / t.sum()) @ p
+    times = 1.0 if whole is None else max(1.0, base[whole] / goals[whole])
+    want = plain_rates(p, t, [g * times for g in goals], 0.05, np.where(p[:, 0] > 0.5, 1.0, 0.0) if whole == 0 else 0.0)
+    assert max(abs(got[tuple(float(x) for x in q)] - r) for q, r in zip(p, want, strict=True)) < 1e-3
+    assert np.abs(np.array(shares) - (want * t) @ p / (want * t).sum()).max() < 1e-5
+
+
+@pytest.mark.parametrize("rare", [2, 50])
+def test_a_domain_is_kept_whole(spark, rare):
+    """With more or fewer toxic tokens than the target's 5 %, no good document has a rate below 1,
+    even with one whose posterior is doubtful, and none is taken without end."""
+    rows = [([0.999, 0.001] if i % rare else [0.001, 0.999], 100) for i in range(500)] + [([0.500001, 0.499999], 100)]
+    fitted, shares = mixing.fit_rates(spark.createDataFrame(rows, "p array<double>, tokens long"), [0.95, 0.05], whole=0)
+    p, r = (np.array(x) for x in zip(*[(x.p, x.rate) for x in fitted.collect()], strict=True))
+    assert r[p[:, 0] > 0.5].min() >= 1 and r.max() < 10
     assert np.abs(r @ p / r.sum() - [0.95, 0.05]).max() < 2e-3
 
 
-def test_unmet_targets_are_reported(spark):
+def test_targets_that_cannot_be_met_are_reported(spark):
     table = spark.createDataFrame([([0.5, 0.5], 10), ([0.6, 0.4], 10)], "p array<double>, tokens long")
-    with pytest.warns(UserWarning, match="not met in 3 steps"):
-        mixing.fit_rates(table, [0.05, 0.95], most_steps=3)
+    with pytest.warns(UserWarning, match="can't be met"):
+        _, shares = mixing.fit_rates(table, [0.05, 0.95], still=1e-3)
+    assert 0.5 <= shares[0] < 0.56
+    with pytest.raises(RuntimeError, match="in 2 steps"):
+        mixing.fit_rates(table, [0.05, 0.95], most_steps=2)
 
 
 def test_scores_add_up_and_the_base_is_exact(spark):
