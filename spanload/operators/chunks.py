@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanload.functions.keys import key_seconds
+from spanload.operators.order_stats import bucket_search
 from spanload.operators.splits import KeyRanges, with_chunk
 
 
@@ -89,17 +90,22 @@ def guard_empty_chunks(report: DataFrame, on_empty: str = "error") -> DataFrame:
 
 
 def chunk_balance(frames: dict[str, tuple[DataFrame, KeyRanges]]) -> DataFrame:
-    """X4 — per method: chunks, min/max/avg rows and max/avg imbalance."""
+    """X4 — per method: chunks, min/max/avg rows and max/avg imbalance.
+
+    Methods on one frame share one scan: each row is labelled by all of them at once."""
     parts = []
+    by_frame: dict[int, tuple[DataFrame, dict[str, KeyRanges]]] = {}
     for method, (df, ranges) in frames.items():
-        counts = chunk_report(df, ranges)
-        parts.append(counts.agg(
-            F.lit(method).alias("method"),
-            F.count(F.lit(1)).alias("chunks"),
-            F.min("rows").alias("min_rows"),
-            F.max("rows").alias("max_rows"),
-            F.sum("rows").alias("total_rows"),
-        ))
+        by_frame.setdefault(id(df), (df, {}))[1][method] = ranges
+    for df, methods in by_frame.values():
+        label = F.explode(F.array(*[F.struct(F.lit(m).alias("method"), r.chunk_of().cast("int").alias("chunk"))
+                                    for m, r in methods.items()])).alias("x")
+        counts = df.select(label).groupBy("x.method", "x.chunk").agg(F.count(F.lit(1)).alias("rows"))
+        every = df.sparkSession.createDataFrame([(m, r.n_chunks) for m, r in methods.items()], "method string, n int")
+        every = every.select("method", F.explode(F.expr("sequence(0, n - 1)")).alias("chunk"))
+        parts.append(every.join(counts, ["method", "chunk"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+                     .groupBy("method").agg(F.count(F.lit(1)).alias("chunks"), F.min("rows").alias("min_rows"),
+                                            F.max("rows").alias("max_rows"), F.sum("rows").alias("total_rows")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -107,6 +113,80 @@ def chunk_balance(frames: dict[str, tuple[DataFrame, KeyRanges]]) -> DataFrame:
         "imbalance", F.round(F.col("max_rows") * F.col("chunks") / F.col("total_rows"), 6))
 
 
+# Points of a range table that are searched together, and buckets of them at most.
+POINTS_TOGETHER, MOST_BUCKETS = 2048, 1 << 14
+
+
+def assign_by_table(df: DataFrame, key: str, table: DataFrame, name: str = "chunk") -> DataFrame:
+    """X1 for range tables of any size — add the number of the range that holds each row's key.
+
+    ``table``: ``chunk`` (0, 1, 2 ...) and ``start_id``, ascending together; a null start is open.
+    Neighbouring ranges are put into buckets, of which only the first starts are literals
+    (``MOST_BUCKETS`` at most); rows meet their bucket by an equi-join, and its starts are
+    searched in halves there.  A key that very many rows have makes one large join key, which
+    adaptive execution splits.  Rows with a null key, or one before the first start, get null.
+    """
+    n = (table.agg(F.max("chunk")).first()[0] or 0) + 1
+    size = max(POINTS_TOGETHER, -(-n // MOST_BUCKETS))
+    starts = table.select(F.floor(F.col("chunk") / size).cast("int").alias("_b"), "chunk", "start_id")
+    buckets = starts.groupBy("_b").agg(F.sort_array(F.collect_list(F.struct("chunk", "start_id"))).alias("_s"))
+    dtype = df.schema[key].dataType
+    firsts = [r[0] for r in table.where((F.col("chunk") % size == 0) & (F.col("chunk") > 0)).orderBy("chunk")
+              .select("start_id").collect()]
+    bucket = bucket_search(F.col(key), firsts, dtype, point=False) if firsts else F.lit(0)
+    rows = df.withColumn("_b", F.when(F.col(key).isNotNull(), bucket.cast("int")))
+    powers = F.array(*[F.lit(1 << i) for i in reversed(range(size.bit_length()))])
+
+    def half(at, step):
+        start = F.get(F.col("_s"), at + step - 1)
+        return F.when((at + step <= F.size("_s")) & (start["start_id"].isNull() | (start["start_id"] <= F.col(key))),
+                      at + step).otherwise(at)
+
+    place = F.aggregate(powers, F.lit(0), half)
+    return (rows.join(buckets, "_b", "left")
+            .withColumn(name, F.when(F.col("_s").isNotNull(), F.get(F.col("_s"), place - 1)["chunk"]))
+            .drop("_b", "_s"))
+
+
+# ---- reconciliation ---------------------------------------------------------------------------
+
+
+def fingerprints(df: DataFrame, ranges: KeyRanges) -> DataFrame:
+    """X2 — rows per chunk and two sums of row hashes, which don't depend on the rows' order.
+
+    A lost, doubled or changed row changes them; sums are exact (no overflow, no rounding)."""
+    cols = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    null = F.concat_ws(",", *[c.isNull().cast("string") for c in cols])  # a hash passes nulls over
+
+    def total(seed: int):
+        return F.sum(F.xxhash64(F.lit(seed), null, *cols).cast("decimal(20,0)"))
+
+    return (with_chunk(df, ranges).groupBy("chunk")
+            .agg(F.count(F.lit(1)).alias("rows"), total(1).alias("one"), total(2).alias("two")))
+
+
+def reconcile(source: DataFrame, published: DataFrame, ranges: KeyRanges) -> DataFrame:
+    """X2 — rows of each chunk on both sides, and whether they are the same rows."""
+    a, b = (fingerprints(d.select(*sorted(source.columns)), ranges) for d in (source, published))
+    both = a.select("chunk", *[F.col(c).alias(f"a_{c}") for c in ("rows", "one", "two")]).join(
+        b.select("chunk", *[F.col(c).alias(f"b_{c}") for c in ("rows", "one", "two")]), "chunk", "full")
+    same = F.lit(True)
+    for c in ("rows", "one", "two"):
+        same = same & F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))
+    return both.select("chunk", F.coalesce("a_rows", F.lit(0)).alias("source_rows"),
+                       F.coalesce("b_rows", F.lit(0)).alias("published_rows"), same.alias("same"))
+
+
+def differences(source: DataFrame, published: DataFrame, ranges: KeyRanges) -> DataFrame:
+    """X2 — the rows that one side has more often, with ``surplus``: how many more the published side
+    has (negative: lost).  Only chunks whose fingerprints differ are compared row by row."""
+    cols = sorted(source.columns)
+    differ = [r["chunk"] for r in reconcile(source, published, ranges).where("not same").collect()]  # chunks: few
+    sides = [with_chunk(d.select(*cols), ranges).where(F.col("chunk").isin(differ)).withColumn("_side", F.lit(v).cast("long"))
+             for d, v in ((source, -1), (published, 1))]
+    return (sides[0].unionByName(sides[1]).groupBy(*cols).agg(F.sum("_side").alias("surplus")).where("surplus <> 0"))
+
+
 # Period lengths of the key-time profile, in seconds.
 PROFILE_UNITS = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 

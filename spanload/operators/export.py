@@ -204,3 +204,24 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_extract("path", r"chunk=(\d+)", 1).cast("int").alias("chunk"),
         F.regexp_extract("path", r"part=(\d+)", 1).cast("int").alias("part"),
         F.col("length").alias("file_bytes"))
+
+
+def write_sorted(df: DataFrame, path: str, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """O1 — write rows in one total order; returns the files in that order.
+
+    Rows are dealt by ranges of ``keys`` and then of a hash and the place of the row, so that rows
+    of one key value, or equal rows, that are many go to several files.  Nulls come
+    first.  The result, one row a file: ``file, rows, before`` (rows in the files before it)
+    and ``first, last`` (structs of the keys).
+    """
+    order = [*keys, "_tie", "_place"]
+    tied = stage(df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]))
+                 .withColumn("_place", F.monotonically_increasing_id()), "unsorted")
+    parts = tied.repartitionByRange(partitions, *order) if partitions else tied.repartitionByRange(*order)
+    parts.sortWithinPartitions(*order).drop("_tie", "_place").write.parquet(path)
+    bounds = F.struct(*[F.col(f"`{k}`") for k in keys])
+    files = (df.sparkSession.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file"))
+             .agg(F.count(F.lit(1)).alias("rows"), F.min(bounds).alias("first"), F.max(bounds).alias("last")))
+    # part-00000-..., part-00001-...: the writer numbers files by range
+    upto = Window.partitionBy(F.lit(0)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # over the files alone
+    return files.withColumn("before", F.coalesce(F.sum("rows").over(upto), F.lit(0)))

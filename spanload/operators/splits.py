@@ -180,18 +180,17 @@ def sample_keys(df: DataFrame, key: str, size: int = SAMPLE_SIZE, seed: int = 42
                 total: int | None = None) -> list[Any]:
     """``size`` random keys (all keys when the table has no more than that).
 
-    Bernoulli pre-sampling keeps the final top-``size`` ordering step small on
-    big tables; the result is bounded by ``size`` rows.
+    Those of least MD5 of the key and ``seed``: each task keeps its least ``size``, merged at the
+    end, so the sample doesn't depend on files, partitions or order.  Keys of a table are
+    its rows' identities; one that several rows share is drawn as often, or not at all.
     """
-    keys = df.select(key)
+    keys = df.select(F.col(key).alias("k"))
     if total is None:
         total = keys.count()
     if total <= size:
         return [r[0] for r in keys.collect()]
-    frac = min(1.0, (1.2 * size + 50.0 * (size ** 0.5)) / total)
-    picked = (keys.sample(False, frac, seed)
-              .orderBy(F.rand(seed)).limit(size).collect())
-    return [r[0] for r in picked]
+    drawn = F.md5(F.concat(F.col("k").cast("string"), F.lit(f":{seed}")))
+    return [r[0] for r in keys.orderBy(drawn, "k").limit(size).collect()]
 
 
 def split_sample(df: DataFrame, key: str, n: int | None = None, *,

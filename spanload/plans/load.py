@@ -174,8 +174,12 @@ def _stage_typed(rows: DataFrame, spec: TableSpec, opts: LoadOptions) -> DataFra
     typed = conform.conform_typed(packed, spec.schema, on_bad="reject", reason="_reason",
                                   keep=["_key", "_chunk", "_src"], rename_id=opts.rename_id)
     is_bad = F.col("_reason").isNotNull()
-    line = (F.when(~is_bad, F.to_json(F.struct(*[F.col(f.name) for f in spec.schema.fields])))
-            if opts.export_root else F.lit(None).cast("string"))
+    line = F.lit(None).cast("string")
+    if opts.export_root:  # W1 — the line is the cleaned source row, as on the document path
+        text = F.to_json("_src", {"ignoreNullFields": "false"})
+        typed = clean.clean_documents(typed.withColumn("_raw", F.when(~is_bad, text)), "_raw",
+                                      conform.string_fields(spec.schema), rename_id=opts.rename_id, line="_ln", reason="_cr")
+        line = F.when(~is_bad, F.col("_ln"))
     out = typed.select(
         "_key", "_chunk", "_reason",
         (is_bad & (F.col("_reason") != F.lit(clean.NON_FINITE))).alias("_schema_bad"),

@@ -281,6 +281,39 @@ def q_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+@register("sort_full", """
+SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_orderkey END, o_orderkey) - 1 AS place
+FROM orders""")
+def q_sort_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 — a total order over files; a third of the rows have one first key."""
+    rows = read_table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_orderkey")).alias("k"), "o_orderkey")
+    path = scratch_path(spark, "sorted")
+    files = export.write_sorted(rows, path, ["k", "o_orderkey"], partitions=16)
+    back = spark.read.parquet(path).select("o_orderkey", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("i"))
+    return back.join(files.select("file", "before"), "file").select("o_orderkey", (F.col("before") + F.col("i")).alias("place"))
+
+
+@register("export_both_ways", """
+SELECT CAST(count(*) AS BIGINT) AS lines, CAST(count(*) AS BIGINT) AS equal, true AS has_unnamed FROM orders""")
+def q_export_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 — the typed path and the document path export the same documents, with columns that the
+    table's schema doesn't name."""
+    orders = read_table(spark, sf_dir, "orders")
+    named = [f for f in load.typed_schema_spec(orders.schema) if f["name"] in ("o_orderkey", "o_custkey", "o_orderstatus")]
+    lines = []
+    for fast in (True, False):
+        root = scratch_path(spark, "both")
+        r = load.load_table(spark, orders, events_spec(named, "orders.json"), fresh_warehouse(spark, f"both-{fast}".lower()),
+                            load.LoadOptions(key="o_orderkey", chunks=3, method="count", export_root=root, typed_fast_path=fast))
+        lines.append(spark.read.text(r.export_path + "/parts").select(
+            F.get_json_object("value", "$.o_orderkey").alias("key"), F.parse_json("value").cast("string").alias("doc")))
+    a, b = lines
+    both = a.join(b.withColumnRenamed("doc", "other"), "key", "full")
+    return both.agg(F.count("doc").alias("lines"), F.count(F.when(F.col("doc") == F.col("other"), 1)).alias("equal"),
+                    F.every(F.get_json_object("doc", "$.o_totalprice").isNotNull()).alias("has_unnamed"))
+
+
 # --------------------------------------------------------------------------
 # W4–W12, A6 — publish into a run-private warehouse, return what was published
 

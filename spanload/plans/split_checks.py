@@ -7,7 +7,7 @@ oracle at test scale and is exactly what the operators avoid at scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanload.functions.keys import epoch_micros, epoch_seconds, key_seconds
@@ -386,3 +386,68 @@ def q_ranges_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ranges") + "/events.json"
     range_files.write_ranges(spark, splits.split_count(df, "key", 8), path)
     return chunks.chunk_report(df, range_files.read_ranges(spark, path, key="key"))
+
+
+# --------------------------------------------------------------------------
+# X1 — a range table with as many ranges as there are orders
+
+
+@register("chunk_assign_table", """
+WITH p AS (SELECT o_orderkey AS start_id, row_number() OVER (ORDER BY o_orderkey) - 1 AS chunk FROM orders WHERE o_orderkey % 3 <> 0)
+SELECT l.l_orderkey, l.l_linenumber, CAST(coalesce(p.chunk, -1) AS BIGINT) AS chunk
+FROM lineitem l ASOF LEFT JOIN p ON l.l_orderkey >= p.start_id""")
+def q_chunk_assign_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts = read_table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("start_id"))
+    numbered = starts.withColumn("chunk", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("start_id")).cast("long") - 1)
+    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return chunks.assign_by_table(rows, "l_orderkey", numbered).withColumn("chunk", F.coalesce("chunk", F.lit(-1).cast("long")))
+
+
+# --------------------------------------------------------------------------
+# R3/O3 — the sample of a table larger than it
+
+
+@register("sample_keys", """
+SELECT l_orderkey * 10 + l_linenumber AS key FROM lineitem
+ORDER BY md5(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) || ':42'), key LIMIT 10000""")
+def q_sample_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = read_table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"))
+    return spark.createDataFrame([(k,) for k in splits.sample_keys(df, "key")], "key long")
+
+
+# --------------------------------------------------------------------------
+# X2 — published rows against the source, by fingerprint
+
+PUBLISHED = """
+WITH a AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders),
+b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+      FROM a WHERE o_orderkey % 1000 <> 11 UNION ALL SELECT * FROM a WHERE o_orderkey % 1000 = 13)"""
+
+
+def _published(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    a = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    kind = F.col("o_orderkey") % 1000
+    price = F.when(kind == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return a, a.where(kind != 11).withColumn("o_totalprice", price).unionAll(a.where(kind == 13))
+
+
+@register("reconcile_rows", PUBLISHED + """
+SELECT *, CAST(sum(s) AS BIGINT) AS surplus FROM (SELECT *, -1 AS s FROM a UNION ALL SELECT *, 1 FROM b)
+GROUP BY o_orderkey, o_custkey, o_totalprice HAVING sum(s) <> 0""".replace("SELECT *, CAST(sum", "SELECT o_orderkey, o_custkey, o_totalprice, CAST(sum"))
+def q_reconcile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 — changed, lost and doubled rows are each found."""
+    a, b = _published(spark, sf_dir)
+    return chunks.differences(a, b, splits.split_count(a, "o_orderkey", 20))
+
+
+@register("reconcile_chunks", PUBLISHED + """,
+src AS (SELECT o_orderkey AS key FROM a),""" + sp_count(20, 0) + """,
+c AS (SELECT CAST((SELECT count(*) FROM sp WHERE sp.key <= o_orderkey) AS INTEGER) AS chunk, s, o_orderkey, o_custkey, o_totalprice
+      FROM (SELECT *, 0 AS s FROM a UNION ALL SELECT *, 1 FROM b)),
+d AS (SELECT chunk, sum(s - (1 - s)) AS n FROM c GROUP BY chunk, o_orderkey, o_custkey, o_totalprice)
+SELECT c.chunk, CAST(sum(1 - s) AS BIGINT) AS source_rows, CAST(sum(s) AS BIGINT) AS published_rows,
+       any_value(x.same) AS same
+FROM c JOIN (SELECT chunk, bool_and(n = 0) AS same FROM d GROUP BY chunk) x ON x.chunk = c.chunk GROUP BY c.chunk""")
+def q_reconcile_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = _published(spark, sf_dir)
+    return chunks.reconcile(a, b, splits.split_count(a, "o_orderkey", 20))

@@ -132,3 +132,16 @@ def test_a_line_that_a_third_of_the_rows_hold_is_one_row_a_task(spark):
     # no window partition holds more than a bucket's share
     runs = parted.where("key = 5").groupBy("part").count()
     assert runs.count() >= 50
+
+
+def test_sorted_files_hold_one_order(spark):
+    """A key with a third of the rows, and equal rows, go to several files, in order inside and across."""
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"), F.lit("x").alias("_place2"))
+    path = scratch_path(spark, "t-sorted")
+    files = export.write_sorted(df, path, ["k"], partitions=12).orderBy("before").collect()
+    assert sum(f["rows"] for f in files) == 9000
+    assert all(a["last"]["k"] <= b["first"]["k"] and a["before"] + a["rows"] == b["before"] for a, b in zip(files, files[1:]))
+    assert sum(f["first"]["k"] <= 5 <= f["last"]["k"] for f in files) >= 3
+    for f in files:
+        keys = [r["k"] for r in spark.read.parquet(f"{path}/{f['file']}").collect()]
+        assert keys == sorted(keys) and (keys[0], keys[-1]) == (f["first"]["k"], f["last"]["k"])

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from spanload.operators import chunks, splits
+from spanload.operators import chunks, order_stats, splits
 from spanload.sources.tables import events_with_key, orders_with_key, read_table
 from tests.conftest import SF001, SF01
 
@@ -144,3 +144,56 @@ def test_count_split_narrowing_seeded_by_counting_pass(spark):
         if not want or ks[i * per - 1] != want[-1]:
             want.append(ks[i * per - 1])
     assert r.points == want
+
+
+def test_a_split_takes_two_scans(spark):
+    """One scan counts and sketches, one finishes; ties and a key with a third of the rows included."""
+    li = read_table(spark, SF01, "lineitem").withColumn(
+        "k", F.when(F.col("l_linenumber") <= 2, F.lit(7).cast("long")).otherwise(F.col("l_orderkey")))
+    own, scans = order_stats._finish, []
+    order_stats._finish = lambda *a: scans.append(1) or own(*a)
+    try:
+        found = splits.split_count(li, "k", 10)
+    finally:
+        order_stats._finish = own
+    keys = sorted(r[0] for r in li.select("k").collect())
+    want = []
+    for i in range(1, 10):
+        k = keys[i * (len(keys) // 10) - 1]
+        if not want or want[-1] != k:
+            want.append(k)
+    assert found.points == want and len(scans) == 1
+
+
+@pytest.mark.parametrize("n", [10, 50_000])
+def test_assignment_by_a_range_table(spark, n):
+    """As the literal expression, for few ranges and for tens of thousands; no nested loop."""
+    rows = spark.range(20000).select((F.col("id") * 31 % 100_003).alias("key")).union(
+        spark.range(10000).select(F.lit(77_777).cast("long"))).union(spark.createDataFrame([(None,)], "key long"))
+    points = [i * (100_000 // n) for i in range(1, n)]
+    ranges = splits.KeyRanges("key", rows.schema["key"].dataType, points)
+    got = chunks.assign_by_table(rows, "key", ranges.to_df(spark))
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.where("key is null").select("chunk").collect()[0][0] is None
+    import bisect
+    assert all(r["chunk"] == bisect.bisect_right(points, r["key"]) for r in got.where("key is not null").collect())
+
+
+def test_samples_do_not_depend_on_the_layout(spark):
+    df = spark.range(30000).select((F.col("id") * 7919 % 1_000_003).alias("k"))
+    drawn = [sorted(splits.sample_keys(df.repartition(p), "k", 500)) for p in (1, 3, 17)]
+    assert drawn[0] == drawn[1] == drawn[2] and len(set(drawn[0])) == 500
+    assert sorted(splits.sample_keys(df, "k", 500, seed=7)) != drawn[0]
+
+
+def test_fingerprints_find_what_differs(spark):
+    rows = [(i, "a" if i % 2 else None, float(i)) for i in range(100)]
+    a = spark.createDataFrame(rows, "k long, s string, x double")
+    ranges = splits.KeyRanges("k", a.schema["k"].dataType, [25, 50, 75])
+    assert chunks.reconcile(a, a.repartition(5), ranges).where("not same").count() == 0
+    assert chunks.differences(a, a.repartition(5), ranges).count() == 0
+    b = spark.createDataFrame([*rows[:10], *rows[11:30], (30, "", 30.0), *rows[31:], rows[60]], a.schema)  # lost, null to empty, doubled
+    assert [r["chunk"] for r in chunks.reconcile(a, b, ranges).where("not same").orderBy("chunk").collect()] == [0, 1, 2]
+    found = sorted((r["k"], r["s"], r["surplus"]) for r in chunks.differences(a, b, ranges).collect() if r["k"] != 30)
+    assert found == [(10, None, -1), (60, None, 1)]
+    assert {(r["s"], r["surplus"]) for r in chunks.differences(a, b, ranges).where("k = 30").collect()} == {(None, -1), ("", 1)}
