@@ -44,6 +44,8 @@ from spanload.operators.conform import check_columns
 
 log = logging.getLogger(__name__)
 
+#: Sink types: how a version's files are written and the table over them is declared.
+SINKS = {"parquet": {}, "json": {"compression": "gzip"}}
 KEPT_VERSIONS = 1  # beside the current one
 ORPHAN_HOURS = 24.0
 _DB_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
@@ -90,19 +92,36 @@ def new_version(spark: SparkSession, full_name: str) -> str:
     return f"{versions_root(spark, full_name)}/{run_stamp()}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}"
 
 
+def _described(spark: SparkSession, full_name: str, what: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").where(F.col("col_name") == what).collect()
+    return rows[-1]["data_type"]  # after the columns, one of which may have that name
+
+
 def location(spark: SparkSession, full_name: str) -> str:
     """The folder that a table is pointed at."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+    return _described(spark, full_name, "Location")
+
+
+def sink_of(spark: SparkSession, full_name: str) -> str:
+    """The type of the files that a table reads."""
+    return _described(spark, full_name, "Provider").lower()
 
 
-def create_table(spark: SparkSession, full_name: str, schema: StructType, path: str | None = None) -> None:
-    """W6 — create a parquet table, empty or over the files at ``path``; creating twice raises."""
+def check_sink(sink: str) -> str:
+    """S9 — the sink's type; an unknown one fails."""
+    if sink not in SINKS:
+        raise ValueError(f"unsupported sink type {sink!r}, there are {sorted(SINKS)}")
+    return sink
+
+
+def create_table(spark: SparkSession, full_name: str, schema: StructType, path: str | None = None,
+                 sink: str = "parquet") -> None:
+    """W6 — create a table, empty or over the files at ``path``; creating twice raises."""
     if path is None:
         path = new_version(spark, full_name)
         fs, folder = _files(spark, path)
         fs.mkdirs(folder)
-    spark.catalog.createTable(full_name, path=path, source="parquet", schema=schema)
+    spark.catalog.createTable(full_name, path=path, source=check_sink(sink), schema=schema)
 
 
 def drop_table(spark: SparkSession, full_name: str, files: bool = True) -> None:
@@ -112,33 +131,38 @@ def drop_table(spark: SparkSession, full_name: str, files: bool = True) -> None:
         delete_path(spark, versions_root(spark, full_name))
 
 
-def write_version(spark: SparkSession, df: DataFrame, schema: StructType, path: str) -> int:
+def write_version(spark: SparkSession, df: DataFrame, schema: StructType, path: str, sink: str = "parquet") -> int:
     """Write rows of the schema's columns; returns how many (observed on the write itself)."""
     check_columns(schema, df.schema)
     obs = Observation(f"load_{uuid.uuid4().hex}")
     ordered = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    ordered.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    counted = ordered.observe(obs, F.count(F.lit(1)).alias("rows"))
+    counted.write.format(check_sink(sink)).options(**SINKS[sink]).save(path)
     return int(obs.get["rows"])
 
 
-def point(spark: SparkSession, full_name: str, schema: StructType, path: str) -> None:
-    """W10 — make a table read the files at ``path``: created, moved, or made anew with another schema."""
+def point(spark: SparkSession, full_name: str, schema: StructType, path: str, sink: str = "parquet") -> None:
+    """W10 — make a table read the files at ``path``: created, moved, or made anew with another
+    schema or type."""
     if not table_exists(spark, full_name):
-        create_table(spark, full_name, schema, path)
+        create_table(spark, full_name, schema, path, sink)
         return
     current = [(f.name, f.dataType) for f in spark.table(full_name).schema.fields]
-    if current == [(f.name, f.dataType) for f in schema.fields]:
+    if current == [(f.name, f.dataType) for f in schema.fields] and sink_of(spark, full_name) == sink:
         quoted = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{quoted}'")
         return
     pending = f"{versions_root(spark, full_name)}/_pending"
-    spark.createDataFrame([(path, json.dumps(schema.jsonValue()))], "path string, schema string").coalesce(1).write.mode(
+    spark.createDataFrame([(path, json.dumps(schema.jsonValue()), sink)], _PENDING).coalesce(1).write.mode(
         "overwrite").json(pending)
     drop_table(spark, full_name, files=False)
-    create_table(spark, full_name, schema, path)
+    create_table(spark, full_name, schema, path, sink)
     delete_path(spark, pending)
 
 
+_PENDING = "path string, schema string, sink string"
+
+
 def finish_pending(spark: SparkSession, full_name: str) -> bool:
     """Create the table that a run wrote down and dropped but, being ended, didn't create."""
     pending = f"{versions_root(spark, full_name)}/_pending"
@@ -146,8 +170,8 @@ def finish_pending(spark: SparkSession, full_name: str) -> bool:
         return False
     made = False
     if not table_exists(spark, full_name):
-        row = spark.read.schema("path string, schema string").json(pending).first()
-        create_table(spark, full_name, StructType.fromJson(json.loads(row["schema"])), row["path"])
+        row = spark.read.schema(_PENDING).json(pending).first()
+        create_table(spark, full_name, StructType.fromJson(json.loads(row["schema"])), row["path"], row["sink"])
         made = True
     delete_path(spark, pending)
     return made
@@ -171,10 +195,10 @@ def remove_old_versions(spark: SparkSession, full_name: str, keep: int = KEPT_VE
 
 def truncate_load(spark: SparkSession, df: DataFrame, full_name: str) -> int:
     """W8/A6 — replace an existing table's rows at once; returns the rows written."""
-    schema = spark.table(full_name).schema
+    schema, sink = spark.table(full_name).schema, sink_of(spark, full_name)
     path = new_version(spark, full_name)
-    rows = write_version(spark, df, schema, path)
-    point(spark, full_name, schema, path)
+    rows = write_version(spark, df, schema, path, sink)
+    point(spark, full_name, schema, path, sink)
     return rows
 
 
@@ -204,7 +228,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def publish(spark: SparkSession, typed: DataFrame, schema: StructType, table: str,
-            wh: Warehouse, overwrite: bool = False, use_staging: bool = True) -> dict:
+            wh: Warehouse, overwrite: bool = False, use_staging: bool = True, sink: str = "parquet") -> dict:
     """Create/overwrite/skip rules, then one write and a change of the table's location.
 
     Returns ``{"status": "ok"|"skipped", "rows": n}``.
@@ -215,11 +239,11 @@ def publish(spark: SparkSession, typed: DataFrame, schema: StructType, table: st
         log.info("table %s already exists, skipping", final)
         return {"status": "skipped", "rows": None}
     path = new_version(spark, final)
-    rows = write_version(spark, typed, schema, path)
+    rows = write_version(spark, typed, schema, path, sink)
     if use_staging:  # W9 — a name for the complete load, always rebuilt
         staging = wh.name(table, staging=True)
         drop_table(spark, staging)
-        create_table(spark, staging, schema, path)
-    point(spark, final, schema, path)
+        create_table(spark, staging, schema, path, sink)
+    point(spark, final, schema, path, sink)
     remove_old_versions(spark, final)
     return {"status": "ok", "rows": rows}

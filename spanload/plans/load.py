@@ -41,6 +41,7 @@ class LoadOptions:
     range_folder: str | None = None  # R5: else the file <folder>/<source table>.json, where there is one
     overwrite: bool = False
     use_staging: bool = True
+    sink: str = "parquet"  # S9: the type of the table's files, see publish.SINKS
     part_limit: int = GIB  # W2: raw bytes per part
     export_root: str | None = None  # None → no JSON-lines side output
     keep_export: bool = True
@@ -71,6 +72,7 @@ def load_table(spark: SparkSession, source: DataFrame, spec: TableSpec,
     opts = opts or LoadOptions()
     if opts.on_bad == "reject" and not (opts.reject_root or opts.export_root):
         raise ValueError("on_bad='reject' needs reject_root or export_root to keep the rejects in")
+    publish.check_sink(opts.sink)
     t0 = time.time()
     res = LoadResult(spec.table, "ok")
     final = wh.name(spec.table)
@@ -239,7 +241,7 @@ def _load_staged(spark: SparkSession, staged: DataFrame, spec: TableSpec,
     # typed columns are already in the stage: the load parses nothing
     loadable = staged.where(~is_bad).select(*[F.col(f.name) for f in spec.schema.fields])
     out = publish.publish(spark, loadable, spec.schema, spec.table, wh,
-                          overwrite=opts.overwrite, use_staging=opts.use_staging)
+                          overwrite=opts.overwrite, use_staging=opts.use_staging, sink=opts.sink)
     res.status = out["status"]
     res.rows = out["rows"]
     res.reject_reasons = {r[0]: r[1] for r in staged.where(is_bad)

@@ -365,6 +365,23 @@ def q_publish_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("id", "user_id", "value", "note", F.size("tags").alias("n_tags"), "meta")
 
 
+@register("publish_json", f"""
+SELECT {HEX} AS id, user_id, value, {NOTE_SQL} AS note,
+       CAST(CASE WHEN event_id % 5 = 4 THEN 1 ELSE 0 END AS INTEGER) AS n_tags, {META_SQL} AS meta, 'json' AS sink
+FROM {LOADED}""")
+def q_publish_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 — the same load into a table of JSON lines, over a parquet table that was there before."""
+    wh = fresh_warehouse(spark, "json")
+    spec = events_spec()
+    for sink in ("parquet", "json"):
+        load.load_table(spark, event_docs(spark, sf_dir), spec, wh, load.LoadOptions(
+            on_bad="reject", reject_root=scratch_path(spark, "rejects"), key="_id", chunks=4, method="count", sink=sink,
+            overwrite=True))
+    t = spark.table(wh.name(spec.table))
+    return t.select("id", "user_id", "value", "note", F.size("tags").alias("n_tags"), "meta",
+                    F.lit(publish.sink_of(spark, wh.name(spec.table))).alias("sink"))
+
+
 OK_DOCS = f"({EVENTS_OK}) WHERE outcome = 'ok'"
 
 

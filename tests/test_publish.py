@@ -191,3 +191,17 @@ def test_versions_that_no_table_took_go_after_their_time(spark, monkeypatch):
     assert publish.remove_old_versions(spark, wh.name("t")) == []
     assert len(publish.remove_old_versions(spark, wh.name("t"), orphan_hours=-1)) == 1
     assert [tuple(r) for r in spark.table(wh.name("t")).collect()] == [("a", 1)]
+
+
+def test_sinks_by_type(spark):
+    wh = fresh_warehouse(spark, "t-sinks")
+    rows, ddl = [("a", [1, 2], bytearray(b"x")), (None, [], None)], "location string, n array<int>, b binary"
+    for sink in ("json", "parquet", "json"):
+        assert _publish(spark, wh, rows, ddl, sink=sink) == {"status": "ok", "rows": 2}
+        assert publish.sink_of(spark, wh.name("t")) == sink
+        assert sorted((tuple(r) for r in spark.table(wh.name("t")).collect()), key=str) == sorted(
+            ((a, n, b) for a, n, b in rows), key=str)
+    df = spark.createDataFrame(rows[:1], ddl)
+    assert publish.truncate_load(spark, df, wh.name("t")) == 1 and spark.table(wh.name("t")).count() == 1
+    with pytest.raises(ValueError, match="unsupported sink type"):
+        _publish(spark, wh, rows, ddl, sink="tape")
