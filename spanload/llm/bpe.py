@@ -13,11 +13,13 @@ match of a million bytes takes time in proportion.
 from __future__ import annotations
 
 import base64
-from collections import ChainMap
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,14 +79,29 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.bytes_of = {i: b for b, i in ranks.items()}
+        bytes_of = {i: b for b, i in ranks.items()}
         self.byte_ids = [ranks[bytes([i])] for i in range(256)]
         self.pattern = regex.compile(pattern)
         self.size = max(ranks.values()) + 1
         #: left id * size + right id -> id of the two together.
         self.merges = {ranks[b[:k]] * self.size + ranks[b[k:]]: i for b, i in ranks.items()
                        for k in range(1, len(b)) if b[:k] in ranks and b[k:] in ranks}
-        self.cache: dict[str, list[int]] = {}
+        #: the bytes of every id (none for an unused one)
+        self.bytes_of = pa.array([bytes_of.get(i, b"") for i in range(self.size)], pa.binary())
+        self.forget()
+
+    def forget(self) -> None:
+        """No match is remembered: ``place`` numbers them, the arrays hold where their ids lie."""
+        self.place: dict[str, int] = {}
+        self.starts = self.counts = np.zeros(0, np.int64)
+        self.table = np.zeros(0, np.int32)
+
+    def remember(self, matches: list[str], ids: list[list[int]]) -> None:
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.place |= zip(matches, range(len(self.place), len(self.place) + len(matches)), strict=True)
+        self.starts = np.concatenate([self.starts, len(self.table) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.table = np.concatenate([self.table, np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum()))])
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each match.  All matches share one queue; no pair spans two of them."""
@@ -159,37 +176,46 @@ class Vocabulary:
             out.append(one)
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """Ids of each text."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts after each other, and how many each has."""
         found = [self.pattern.findall(t) for t in texts]
-        cache = self.cache
-        new = {p for pieces in found for p in pieces if p not in cache}
-        known: Mapping[str, list[int]] = cache
-        if new:
-            if len(cache) + len(new) > CACHED_MATCHES:
-                cache.clear()
-                new = {p for pieces in found for p in pieces}
-            known, to_merge = {}, []
-            for p in new:
-                whole = self.ranks.get(p.encode())
-                if whole is None:
-                    to_merge.append(p)
-                else:
-                    known[p] = [whole]
-            known |= zip(to_merge, self.merge([p.encode() for p in to_merge]), strict=True)
-            cache.update(x for x in known.items() if len(x[0]) <= CACHED_CHARS)
-            if any(len(p) > CACHED_CHARS for p in to_merge):
-                known = ChainMap(known, cache)
+        new = set().union(*found).difference(self.place)
+        if len(self.place) + len(new) > CACHED_MATCHES:
+            self.forget()
+            new = set().union(*found)
+        whole, to_merge = [], []
+        for p in new:
+            rank = self.ranks.get(p.encode())
+            if rank is None:
+                to_merge.append(p)
             else:
-                known = cache
-        for pieces in found:
-            out: list[int] = []
-            for p in pieces:
-                out += known[p]
-            yield out
-
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+                whole.append((p, [rank]))
+        to_merge.sort(key=len)  # long matches come last, for they aren't kept
+        parts = self.merge([p.encode() for p in to_merge]) if to_merge else []
+        merged = [*whole, *zip(to_merge, parts, strict=True)]
+        if merged:
+            self.remember(*map(list, zip(*merged, strict=True)))
+        matches = np.fromiter(map(len, found), np.int64, len(found))
+        places = np.fromiter(map(self.place.__getitem__, chain.from_iterable(found)), np.int64, int(matches.sum()))
+        counts = self.counts[places]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        flat = self.table[np.repeat(self.starts[places] - ends[:-1], counts) + np.arange(ends[-1])]
+        upto = ends[np.concatenate([[0], np.cumsum(matches)])]
+        long = [p for p in to_merge if len(p) > CACHED_CHARS]
+        if long:
+            kept = len(self.place) - len(long)
+            self.table = self.table[: self.starts[kept]]
+            self.starts, self.counts = self.starts[:kept], self.counts[:kept]
+            for p in long:
+                del self.place[p]
+        return flat, np.diff(upto)
+
+    def decode(self, ids: pa.Array, ends: np.ndarray) -> pa.Array:
+        """The bytes of each list of ids; ``ends``: where lists begin and end in ``ids``."""
+        joined = self.bytes_of.take(ids)
+        at = np.frombuffer(joined.buffers()[1], np.int32, len(joined) + 1, 4 * joined.offset)
+        offsets = pa.py_buffer(np.ascontiguousarray(at[ends], np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, joined.buffers()[2]])
 
 
 @lru_cache(maxsize=4)
@@ -217,6 +243,11 @@ def _without(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def _numbered(columns: list[str]) -> list:
+    """The columns under names that can't be those of others; batches are told by place."""
+    return [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)]
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out``, array of ids of the whole text (null or empty text: no ids).
 
@@ -225,17 +256,18 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     small_batches(df.sparkSession)
     kept = _without(df, out)
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.ArrayType(T.IntegerType()))])
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_text"))
+    source = df.select(*_numbered(kept), F.col(f"`{text}`").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_vocabulary(path, pattern)
         for batch in batches:
-            flat, ends = [], [0]
+            flat, counts = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
             for texts in together(batch.column(batch.num_columns - 1)):
-                for ids in vocabulary.encode(texts):
-                    flat += ids
-                    ends.append(len(flat))
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+                ids, n = vocabulary.encode(texts)
+                flat.append(ids)
+                counts.append(n)
+            ends = pa.array(np.cumsum(np.concatenate(counts)), pa.int32())
+            column = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(flat), pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=[*kept, out])
 
     return source.mapInArrow(run, schema)
@@ -246,14 +278,14 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     small_batches(df.sparkSession)
     kept = _without(df, out)
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.BinaryType())])
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{ids}`").alias("_ids"))
+    source = df.select(*_numbered(kept), F.col(f"`{ids}`").alias("_ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_vocabulary(path, pattern)
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
-            column = pa.array([vocabulary.decode(v.values.to_pylist()) if v.is_valid else b"" for v in lists],
-                              pa.binary())
+            counts = np.concatenate([[0], pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)])
+            column = vocabulary.decode(lists.flatten().cast(pa.int32()), np.cumsum(counts))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=[*kept, out])
 
     return source.mapInArrow(run, schema)

@@ -99,8 +99,9 @@ def filter_urls(df: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str
     ruled = F.lit(None).cast("string")
     for rule, verdict in rules:
         ruled = F.when(F.col("_rule") == rule, F.lit(verdict)).otherwise(ruled)
-    base = (df.select(*[F.col(f"`{c}`") for c in kept], host_of(F.col(url)).alias("_host"),
-                      path_of(F.col(url)).alias("_path"))
+    own = [f"_c{i}" for i in range(len(kept))]  # under names that can't be those of the columns below
+    base = (df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, own, strict=True)],
+                      host_of(F.col(f"`{url}`")).alias("_host"), path_of(F.col(f"`{url}`")).alias("_path"))
             .withColumn("_rule", best)
             .withColumn("_key", F.when(F.col("_rule").isNull(),
                                        canonical(F.col("_host"), F.col("_path")))))
@@ -118,5 +119,5 @@ def filter_urls(df: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str
             .withColumn("_hit", F.coalesce("_hit", F.lit(False))))
     verdict = F.coalesce(ruled, F.when(F.col("_hit"), F.lit("block")).otherwise(F.lit("allow")))
     return sure.unionByName(hits).select(
-        *[F.col(f"`{c}`") for c in kept], F.col("_host").alias("host"), F.col("_path").alias("path"),
+        *[F.col(n).alias(c) for c, n in zip(kept, own, strict=True)], F.col("_host").alias("host"), F.col("_path").alias("path"),
         F.col("_rule").alias("rule"), verdict.alias("verdict"))

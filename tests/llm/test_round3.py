@@ -8,10 +8,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from spanload.llm import phrases, repair, toxicity
+
+from spanload.llm import bpe, phrases, repair, toxicity, url_filter
+from spanload.llm.q_text import VOCABULARY
 
 BLANK = " \t\n\x0b\x0c\r"
 CONV = "conv_id long, turn long, role string, text string, key string, n long, conv string"
@@ -244,3 +247,26 @@ def test_the_gradient_falls_along_training():
     net = toxicity.train([t for _, t, _, _ in rows], toxic)
     p = toxicity.Scorer(net).scores([t for _, t, _, _ in rows])
     assert -np.mean(np.log(np.where(toxic == 1, p, 1 - p))) < 0.1
+
+
+def test_columns_named_as_the_operators_own(spark):
+    names = ["_text", "_ids", "_b", "_key", "_host", "_path", "_rule", "_maybe", "_hit", "_w0", "_c0"]
+    ddl = "doc_id long, text string, url string, " + ", ".join(f"{n} string" for n in names)
+    rows = [(1, "Hello  World", "http://a.com/x", *names), (2, None, None, *names)]
+    df = spark.createDataFrame(rows, ddl)
+    both = bpe.decode(bpe.encode(df, VOCABULARY, public_tokenizers.PATTERN), VOCABULARY, public_tokenizers.PATTERN)
+    got = sorted(both.collect(), key=lambda r: r["doc_id"])
+    assert [bytes(r["decoded"]) for r in got] == [b"Hello  World", b""] and [r[n] for r in got for n in names] == names * 2
+    found = sorted(url_filter.filter_urls(df, df.where("doc_id = 1").select("url"), []).collect(), key=lambda r: r["doc_id"])
+    assert [r["verdict"] for r in found] == ["block", "allow"] and [r[n] for r in found for n in names] == names * 2
+
+
+def test_long_matches_are_encoded_and_not_kept():
+    vocabulary = bpe.load_vocabulary(VOCABULARY, public_tokenizers.PATTERN)
+    texts = ["a b " + "ab" * 400 + " c", "", "x" * 300 + " b", "b " + "ab" * 400]
+    flat, counts = vocabulary.encode(texts)
+    again, same = vocabulary.encode(texts)
+    assert (flat == again).all() and (counts == same).all() and max(map(len, vocabulary.place)) <= bpe.CACHED_CHARS
+    import pyarrow as pa
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    assert vocabulary.decode(pa.array(flat), ends).to_pylist() == [t.encode() for t in texts]
