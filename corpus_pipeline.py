@@ -24,7 +24,12 @@ def _matching(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps.
+
+    Each row is judged by its own id and text; repeated rows stay or go together, and a
+    probability of just one half stays.  Null and empty texts are judged by their features, null
+    ids have no label.  No labels: all stay; an empty table stays empty.
+    """
     judged = quality.classify(docs, read_table(spark, sf_dir, "labels"))
     return _matching(docs, judged.where("kept").select("row_key"), "left_semi")
 
@@ -45,7 +50,12 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its fitted rate says; good ones are never thinned out."""
+    """Each document as often as its fitted rate says; good ones are never thinned out.
+
+    A rate between whole numbers is rounded by a hash of the row's id and text, so repeated rows come
+    as often each.  Null and empty texts have no tokens and rates of their own; null ids have no label.
+    No labels or tokens: every row once; an empty table stays empty.
+    """
     rates = mixing.mix(docs, domains(spark, sf_dir), TARGETS, whole="good")
     copies = rates.select("row_key", "copies").distinct()
     taken = _matching(docs, copies, "inner").where("copies > 0")
@@ -53,7 +63,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, for which decoding gave the text back."""
+    """Ids of every text, and whether decoding gave the text back.
+
+    Null and empty texts have no ids; rows, repeated or not, all come back; null ids stay null.
+    """
     ids = bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN)
     both = bpe.decode(ids, VOCABULARY, public_tokenizers.PATTERN)
     exact = F.coalesce("text", F.lit("")).cast("binary") == F.col("decoded")

@@ -12,9 +12,11 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-
+import corpus_pipeline
 from spanload.llm import bpe, phrases, repair, toxicity, url_filter
+from spanload.llm.common import read_table
 from spanload.llm.q_text import VOCABULARY
+from tests.conftest import SF001
 
 BLANK = " \t\n\x0b\x0c\r"
 CONV = "conv_id long, turn long, role string, text string, key string, n long, conv string"
@@ -270,3 +272,9 @@ def test_long_matches_are_encoded_and_not_kept():
     import pyarrow as pa
     ends = np.concatenate([[0], np.cumsum(counts)])
     assert vocabulary.decode(pa.array(flat), ends).to_pylist() == [t.encode() for t in texts]
+
+
+def test_the_pipeline_on_empty_tables(spark, tmp_path):
+    for t in ("documents", "labels"):
+        read_table(spark, SF001, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
