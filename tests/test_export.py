@@ -145,3 +145,17 @@ def test_sorted_files_hold_one_order(spark):
     for f in files:
         keys = [r["k"] for r in spark.read.parquet(f"{path}/{f['file']}").collect()]
         assert keys == sorted(keys) and (keys[0], keys[-1]) == (f["first"]["k"], f["last"]["k"])
+
+
+def test_a_bucket_holds_few_parts(spark, monkeypatch):
+    """Each row is compared with the part starts of its bucket: neither one line that a third of the
+    rows hold nor a limit far below the bucket size makes them many."""
+    seen, own = [], export._bucketed
+    monkeypatch.setattr(export, "_bucketed", lambda *a, **k: seen.append(own(*a, **k)) or seen[-1])
+    rows = spark.range(30000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("key"), F.lit(0).alias("chunk"),
+        F.when(F.col("id") % 3 == 0, F.lit("same line")).otherwise(F.concat(F.lit("l"), F.col("id").cast("string"))).alias("line"))
+    rep = export.part_report(export.assign_parts(rows, "key", "line", 1000), "key").collect()
+    assert sum(r["rows"] for r in rep) == 30000 and max(r["bytes"] for r in rep) < 1010
+    sizes = [r["b"] for r in seen[0].groupBy("chunk", "_b", "_s").agg(F.sum("bytes").alias("b")).collect()]
+    assert max(sizes) < 40 * 1000 < sum(sizes)
