@@ -159,3 +159,9 @@ def test_a_bucket_holds_few_parts(spark, monkeypatch):
     assert sum(r["rows"] for r in rep) == 30000 and max(r["bytes"] for r in rep) < 1010
     sizes = [r["b"] for r in seen[0].groupBy("chunk", "_b", "_s").agg(F.sum("bytes").alias("b")).collect()]
     assert max(sizes) < 40 * 1000 < sum(sizes)
+
+
+def test_small_parts_share_writing_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert export.writing_tasks(spark.range(1), 10 << 30, 128 << 10, 4) == max(cores, 320)
+    assert export.writing_tasks(spark.range(1), 10 << 30, 1 << 30, 4) == 14
