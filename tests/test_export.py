@@ -165,3 +165,15 @@ def test_small_parts_share_writing_tasks(spark):
     cores = spark.sparkContext.defaultParallelism
     assert export.writing_tasks(spark.range(1), 10 << 30, 128 << 10, 4) == max(cores, 320)
     assert export.writing_tasks(spark.range(1), 10 << 30, 1 << 30, 4) == 14
+
+
+def test_large_parts_are_dealt_to_tasks_in_turn(spark):
+    """12 parts of three chunks in 12 tasks: none writes two of them, which a hash would not keep to."""
+    rows = spark.range(1200).select((F.col("id") % 3).cast("int").alias("chunk"), F.lit(0).alias("part"),
+                                    F.col("id").alias("key"), F.lpad(F.col("id").cast("string"), 9, "0").alias("line"))
+    parted = rows.withColumn("part", F.floor(F.col("key") / 300).cast("int"))
+    path = export.write_parts(parted, scratch_path(spark, "t-dealt"), "key", tasks=12, chunk_parts=[4, 4, 4])
+    files = spark.read.text(path).select(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).alias("task"),
+                                         "chunk", "part", "value")
+    got = files.groupBy("task").agg(F.count_distinct("chunk", "part").alias("parts"), F.count("*").alias("rows")).collect()
+    assert len(got) == 12 and {(r["parts"], r["rows"]) for r in got} == {(1, 100)}
