@@ -8,8 +8,9 @@ tables take.  A pair of similarity s is missed with a chance of about
 ``2 * (1 - s ** width) ** side``.
 
 Copies with equal sets are one node (named by the 128-bit digest of the set, whatever the
-ids).  Nodes meet in buckets by key.  In each bucket every node is compared with the least
-one; the links make components.  Twice more they are compared with another one, drawn by
+ids).  Nodes meet in buckets by key.  Every node is compared with the least one that it
+meets; the links make components.  Then in each bucket, nodes are compared with the least
+one if that is in another component.  Twice more they are compared with another one, drawn by
 a hash, if that is in another component.  What is still apart is compared inside tiles of a
 bucket, dealt with their sets: pairs of different components that their bitmaps of shingles
 leave open (a bound that rules out no link), until a link joins them.  A tile gives the links
@@ -291,6 +292,13 @@ def _apart(met: DataFrame, labels: DataFrame) -> DataFrame:
     return now.join(several, "key")
 
 
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs ``lead, node`` of two components."""
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
+    return (pairs.join(of("node"), "node", "left").join(of("lead"), "lead", "left")
+            .where(F.coalesce("_node", "node") != F.coalesce("_lead", "lead")).select("lead", "node"))
+
+
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc: str = "doc_id",
                     text: str = "text", side: int = 8, width: int = 3,
                     random_leads: int = 2) -> DataFrame:
@@ -330,8 +338,17 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, doc: str =
                  .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"))
         return stage(confirm(sized, sets, percent), "links")
 
-    links = close(met.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")))
+    # every node with the least of its buckets' leads, then with other leads where that left them apart:
+    # a group of near copies takes about a comparison a node, not one for each table
+    led = met.where("node <> lead")
+    first = led.groupBy("node").agg(F.min("lead").alias("first"))
+    links = close(first.select(F.col("first").alias("a"), F.col("node").alias("b")))
     labels = components(links)
+    others = led.join(first, "node").where("lead <> first").select("lead", "node").distinct()
+    more = close(_across(others, labels).select(F.col("lead").alias("a"), F.col("node").alias("b")))
+    if not more.isEmpty():
+        links = links.unionAll(more)
+        labels = components(links)
     for turn in range(random_leads + 1):
         open_ = stage(_apart(met, labels), "open")  # with two members their pair was compared above
         if open_.isEmpty():

@@ -517,3 +517,13 @@ def test_pipeline_stages_take_effect(spark):
             assert kept.count() < before
     out = corpus_pipeline.STAGES[-1][1](spark, kept, SF001)
     assert out.count() == kept.count() and out.where("not exact").isEmpty()
+
+
+def test_a_group_of_near_copies_takes_about_a_comparison_a_node(spark, monkeypatch):
+    pairs, own = [], minhash.confirm
+    monkeypatch.setattr(minhash, "confirm", lambda p, *a: pairs.append(p.count()) or own(p, *a))
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*base[:i % 140], f"x{i}", *base[i % 140 + 1:]])) for i in range(200)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=85).collect()
+    assert len(found) == 200 and {r["component_id"] for r in found} == {0}
+    assert sum(pairs) <= 2 * 200, pairs
